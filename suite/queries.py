@@ -6,6 +6,7 @@ the library's builders over the whole tables.
 
 from __future__ import annotations
 
+from functools import cached_property
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,46 +32,64 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Inputs:
-    """Lazily built inputs and marts for one (spark, sf_dir)."""
+    """Inputs and marts for one (spark, sf_dir), each built once per query so
+    that a plan referencing a mart twice shares one DataFrame (and one
+    analysis) instead of re-deriving it."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         d = star.dims(spark)
         self.depts, self.regions, self.specialities = d["depts"], d["regions"], d["specialities"]
 
+    @cached_property
     def raw(self):
         return star.declarations_raw(self.spark, self.sf_dir)
 
+    @cached_property
     def stg(self):
-        return P.stg_declarations(self.raw())
+        return P.stg_declarations(self.raw)
 
+    @cached_property
     def decl_geo(self):
-        return P.declarations_geo(self.stg(), self.raw(), self.depts)
+        return P.declarations_geo(self.stg, self.raw, self.depts)
 
+    @cached_property
     def rx(self):
         return star.prescriptions_raw(self.spark, self.sf_dir)
 
+    @cached_property
     def bridge(self):
         return P.product_bridge(star.catalogue_packs(self.spark, self.sf_dir),
                                 star.catalogue_products(self.spark, self.sf_dir))
 
+    @cached_property
     def name_map(self):
-        return P.lab_name_map(self.stg(), self.bridge())
+        return P.lab_name_map(self.stg, self.bridge)
 
+    @cached_property
     def sales(self):
-        return P.sales_mart(self.rx(), self.bridge())
+        return P.sales_mart(self.rx, self.bridge)
 
+    @cached_property
     def spend(self):
-        return P.influence_spend(self.stg(), self.name_map(), self.raw(), self.depts)
+        return P.influence_spend(self.stg, self.name_map, self.raw, self.depts)
 
     def fact(self, **kw):
-        return P.influence_fact(self.spend(), self.sales(), self.regions, **kw)
+        if not kw:
+            return self._fact
+        return P.influence_fact(self.spend, self.sales, self.regions, **kw)
 
+    @cached_property
+    def _fact(self):
+        return P.influence_fact(self.spend, self.sales, self.regions)
+
+    @cached_property
     def geo(self):
         return P.geo_ref(star.geo_points_raw(self.spark, self.sf_dir), self.depts)
 
+    @cached_property
     def recipients(self):
-        return P.recipients(self.raw(), self.name_map(), self.decl_geo(),
+        return P.recipients(self.raw, self.name_map, self.decl_geo,
                             min_total=RECIPIENT_MIN_TOTAL)
 
 
@@ -101,47 +120,47 @@ def fr_thousands_parse(i: Inputs):
 
 @_q
 def top_payers(i: Inputs):
-    return P.top_companies(i.stg())
+    return P.top_companies(i.stg)
 
 
 @_q
 def top_professions_not_null(i: Inputs):
-    return P.top_professions(i.stg())
+    return P.top_professions(i.stg)
 
 
 @_q
 def top_motives(i: Inputs):
-    return P.top_motives(i.stg())
+    return P.top_motives(i.stg)
 
 
 @_q
 def speciality_clean(i: Inputs):
-    return P.speciality_summary(P.clean_specialities(i.stg(), SPECIALITY_RULES))
+    return P.speciality_summary(P.clean_specialities(i.stg, SPECIALITY_RULES))
 
 
 @_q
 def declarations_geo(i: Inputs):
-    return i.decl_geo()
+    return i.decl_geo
 
 
 @_q
 def product_bridge(i: Inputs):
-    return i.bridge()
+    return i.bridge
 
 
 @_q
 def catalogue_top(i: Inputs):
-    return P.catalogue_top(i.bridge())
+    return P.catalogue_top(i.bridge)
 
 
 @_q
 def lab_name_map(i: Inputs):
-    return i.name_map()
+    return i.name_map
 
 
 @_q
 def name_map_preview(i: Inputs):
-    m = i.name_map()
+    m = i.name_map
     cond = None
     for p in MAP_PREVIEW_PREFIXES:
         c = F.col("name_transparence").startswith(p)
@@ -151,52 +170,52 @@ def name_map_preview(i: Inputs):
 
 @_q
 def prescriptions_mart(i: Inputs):
-    return P.prescriptions_mart(i.rx(), i.regions, i.specialities)
+    return P.prescriptions_mart(i.rx, i.regions, i.specialities)
 
 
 @_q
 def prescription_row_count(i: Inputs):
-    return P.prescription_checks(i.rx()).row_count
+    return P.prescription_checks(i.rx).row_count
 
 
 @_q
 def prescription_distinct(i: Inputs):
-    return P.distinct_counts(i.rx())
+    return P.distinct_counts(i.rx)
 
 
 @_q
 def prescription_top_products(i: Inputs):
-    return P.top_products_by_boxes(i.rx())
+    return P.top_products_by_boxes(i.rx)
 
 
 @_q
 def speciality_preview(i: Inputs):
-    return top_k(i.rx().select("psp_spe").distinct(), [F.asc_nulls_last("psp_spe")], 10)
+    return top_k(i.rx.select("psp_spe").distinct(), [F.asc_nulls_last("psp_spe")], 10)
 
 
 @_q
 def region_top3(i: Inputs):
-    return P.region_top(P.prescriptions_mart(i.rx(), i.regions, i.specialities))
+    return P.region_top(P.prescriptions_mart(i.rx, i.regions, i.specialities))
 
 
 @_q
 def sales_mart(i: Inputs):
-    return i.sales()
+    return i.sales
 
 
 @_q
 def sales_check(i: Inputs):
-    return P.sales_check(i.sales())
+    return P.sales_check(i.sales)
 
 
 @_q
 def sales_by_lab_region(i: Inputs):
-    return P.sales_by_company_region(i.sales())
+    return P.sales_by_company_region(i.sales)
 
 
 @_q
 def influence_spend(i: Inputs):
-    return i.spend()
+    return i.spend
 
 
 @_q
@@ -226,27 +245,27 @@ def company_focus(i: Inputs):
 
 @_q
 def lab_dim(i: Inputs):
-    return P.lab_dim(i.bridge())
+    return P.lab_dim(i.bridge)
 
 
 @_q
 def lab_top_products(i: Inputs):
-    return P.lab_top_products(i.bridge())
+    return P.lab_top_products(i.bridge)
 
 
 @_q
 def geo_ref(i: Inputs):
-    return i.geo()
+    return i.geo
 
 
 @_q
 def recipients(i: Inputs):
-    return i.recipients()
+    return i.recipients
 
 
 @_q
 def recipients_geo(i: Inputs):
-    return P.recipients_geo(i.raw(), i.name_map(), i.geo(), min_total=RECIPIENT_MIN_TOTAL)
+    return P.recipients_geo(i.raw, i.name_map, i.geo, min_total=RECIPIENT_MIN_TOTAL)
 
 
 @_q
@@ -260,7 +279,7 @@ def pending_order_max(i: Inputs):
 
 def _search_inputs(i: Inputs):
     fact = i.fact()
-    return i.recipients(), i.regions, fact, P.lab_top_products(i.bridge())
+    return i.recipients, i.regions, fact, P.lab_top_products(i.bridge)
 
 
 @_q
@@ -276,12 +295,12 @@ def search_batch(i: Inputs):
 
 @_q
 def landing_top(i: Inputs):
-    return P.landing_stats(i.recipients()).top_groups
+    return P.landing_stats(i.recipients).top_groups
 
 
 @_q
 def landing_total(i: Inputs):
-    return P.landing_stats(i.recipients()).total
+    return P.landing_stats(i.recipients).total
 
 
 QUERIES: dict[str, Query] = {

@@ -38,13 +38,27 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sunlight.functions import to_money_text
-from sunlight.sources import dim_dept_region, dim_region, dim_speciality
+from sunlight.sources import dim_dept_region, dim_region, dim_speciality, spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+_TABLE_CACHE: dict = {}
+# Fact-sized tables; the test files store each as one row group (one task).
+SPREAD_TABLES = {"lineitem": ("l_orderkey",), "orders": ("o_orderkey",)}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The parquet table, resolved once per session (file listing and footer
+    reads are not repeated for every query)."""
+    key = (id(spark), sf_dir, name)
+    df = _TABLE_CACHE.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        if name in SPREAD_TABLES:
+            df = spread(df, keys=SPREAD_TABLES[name])
+        _TABLE_CACHE[key] = df
+    return df
 
 
 def _motive():
@@ -85,7 +99,7 @@ def prescriptions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     p = table(spark, sf_dir, "part")
-    d = dim_dept_region(spark)
+    d = dims(spark)["depts"]
     j = (l.join(o, l.l_orderkey == o.o_orderkey)
          .join(c, o.o_custkey == c.c_custkey)
          .join(p, l.l_partkey == p.p_partkey)
@@ -130,6 +144,12 @@ def geo_points_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .otherwise(point).alias("geo_point_2d"))
 
 
+_DIM_CACHE: dict = {}
+
+
 def dims(spark: SparkSession) -> dict[str, DataFrame]:
-    return {"depts": dim_dept_region(spark), "regions": dim_region(spark),
-            "specialities": dim_speciality(spark)}
+    d = _DIM_CACHE.get(id(spark))
+    if d is None or d["depts"].sparkSession is not spark:
+        d = _DIM_CACHE[id(spark)] = {"depts": dim_dept_region(spark), "regions": dim_region(spark),
+                                     "specialities": dim_speciality(spark)}
+    return d

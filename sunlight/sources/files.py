@@ -169,6 +169,29 @@ def read_geo_points(spark: SparkSession, path: str, sep: str = ";",
     return df.select(F.col(f"`{postal_col}`").alias(postal_col), F.col(point_col))
 
 
-def read_tables(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """SRC-6: several Parquet tables at once."""
-    return {n: spark.read.parquet(f"{base}/{n}.parquet") for n in names}
+def spread(df: DataFrame, min_partitions: int | None = None,
+           keys: Sequence[str] = ()) -> DataFrame:
+    """Give a scan at least ``min_partitions`` partitions (default: the
+    session's default parallelism).
+
+    A file scan is split by row groups; an input stored as one large row
+    group is read by a single task, and every narrow operator above it
+    (joins against broadcast sides, parsing, partial aggregation) then runs
+    on one core. Such a scan is repartitioned: by hash of ``keys`` when
+    given (deterministic under task retries without a local sort; pick a
+    high-cardinality key), round-robin otherwise. A scan that already has
+    enough splits - any large input - is returned unchanged, so no shuffle
+    is added where the data is big. Only the split count is inspected
+    (planning metadata, no job).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
+def read_tables(spark: SparkSession, base: str, names: Iterable[str],
+                min_partitions: int | None = None) -> dict[str, DataFrame]:
+    """SRC-6: several Parquet tables at once, each spread over at least
+    ``min_partitions`` tasks (see ``spread``)."""
+    return {n: spread(spark.read.parquet(f"{base}/{n}.parquet"), min_partitions) for n in names}

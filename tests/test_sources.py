@@ -1,0 +1,79 @@
+"""FIXTURES.md B1/B2 and the other readers."""
+
+import os
+
+import pytest
+
+from sunlight.sources import (read_csv_union_by_name, read_geo_points, read_headerless_tsv,
+                              read_tolerant_tsv, read_text_csv, lower_columns)
+
+
+def write(path, text, encoding="utf-8"):
+    with open(path, "wb") as f:
+        f.write(text.encode(encoding))
+    return str(path)
+
+
+@pytest.fixture()
+def drift_dir(tmp_path):
+    d = tmp_path / "rx"
+    d.mkdir()
+    write(d / "A.CSV", "BEN_REG;CIP13;REM\n11;A;1.234,56\n24;B;7\n;C;\n\"\";D;3\n1;2;3;4\n")
+    write(d / "B.CSV", "CIP13;BEN_REG;REM;EXTRA\nB;93;10,5;x\nZ;84;1;y\nY;52;2\n")
+    return str(d)
+
+
+def test_union_by_name_drops_bad_rows(spark, drift_dir):
+    df = read_csv_union_by_name(spark, drift_dir + "/*.CSV", sep=";")
+    assert df.columns == ["ben_reg", "cip13", "rem", "extra"]
+    got = [tuple(r) for r in df.collect()]
+    expected = [(None, "C", None, None), (None, "D", "3", None), ("11", "A", "1.234,56", None),
+                ("24", "B", "7", None), ("84", "Z", "1", "y"), ("93", "B", "10,5", "x")]
+    key = lambda t: tuple((v is not None, v) for v in t)
+    assert sorted(got, key=key) == sorted(expected, key=key)
+    assert df.count() == len(got) == 6
+    assert df.select("cip13").count() == 6
+
+
+def test_single_glob_read_is_the_trap(spark, drift_dir):
+    # negative control: one read applies A's header to B by position
+    df = read_text_csv(spark, drift_dir + "/*.CSV", sep=";")
+    assert sorted(df.columns) != ["ben_reg", "cip13", "extra", "rem"]
+
+
+def test_lower_columns_rejects_collisions(spark):
+    df = spark.createDataFrame([(1, 2)], "A int, a2 int").toDF("A", "a")
+    with pytest.raises(ValueError):
+        lower_columns(df)
+
+
+def test_tolerant_latin1_tsv(spark, tmp_path):
+    f12 = [f"c{i}" for i in range(12)]
+    lines = [
+        "\t".join(f12),
+        "\t".join(f"d{i}" for i in range(13)),
+        "e0\te1\te2",
+        "\t".join(["NA", "f1é"] + [f"f{i}" for i in range(2, 10)] + ["LABO", ""]),
+        "\t".join([f"g{i}" for i in range(12)] + [""]),
+    ]
+    p = write(tmp_path / "cat.txt", "\n".join(lines) + "\n", encoding="latin-1")
+    df = read_tolerant_tsv(spark, p, {0: "cis", 1: "nom", 10: "labo"})
+    got = sorted((tuple(r) for r in df.collect()), key=lambda t: str(t))
+    assert sorted(got, key=str) == sorted([("c0", "c1", "c10"), ("e0", "e1", None),
+                                           (None, "f1é", "LABO")], key=str)
+    assert df.count() == 3
+
+
+def test_headerless_strict_tsv(spark, tmp_path):
+    p = write(tmp_path / "packs.txt", "100\tx\t3400000000001\n200\ty\t3400000000002\n")
+    df = read_headerless_tsv(spark, p, {0: "cis", 2: "cip13"})
+    assert sorted(tuple(r) for r in df.collect()) == [("100", "3400000000001"),
+                                                      ("200", "3400000000002")]
+
+
+def test_geo_points_keep_text_codes(spark, tmp_path):
+    p = write(tmp_path / "gps.csv", "Code Postal;Commune;geo_point_2d\n01000;BOURG;46.2, 5.2\n"
+                                    "2A004;AJACCIO;41.9, 8.7\n75011;PARIS;\n")
+    df = read_geo_points(spark, p)
+    assert sorted(tuple(r) for r in df.collect()) == sorted(
+        [("01000", "46.2, 5.2"), ("2A004", "41.9, 8.7"), ("75011", None)], key=str)
