@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from sunlight.functions import (DEFAULT_GROUP_RULES, LAB_NAME_PATTERN, group_key,
                                 normalise_lab_name, round_half_up, safe_div)
-from sunlight.operators import top_k
+from sunlight.operators import broadcast_if_small, top_k
+from sunlight.operators.joins import DEFAULT_MAX_ROWS
 from sunlight.plans.columns import RAW, DeclarationColumns
 from sunlight.plans.declarations import raw_departments
 
@@ -48,15 +49,22 @@ def lab_name_map(declarations: DataFrame, bridge: DataFrame,
 
 def influence_spend(stg: DataFrame, name_map: DataFrame, raw: DataFrame,
                     dept_region: DataFrame, motives: Sequence[str] = INFLUENCE_MOTIVES,
-                    cols: DeclarationColumns = RAW) -> DataFrame:
+                    cols: DeclarationColumns = RAW,
+                    broadcast_limit: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """MRT-9: influence spend per (catalogue company, region).
 
     A payment counts once per catalogue name its payer maps to and once per
     department its declarant has on that date - the joins' semantics.
+
+    The name map is broadcast after a row-count check, so payments are not
+    shuffled by payer (the natural hot key); the one shuffle of the payment
+    rows is the (name, date) join with the department list, where AQE splits
+    a skewed key.
     """
     geo = raw_departments(raw, cols, dedup=True)
     j = (stg.where(F.col("motif").isin(list(motives))).alias("t")
-         .join(name_map.alias("m"), F.col("t.labo") == F.col("m.name_transparence"))
+         .join(broadcast_if_small(name_map, broadcast_limit).alias("m"),
+               F.col("t.labo") == F.col("m.name_transparence"))
          .join(geo.alias("v"), (F.col("t.nom") == F.col("v._g_name"))
                & (F.col("t.date") == F.col("v._g_date")))
          .join(dept_region.alias("r"), F.col("v._g_dept") == F.col("r.dept_code")))

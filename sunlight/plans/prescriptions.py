@@ -8,7 +8,8 @@ from typing import NamedTuple, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sunlight.functions import parse_comma_decimal, parse_fr_number, round_half_up
-from sunlight.operators import top_k
+from sunlight.operators import broadcast_if_small, top_k
+from sunlight.operators.joins import DEFAULT_MAX_ROWS
 from sunlight.plans.columns import RX, PrescriptionColumns
 from sunlight.sources.files import read_csv_union_by_name
 
@@ -52,17 +53,24 @@ def _exact_sum_as_double(c) -> "F.Column":
     return F.sum(c).cast("double")
 
 
-def sales_mart(rx: DataFrame, bridge: DataFrame, cols: PrescriptionColumns = RX) -> DataFrame:
+def sales_mart(rx: DataFrame, bridge: DataFrame, cols: PrescriptionColumns = RX,
+               broadcast_limit: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """MRT-8: boxes and reimbursed amount per region x pack x generic flag x
     company, for packs known to the catalogue; DOUBLE totals.
 
     NULL or blank quantities count as 0. A pack listed several times in the
     bridge is counted once per listing (inner-join semantics).
+
+    The catalogue bridge is broadcast once its row count is checked against
+    ``broadcast_limit``, so the prescription fact is never shuffled by pack
+    code (where one best-selling pack would make a hot partition); the
+    aggregate after it combines map-side.
     """
     boxes = parse_fr_number(f"r.{cols.boxes}", to="decimal(24,6)", null_as="0")
     paid = parse_fr_number(f"r.{cols.reimbursed}", to="decimal(24,6)", null_as="0")
     j = (rx.alias("r").where(F.col(f"r.{cols.region}").isNotNull())
-         .join(bridge.alias("b"), F.col(f"r.{cols.pack}") == F.col("b.cip13")))
+         .join(broadcast_if_small(bridge, broadcast_limit).alias("b"),
+               F.col(f"r.{cols.pack}") == F.col("b.cip13")))
     return (j.groupBy(F.col(f"r.{cols.region}").alias("code_region"),
                       F.col(f"r.{cols.pack}").alias("cip13"),
                       F.col(f"r.{cols.generic_flag}").alias("est_generique"),

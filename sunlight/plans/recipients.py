@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sunlight.functions import department_code, parse_comma_decimal, postal_code, split_coordinate
-from sunlight.operators import first_by_order, group_max_lookup
+from sunlight.operators import broadcast_if_small, first_by_order, group_max_lookup
+from sunlight.operators.joins import DEFAULT_MAX_ROWS
 from sunlight.plans.columns import RAW, DeclarationColumns
 
 
@@ -33,7 +34,8 @@ def _amount(cols: DeclarationColumns):
 
 def recipients(raw: DataFrame, name_map: DataFrame, declarations_geo: DataFrame,
                min_total: float = 500, dedup: bool = True,
-               cols: DeclarationColumns = RAW) -> DataFrame:
+               cols: DeclarationColumns = RAW,
+               broadcast_limit: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """MRT-15: amount received per recipient x payer, above ``min_total``.
 
     With ``dedup`` identical declarations (same recipient, payer, amount and
@@ -52,14 +54,16 @@ def recipients(raw: DataFrame, name_map: DataFrame, declarations_geo: DataFrame,
            .agg(F.sum(parse_comma_decimal("_amount")).cast("decimal(38,2)").alias("montant_total"))
            .where(F.col("montant_total") > F.lit(min_total)))
     named = (agg.alias("a")
-             .join(name_map.alias("m"), F.col("a.labo_source") == F.col("m.name_transparence"), "left")
+             .join(broadcast_if_small(name_map, broadcast_limit).alias("m"),
+                   F.col("a.labo_source") == F.col("m.name_transparence"), "left")
              .select("a.*", F.col("m.name_ansm").alias("labo_normalise")))
     return group_max_lookup(named, declarations_geo.select("nom", "ville", "region_code"),
                             ["nom", "ville"], "region_code", "region_code")
 
 
 def recipients_geo(raw: DataFrame, name_map: DataFrame, geo: DataFrame,
-                   min_total: float = 500, cols: DeclarationColumns = RAW) -> DataFrame:
+                   min_total: float = 500, cols: DeclarationColumns = RAW,
+                   broadcast_limit: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """MRT-16: amount per recipient x payer x postal code (no de-duplication),
     above ``min_total``, with catalogue name(s), region and coordinates of
     the postal code. ``montant_total`` repeats ``montant_cumule`` so that the
@@ -72,8 +76,10 @@ def recipients_geo(raw: DataFrame, name_map: DataFrame, geo: DataFrame,
            .agg(F.sum(_amount(cols)).cast("decimal(38,2)").alias("total_montant"))
            .where(F.col("total_montant") > F.lit(min_total)))
     j = (agg.alias("r")
-         .join(name_map.alias("m"), F.col("r.labo_source") == F.col("m.name_transparence"), "left")
-         .join(geo.alias("g"), F.col("r.cp") == F.col("g.cp"), "left"))
+         .join(broadcast_if_small(name_map, broadcast_limit).alias("m"),
+               F.col("r.labo_source") == F.col("m.name_transparence"), "left")
+         .join(broadcast_if_small(geo, broadcast_limit).alias("g"),
+               F.col("r.cp") == F.col("g.cp"), "left"))
     return j.select(F.col("r.nom"),
                     F.coalesce(F.nullif(F.col("r.prenom"), F.lit("null")), F.lit("")).alias("prenom"),
                     F.col("r.ville"), F.col("r.specialite"), F.col("r.labo_source"),

@@ -14,7 +14,8 @@ from typing import NamedTuple, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sunlight.functions import escape_like, format_amount, fr_grouped_integer
-from sunlight.operators import top_k
+from sunlight.operators import broadcast_if_small, top_k
+from sunlight.operators.joins import DEFAULT_MAX_ROWS
 
 # --- fixed values ----------------------------------------------------------
 DEFAULT_PRODUCTS_LABEL = "leurs traitements brevetés"
@@ -94,7 +95,8 @@ def _prefixes(s: Column, lengths: Sequence[int]) -> Column:
 def search_recipients_batch(recipients: DataFrame, regions: DataFrame, influence: DataFrame,
                             top_products: DataFrame, terms: DataFrame, term_col: str = "term",
                             k: int = 15, min_len: int = 2,
-                            amount_col: str = "montant_total") -> DataFrame:
+                            amount_col: str = "montant_total",
+                            broadcast_limit: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
     """QRY-2: the search for a whole table of terms, best ``k`` rows per term.
 
     Terms are matched literally (no wildcards). Matching is an equi-join,
@@ -112,27 +114,32 @@ def search_recipients_batch(recipients: DataFrame, regions: DataFrame, influence
          .distinct()
          .select("term", F.lower("term").alias("_lterm"),
                  (F.length("term") > 3).alias("_city_ok")))
+    t = broadcast_if_small(t, broadcast_limit)
     lengths = sorted(r[0] for r in t.select(F.length("_lterm")).distinct().collect())
     cols = recipients.columns
-    if not lengths:
-        empty = recipients.limit(0).select(F.lit(None).cast("string").alias("term"), *cols)
-        return empty
-    lname, lcity = F.lower(F.col("nom")), F.lower(F.col("ville"))
-    by_name = (recipients.select(*cols, F.explode(_substrings(lname, lengths)).alias("_key"))
-               .join(t, F.col("_key") == F.col("_lterm"))
-               .select("term", *cols, "_lterm"))
-    by_city = (recipients.select(*cols, F.explode(_prefixes(lcity, lengths)).alias("_key"))
-               .join(t, (F.col("_key") == F.col("_lterm")) & F.col("_city_ok"))
-               .where(~F.coalesce(lname.contains(F.col("_lterm")), F.lit(False)))
-               .select("term", *cols, "_lterm"))
-    hits = by_name.unionByName(by_city)
+    if not lengths:               # no usable term: same plan, empty join side
+        lengths = [max(min_len, 1)]
+    # One pass over the recipients: name substrings and city prefixes are
+    # exploded together as (key, by_name) and joined to the terms once.
+    lname = F.lower(F.coalesce(F.col("nom"), F.lit("")))
+    lcity = F.lower(F.coalesce(F.col("ville"), F.lit("")))
+    tag = lambda arr, by_name: F.transform(
+        arr, lambda k: F.struct(k.alias("k"), F.lit(by_name).alias("by_name")))
+    keys = F.concat(tag(_substrings(lname, lengths), True), tag(_prefixes(lcity, lengths), False))
+    hits = (recipients.select(*cols, F.explode(keys).alias("_m"))
+            .join(t, F.col("_m.k") == F.col("_lterm"))
+            .where(F.col("_m.by_name")
+                   | (F.col("_city_ok") & ~F.coalesce(F.lower(F.col("nom")).contains(F.col("_lterm")),
+                                                      F.lit(False))))
+            .select("term", *cols, "_lterm"))
     lname2 = F.lower(F.col("nom"))
     priority = (F.when(lname2 == F.col("_lterm"), 1)
                 .when(lname2.startswith(F.col("_lterm")), 2).otherwise(3))
     ranked = (hits.withColumn("priority", priority).drop("_lterm")
               .withColumn("rank", F.row_number().over(
                   Window.partitionBy("term").orderBy(*_order(amount_col))))
-              .where(F.col("rank") <= k))
+              .where(F.col("rank") <= k)
+              .withColumn("rank", F.col("rank").cast("bigint")))
     return _fill_numeric_zero(_enrich(ranked, regions, influence, top_products))
 
 

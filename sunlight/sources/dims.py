@@ -1,8 +1,10 @@
 """Reference dimensions (SRC-7).
 
-They are tiny by construction (96 / 18 / 23 literal rows), so joins against
-them are broadcast: the size bound is the literal itself. Users extend them
-by passing their own rows (same columns) to the builders.
+They are tiny by construction (96 / 18 / 23 literal rows, or the rows a
+user passes in from driver memory), so they are returned marked for
+broadcast: the size bound is the literal itself. (A frame built from local
+rows is an RDD scan whose size the planner does not know, so without the
+mark it would shuffle the large side to join a 96-row table.)
 """
 
 from __future__ import annotations
@@ -57,24 +59,17 @@ REGION_SCHEMA = "code string, libelle_reg string"
 SPECIALITY_SCHEMA = "code int, libelle string"
 
 
+def _local(spark: SparkSession, rows, schema: str) -> DataFrame:
+    return F.broadcast(spark.createDataFrame(list(rows), schema))
+
+
 def dim_dept_region(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(rows if rows is not None else DEPT_TO_REGION, DEPT_SCHEMA)
+    return _local(spark, rows if rows is not None else DEPT_TO_REGION, DEPT_SCHEMA)
 
 
 def dim_region(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(rows if rows is not None else REGIONS, REGION_SCHEMA)
+    return _local(spark, rows if rows is not None else REGIONS, REGION_SCHEMA)
 
 
 def dim_speciality(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(rows if rows is not None else SPECIALITIES, SPECIALITY_SCHEMA)
-
-
-def bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast a dimension after checking that it really is small.
-
-    The check runs ``limit(max_rows + 1).count()``, which stops reading once
-    the bound is crossed. Beyond the bound the frame is returned unhinted
-    and Spark/AQE choose a shuffle join from measured sizes.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return _local(spark, rows if rows is not None else SPECIALITIES, SPECIALITY_SCHEMA)

@@ -96,3 +96,10 @@ def test_recipient_report(s):
     assert r["subtitle"] == "BOURG — Institution"
     assert r["amount_label"] == "5\u202f000 €"
     assert r["roi_rounded"] == 10 and r["message"] == "influence"
+
+
+def test_batch_without_usable_terms_keeps_schema(spark, s):
+    tdf = spark.createDataFrame([("a",)], "term string")
+    out = P.search_recipients_batch(*s, tdf)
+    full = P.search_recipients_batch(*s, spark.createDataFrame([("mart",)], "term string"))
+    assert out.count() == 0 and out.columns == full.columns
