@@ -12,6 +12,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sunlight import plans as P
+from sunlight.session import scratch_path
+from sunlight.sources import read_csv_union_by_name, read_tolerant_tsv
 from sunlight.functions import parse_comma_decimal, parse_fr_number, to_money_text
 from sunlight.operators import group_max_lookup, top_k
 from suite import star
@@ -303,6 +305,86 @@ def landing_total(i: Inputs):
     return P.landing_stats(i.recipients).total
 
 
+# --- file round trips: data derived from the tables is written in the awkward
+# source formats, then read back with the library's readers --------------------
+
+RAW_COLUMNS = ["raison_sociale", "identite", "prenom", "profession_libelle", "ville",
+               "code_postal", "montant", "date", "motif_lien_interet"]
+TSV_WIDTH = 11
+
+
+def write_drifting_csv(i: Inputs) -> str:
+    """Declarations as ';' CSV files in two layouts: transport payments with
+    upper-case headers in the usual order, all others with the columns
+    reversed plus an extra column."""
+    base = scratch_path(i.spark, "declarations-csv")
+    transport = F.col("motif_lien_interet") == "Frais de transport"
+    (i.raw.where(transport).select(*[F.col(c).alias(c.upper()) for c in RAW_COLUMNS])
+     .write.option("header", True).option("sep", ";").csv(f"{base}/a"))
+    (i.raw.where(~transport).select(*reversed(RAW_COLUMNS), F.lit("x").alias("extra"))
+     .write.option("header", True).option("sep", ";").csv(f"{base}/b"))
+    return base
+
+
+@_q
+def csv_drift_top_payers(i: Inputs):
+    """SRC-2 end to end: drifting-header CSV files -> staging -> top payers."""
+    base = write_drifting_csv(i)
+    raw = read_csv_union_by_name(i.spark, [f"{base}/a", f"{base}/b"], sep=";")
+    return P.top_companies(P.stg_declarations(raw))
+
+
+def _tsv_line(*fields):
+    return F.concat_ws("\t", *[F.coalesce(f.cast("string"), F.lit("")) for f in fields])
+
+
+def write_latin1_catalogue(i: Inputs) -> tuple[str, str]:
+    """Catalogue exports as Latin-1 TSV: products with 11 fields (company at
+    position 10); parts of size 49 get one field too many (to be skipped),
+    size 48 only three fields (padded -> no company)."""
+    part = star.table(i.spark, i.sf_dir, "part")
+    base = scratch_path(i.spark, "catalogue-tsv")
+    name = F.concat(F.col("p_name"), F.lit(" é"))
+    company = F.concat(F.lit("Laboratoires "), F.col("p_brand"))
+    filler = [F.col("p_type"), F.col("p_size"), F.col("p_retailprice"), F.lit("NA"), F.lit("x"),
+              F.lit(""), F.lit("y"), F.lit("z")]
+    full = _tsv_line(F.col("p_partkey"), name, *filler, company)
+    line = (F.when(F.col("p_size") == 49, F.concat(full, F.lit("\textra")))
+            .when(F.col("p_size") == 48, _tsv_line(F.col("p_partkey"), name, F.col("p_type")))
+            .otherwise(full))
+    writer = lambda df, path: (df.write.option("encoding", "ISO-8859-1")
+                               .option("quote", "").option("escapeQuotes", False)
+                               .option("sep", "\u0001").csv(path))
+    writer(part.select(line.alias("line")), f"{base}/products")
+    pack = F.concat(F.lit("34"), F.lpad(F.col("p_partkey").cast("string"), 11, "0"))
+    packs = part.select(_tsv_line(F.col("p_partkey"), F.lit("a"), F.lit("b"), F.lit("c"),
+                                  F.lit("d"), F.lit("e"), pack).alias("line"))
+    writer(packs, f"{base}/packs")
+    return f"{base}/products", f"{base}/packs"
+
+
+@_q
+def tsv_catalogue_bridge(i: Inputs):
+    """SRC-4 end to end: Latin-1 TSV catalogue -> bridge."""
+    products_path, packs_path = write_latin1_catalogue(i)
+    products = read_tolerant_tsv(i.spark, products_path, {0: "cis", 1: "nom_medicament",
+                                                          10: "labo_ansm"}, width=TSV_WIDTH)
+    packs = read_tolerant_tsv(i.spark, packs_path, {0: "cis", 6: "cip13"}, width=7)
+    return P.product_bridge(packs, products)
+
+
+@_q
+def landing_label(i: Inputs):
+    """SCL-20: the headline amount label of the landing figures."""
+    return P.landing_labels(P.landing_stats(i.recipients).total)
+
+
+@_q
+def search_report(i: Inputs):
+    """SCL-21: display fields of the search results."""
+    return P.recipient_report(P.search_recipients(*_search_inputs(i), SEARCH_TERM))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn for fn in [
         fr_decimal_parse, fr_thousands_parse, top_payers, top_professions_not_null,
@@ -312,6 +394,7 @@ QUERIES: dict[str, Query] = {
         sales_mart, sales_check, sales_by_lab_region, influence_spend, influence_fact,
         influence_fact_v1, influence_groups, top_roi, company_focus, lab_dim,
         lab_top_products, geo_ref, recipients, recipients_geo, pending_order_max, search,
-        search_batch, landing_top, landing_total,
+        search_batch, landing_top, landing_total, csv_drift_top_payers,
+        tsv_catalogue_bridge, landing_label, search_report,
     ]
 }

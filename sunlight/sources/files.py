@@ -10,6 +10,7 @@ per file. All rows are parsed by executor tasks.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Iterable, Mapping, Sequence
 
@@ -75,9 +76,13 @@ def read_csv_union_by_name(spark: SparkSession, paths: "str | Sequence[str]", se
     A single glob read would apply the first file's header to every file by
     position and silently shift columns; this never does that.
     """
+    files = list_files(spark, paths)
+    # One tiny job per file reads its first line; the jobs run concurrently.
+    with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
+        headers = list(pool.map(lambda f: tuple(header_of(spark, f, sep, encoding)), files))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in list_files(spark, paths):
-        groups.setdefault(tuple(header_of(spark, f, sep, encoding)), []).append(f)
+    for f, h in zip(files, headers):
+        groups.setdefault(h, []).append(f)
     if not groups:
         raise FileNotFoundError(f"no input files under {paths!r}")
     frames = []
