@@ -13,3 +13,4 @@ from sunlight.plans.influence import (lab_name_map, influence_spend, influence_f
 from sunlight.plans.recipients import geo_ref, recipients, recipients_geo
 from sunlight.plans.search import (search_recipients, search_recipients_batch, landing_stats,
                                    landing_labels, recipient_report)
+from sunlight.plans.marts import build_marts

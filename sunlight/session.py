@@ -47,12 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; it is used as is. Only when the
-    setting is absent (local runs, tests) is a private scratch folder made.
+    setting is absent *and* the master is local (tests, a laptop) is a
+    private scratch folder made; on a cluster a missing setting is an error,
+    because a machine-local folder is not visible to other executors.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                           "distributed file system)")
     local = tempfile.mkdtemp(prefix="sunlight-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -152,3 +152,18 @@ def test_geo_ref_first_point_and_region(spark, fx):
                                 "`Code Postal` string, geo_point_2d string")
     g = P.geo_ref(pts, fx["depts"])
     assert rows(g) == [("01000", 46.2, 5.2, "84"), ("69003", 45.7, 4.8, "84")]
+
+
+def test_build_marts_writes_every_table(spark, fx):
+    from sunlight.session import scratch_path
+    pts = spark.createDataFrame([("01000", "46.2, 5.2"), ("69003", "45.7, 4.8")],
+                                "`Code Postal` string, geo_point_2d string")
+    out = scratch_path(spark, "marts")
+    paths = P.build_marts(spark, out, fx["raw"], fx["rx"], fx["products"], fx["packs"],
+                          fx["depts"], fx["regions"], fx["specialities"], geo_points=pts)
+    assert set(paths) >= {"stg_declarations", "influence_fact", "recipients", "recipients_geo",
+                          "lab_top_products", "influence_groups"}
+    fact = spark.read.parquet(paths["influence_fact"])
+    assert rows(fact, "labo", "roi_influence") == [("BAYER SANTE", 10.0), ("LABORATOIRES PFIZER", 0.0),
+                                                   ("PFIZER", 3.0), ("SANOFI AVENTIS", 5.0)]
+    assert spark.read.parquet(paths["recipients"]).count() == 5
