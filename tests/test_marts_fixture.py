@@ -167,3 +167,14 @@ def test_build_marts_writes_every_table(spark, fx):
     assert rows(fact, "labo", "roi_influence") == [("BAYER SANTE", 10.0), ("LABORATOIRES PFIZER", 0.0),
                                                    ("PFIZER", 3.0), ("SANOFI AVENTIS", 5.0)]
     assert spark.read.parquet(paths["recipients"]).count() == 5
+
+
+def test_name_map_fanout_is_reported(m):
+    from sunlight.operators import join_fanout
+    rep = join_fanout(m["stg"], m["name_map"], m["stg"].labo == m["name_map"].name_transparence,
+                      "montant").first()
+    # 7 staged rows; PFIZER SAS maps to two catalogue names, Laboratoires Théa to none
+    assert rep["rows_before"] == 7 and rep["rows_after"] == 8
+    assert rep["amount_before"] == D("9851.25")
+    assert rep["amount_after"] == D("9851.25") - D("900.00") + D("800.00") + D("450.25")
+    assert rep["fanout"] == 8 / 7
