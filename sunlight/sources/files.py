@@ -200,3 +200,11 @@ def read_tables(spark: SparkSession, base: str, names: Iterable[str],
     """SRC-6: several Parquet tables at once, each spread over at least
     ``min_partitions`` tasks (see ``spread``)."""
     return {n: spread(spark.read.parquet(f"{base}/{n}.parquet"), min_partitions) for n in names}
+
+
+def register_views(frames: Mapping[str, DataFrame]) -> list[str]:
+    """SRC-9: expose DataFrames (raw files, marts) as temporary views so the
+    same data can be queried with ``spark.sql``; returns the view names."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    return list(frames)

@@ -178,3 +178,22 @@ def test_name_map_fanout_is_reported(m):
     assert rep["amount_before"] == D("9851.25")
     assert rep["amount_after"] == D("9851.25") - D("900.00") + D("800.00") + D("450.25")
     assert rep["fanout"] == 8 / 7
+
+
+def test_build_marts_rerun_is_idempotent(spark, fx):
+    from sunlight.session import scratch_path
+    out = scratch_path(spark, "marts-rerun")
+    args = (fx["raw"], fx["rx"], fx["products"], fx["packs"], fx["depts"], fx["regions"],
+            fx["specialities"])
+    first = P.build_marts(spark, out, *args)
+    snap = {k: rows(spark.read.parquet(v)) for k, v in first.items()}
+    second = P.build_marts(spark, out, *args)
+    assert first == second
+    assert {k: rows(spark.read.parquet(v)) for k, v in second.items()} == snap
+
+
+def test_views_over_marts(spark, m):
+    from sunlight.sources import register_views
+    register_views({"fact_view": m["fact"]})
+    got = spark.sql("SELECT labo FROM fact_view WHERE roi_influence > 4 ORDER BY labo").collect()
+    assert [r["labo"] for r in got] == ["BAYER SANTE", "SANOFI AVENTIS"]
