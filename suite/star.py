@@ -33,7 +33,6 @@ departments / regions  the library's fixed reference dimensions
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 

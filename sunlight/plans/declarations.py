@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sunlight.functions import department_code, parse_comma_decimal, postal_code, split_coordinate
+from sunlight.functions import parse_comma_decimal, postal_code, split_coordinate
 from sunlight.operators import broadcast_if_small, first_by_order, group_max_lookup
 from sunlight.operators.joins import DEFAULT_MAX_ROWS
 from sunlight.plans.columns import RAW, DeclarationColumns
