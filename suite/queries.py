@@ -95,9 +95,27 @@ class Inputs:
                             min_total=RECIPIENT_MIN_TOTAL)
 
 
+_INPUTS: dict = {}
+
+
+def inputs_for(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The lazily built inputs for (session, folder), shared by all queries.
+
+    Only plan objects are shared (a DataFrame is an immutable, lazy plan):
+    every query still executes its whole plan from the tables. Sharing them
+    saves re-deriving the same inputs and marts through thousands of
+    Python-to-JVM calls per query.
+    """
+    key = (id(spark), sf_dir)
+    i = _INPUTS.get(key)
+    if i is None or i.spark is not spark:
+        i = _INPUTS[key] = Inputs(spark, sf_dir)
+    return i
+
+
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Inputs(spark, sf_dir))
+        return fn(inputs_for(spark, sf_dir))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
