@@ -91,8 +91,8 @@ class Inputs:
 
     @cached_property
     def recipients(self):
-        return P.recipients(self.raw, self.name_map, self.decl_geo,
-                            min_total=RECIPIENT_MIN_TOTAL)
+        regions = P.recipient_regions(self.stg, self.raw, self.depts)
+        return P.recipients(self.raw, self.name_map, regions, min_total=RECIPIENT_MIN_TOTAL)
 
 
 _INPUTS: dict = {}

@@ -1,7 +1,8 @@
 from sunlight.plans.columns import DeclarationColumns, PrescriptionColumns, RAW, RX
 from sunlight.plans.declarations import (stg_declarations, clean_specialities, declarations_geo,
                                          payment_report, top_companies, top_professions,
-                                         top_motives, speciality_summary, raw_departments)
+                                         top_motives, speciality_summary, raw_departments,
+                                         recipient_regions)
 from sunlight.plans.catalogue import (product_bridge, lab_dim, lab_top_products, catalogue_top,
                                       load_catalogue)
 from sunlight.plans.prescriptions import (prescriptions_raw, prescriptions_mart, sales_mart,

@@ -62,6 +62,25 @@ def declarations_geo(stg: DataFrame, raw: DataFrame, dept_region: DataFrame,
             .select(*[F.col(f"s.{c}") for c in stg.columns], F.col("d.region_code")))
 
 
+def recipient_regions(stg: DataFrame, raw: DataFrame, dept_region: DataFrame,
+                      cols: DeclarationColumns = RAW) -> DataFrame:
+    """(nom, ville, region_code) rows whose per-(nom, ville) MAX equals the
+    one taken over ``declarations_geo``.
+
+    MAX ignores duplicates, so the staging side is first reduced to distinct
+    (name, city, date) - a partial aggregate before the shuffle - and only
+    those keys are joined to the department list. Use it in place of
+    ``declarations_geo`` for the recipients' region lookup when that mart
+    is not already materialised.
+    """
+    keys = stg.select("nom", "ville", "date").distinct()
+    geo = raw_departments(raw, cols)
+    cond = (F.col("k.nom") == F.col("g._g_name")) & (F.col("k.date") == F.col("g._g_date"))
+    return (keys.alias("k").join(geo.alias("g"), cond, "left")
+            .join(dept_region.alias("d"), F.col("g._g_dept") == F.col("d.dept_code"), "left")
+            .select("k.nom", "k.ville", F.col("d.region_code")))
+
+
 class PaymentReport(NamedTuple):
     companies: DataFrame
     professions: DataFrame

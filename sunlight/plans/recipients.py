@@ -42,6 +42,8 @@ def recipients(raw: DataFrame, name_map: DataFrame, declarations_geo: DataFrame,
     date) count once. Adds the payer's catalogue name(s) (left join; one row
     per matching name) and the recipient's region: the largest region code
     among their geo-tagged declarations with the same name and city.
+    ``declarations_geo`` is that mart, or any frame with (nom, ville,
+    region_code) giving the same maximum, e.g. ``recipient_regions``.
     """
     base = raw.where(F.col(cols.amount).isNotNull()).select(
         F.col(cols.name).alias("nom"), F.col(cols.first_name).alias("prenom"),

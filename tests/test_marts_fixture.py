@@ -197,3 +197,10 @@ def test_views_over_marts(spark, m):
     register_views({"fact_view": m["fact"]})
     got = spark.sql("SELECT labo FROM fact_view WHERE roi_influence > 4 ORDER BY labo").collect()
     assert [r["labo"] for r in got] == ["BAYER SANTE", "SANOFI AVENTIS"]
+
+
+def test_recipient_regions_give_the_same_lookup(m, fx):
+    lean = P.recipient_regions(m["stg"], fx["raw"], fx["depts"])
+    a = P.recipients(fx["raw"], m["name_map"], m["geo"])
+    b = P.recipients(fx["raw"], m["name_map"], lean)
+    assert rows(a) == rows(b)
