@@ -320,7 +320,8 @@ def landing_top(i: Inputs):
 
 @_q
 def landing_total(i: Inputs):
-    return P.landing_stats(i.recipients).total
+    from sunlight.plans.search import GLOBAL_TOTAL_FALLBACK
+    return P.landing_stats(i.recipients, fallback=GLOBAL_TOTAL_FALLBACK).total
 
 
 # --- file round trips: data derived from the tables is written in the awkward
