@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sunlight.functions import parse_comma_decimal, postal_code, split_coordinate
+from sunlight.functions import (parse_comma_decimal, postal_code, speciality_label,
+                                split_coordinate)
 from sunlight.operators import broadcast_if_small, first_by_order, group_max_lookup
 from sunlight.operators.joins import DEFAULT_MAX_ROWS
 from sunlight.plans.columns import RAW, DeclarationColumns
@@ -35,7 +36,8 @@ def _amount(cols: DeclarationColumns):
 def recipients(raw: DataFrame, name_map: DataFrame, declarations_geo: DataFrame,
                min_total: float = 500, dedup: bool = True,
                cols: DeclarationColumns = RAW,
-               broadcast_limit: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+               broadcast_limit: int | None = DEFAULT_MAX_ROWS,
+               clean_rules=None) -> DataFrame:
     """MRT-15: amount received per recipient x payer, above ``min_total``.
 
     With ``dedup`` identical declarations (same recipient, payer, amount and
@@ -44,10 +46,15 @@ def recipients(raw: DataFrame, name_map: DataFrame, declarations_geo: DataFrame,
     among their geo-tagged declarations with the same name and city.
     ``declarations_geo`` is that mart, or any frame with (nom, ville,
     region_code) giving the same maximum, e.g. ``recipient_regions``.
+    Profession labels are the raw ones (the staging clean-up does not reach
+    this table) unless ``clean_rules`` are given.
     """
+    profession = F.col(cols.profession)
+    if clean_rules is not None:
+        profession = speciality_label(profession, clean_rules)
     base = raw.where(F.col(cols.amount).isNotNull()).select(
         F.col(cols.name).alias("nom"), F.col(cols.first_name).alias("prenom"),
-        F.col(cols.city).alias("ville"), F.col(cols.profession).alias("specialite"),
+        F.col(cols.city).alias("ville"), profession.alias("specialite"),
         F.col(cols.company).alias("labo_source"), F.col(cols.amount).alias("_amount"),
         F.col(cols.date).cast("string").alias("_date"))
     if dedup:

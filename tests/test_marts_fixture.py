@@ -204,3 +204,12 @@ def test_recipient_regions_give_the_same_lookup(m, fx):
     a = P.recipients(fx["raw"], m["name_map"], m["geo"])
     b = P.recipients(fx["raw"], m["name_map"], lean)
     assert rows(a) == rows(b)
+
+
+def test_recipients_keep_raw_professions_unless_cleaned(m, fx):
+    from sunlight.functions import DEFAULT_SPECIALITY_RULES
+    raw_labels = {r["specialite"] for r in P.recipients(fx["raw"], m["name_map"], m["geo"]).collect()}
+    assert "Médecin généraliste" in raw_labels
+    cleaned = P.recipients(fx["raw"], m["name_map"], m["geo"], clean_rules=DEFAULT_SPECIALITY_RULES)
+    labels = {r["specialite"] for r in cleaned.collect()}
+    assert labels == {"Médecin", "Pharmacien", None}
