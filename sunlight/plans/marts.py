@@ -29,14 +29,24 @@ def build_marts(spark: SparkSession, out_dir: str, declarations_raw: DataFrame,
                 dept_region: DataFrame, regions: DataFrame, specialities: DataFrame,
                 geo_points: DataFrame | None = None, min_total: float = 500,
                 decl_cols: DeclarationColumns = RAW, rx_cols: PrescriptionColumns = RX,
-                ) -> Mapping[str, str]:
-    """Write all marts; return ``{name: path}``."""
+                stage_inputs: bool = True) -> Mapping[str, str]:
+    """Write all marts; return ``{name: path}``.
+
+    With ``stage_inputs`` the two raw inputs are first written as Parquet:
+    the declarations feed five marts and the prescriptions two, so the
+    (CSV) parsing happens once and every later scan reads only the columns
+    it needs.
+    """
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
         paths[name] = write_table(df, os.path.join(out_dir, name))
         return spark.read.parquet(paths[name])
 
+    if stage_inputs:
+        declarations_raw = put("declarations_raw", declarations_raw)
+        prescriptions_raw = put("prescriptions_raw", prescriptions_raw)
+
     stg = put("stg_declarations", DEC.stg_declarations(declarations_raw, decl_cols))
     geo = put("declarations_geo", DEC.declarations_geo(stg, declarations_raw, dept_region,
                                                        decl_cols))
