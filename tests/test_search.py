@@ -103,3 +103,15 @@ def test_batch_without_usable_terms_keeps_schema(spark, s):
     out = P.search_recipients_batch(*s, tdf)
     full = P.search_recipients_batch(*s, spark.createDataFrame([("mart",)], "term string"))
     assert out.count() == 0 and out.columns == full.columns
+
+
+def test_search_runs_on_the_geo_recipient_table(spark, fx, s):
+    pts = spark.createDataFrame([("75011", "48.85, 2.38"), ("69003", "45.76, 4.85")],
+                                "`Code Postal` string, geo_point_2d string")
+    stg = P.stg_declarations(fx["raw"])
+    bridge = P.product_bridge(fx["packs"], fx["products"])
+    rec_geo = P.recipients_geo(fx["raw"], P.lab_name_map(stg, bridge), P.geo_ref(pts, fx["depts"]))
+    got = P.search_recipients(rec_geo, s[1], s[2], s[3], "durand").collect()
+    assert [(r["nom"], r["prenom"], r["latitude"], r["priority"]) for r in got] == [
+        ("DURAND", "ANNE", 48.85, 1)]
+    assert float(got[0]["montant_total"]) == 2701.0      # no de-duplication in this table
