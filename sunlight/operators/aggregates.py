@@ -45,3 +45,18 @@ def first_by_order(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[
     best = F.min(F.struct(*fields)).alias("_best")
     return (df.groupBy(*key_cols).agg(best)
             .select(*key_cols, *[F.col(f"_best.{c}").alias(c) for c in list(order_cols) + keep]))
+
+
+def dedup_sum(df: DataFrame, dedup_cols: Sequence[str], group_cols: Sequence[str],
+              amount, out: str) -> DataFrame:
+    """Drop exact duplicates on ``dedup_cols``, then sum ``amount`` per group.
+
+    ``amount`` is a column name or an expression over the de-duplicated
+    columns (e.g. a parser applied to the raw text). Two aggregates, both
+    with map-side combine: a group holding a third of all rows is spread by
+    its other columns during the de-duplication and reaches the final sum as
+    one partial row per task.
+    """
+    amount_col = F.col(amount) if isinstance(amount, str) else amount
+    return (df.select(*dedup_cols).distinct().groupBy(*group_cols)
+            .agg(F.sum(amount_col).alias(out)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sunlight.functions import (parse_comma_decimal, postal_code, speciality_label,
                                 split_coordinate)
-from sunlight.operators import broadcast_if_small, first_by_order, group_max_lookup
+from sunlight.operators import broadcast_if_small, dedup_sum, first_by_order, group_max_lookup
 from sunlight.operators.joins import DEFAULT_MAX_ROWS
 from sunlight.plans.columns import RAW, DeclarationColumns
 
@@ -57,11 +57,14 @@ def recipients(raw: DataFrame, name_map: DataFrame, declarations_geo: DataFrame,
         F.col(cols.city).alias("ville"), profession.alias("specialite"),
         F.col(cols.company).alias("labo_source"), F.col(cols.amount).alias("_amount"),
         F.col(cols.date).cast("string").alias("_date"))
+    keys = ["nom", "prenom", "ville", "specialite", "labo_source"]
+    total = F.sum(parse_comma_decimal("_amount")).cast("decimal(38,2)")
     if dedup:
-        base = base.distinct()
-    agg = (base.groupBy("nom", "prenom", "ville", "specialite", "labo_source")
-           .agg(F.sum(parse_comma_decimal("_amount")).cast("decimal(38,2)").alias("montant_total"))
-           .where(F.col("montant_total") > F.lit(min_total)))
+        agg = dedup_sum(base, base.columns, keys, parse_comma_decimal("_amount"), "montant_total")
+        agg = agg.withColumn("montant_total", F.col("montant_total").cast("decimal(38,2)"))
+    else:
+        agg = base.groupBy(*keys).agg(total.alias("montant_total"))
+    agg = agg.where(F.col("montant_total") > F.lit(min_total))
     named = (agg.alias("a")
              .join(broadcast_if_small(name_map, broadcast_limit).alias("m"),
                    F.col("a.labo_source") == F.col("m.name_transparence"), "left")

@@ -18,8 +18,8 @@ def test_entry_smoke(spark):
                           "pct_princeps", "roi_influence"]
 
 
-@pytest.mark.parametrize("name", ["influence_fact", "recipients", "lab_top_products", "geo_ref",
-                                  "search_batch"])
+@pytest.mark.parametrize("name", ["fact_influence", "recipients", "top3_products", "geo_ref_first",
+                                  "search_batch", "dedup_sum"])
 def test_partition_independence(spark, name):
     q = E.queries()[name]
     before = spark.conf.get("spark.sql.shuffle.partitions")
