@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -23,18 +24,35 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "sunlight",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def partitions_for(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES,
+                   minimum: int = 8) -> int:
+    """Shuffle partition count so that each partition of the largest shuffle
+    holds about ``target_bytes`` (fits an executor's memory without spilling);
+    AQE then coalesces small partitions and splits skewed ones at run time."""
+    return max(minimum, math.ceil(input_bytes / target_bytes))
+
+
+def build_session(master: str | None = "local[8]", app: str = "sunlight",
+                  shuffle_partitions: int | None = 8, extra: dict | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    On a cluster pass ``master=None`` and let the launcher decide; size
-    ``shuffle_partitions`` to roughly input_bytes / 128 MB.
+    On a cluster pass ``master=None`` and let the launcher decide, and give
+    ``input_bytes`` (the size of the largest input) instead of a partition
+    count: ~100 TB at 128 MB per partition is ~800k shuffle partitions.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if input_bytes is not None:
+        shuffle_partitions = partitions_for(input_bytes)
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(TARGET_PARTITION_BYTES)
+        conf["spark.sql.files.maxPartitionBytes"] = str(TARGET_PARTITION_BYTES)
+    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -121,3 +121,9 @@ def test_report_formatting(spark):
     assert one(spark, format_amount, 9_901_000_000.0, "double") == "9,9 Milliards d'euros"
     assert one(spark, format_amount, 1_250_000.0, "double") == "1,3 M€"
     assert one(spark, fr_grouped_integer, 1234567.5, "double") == "1\u202f234\u202f568"
+
+
+def test_partition_sizing():
+    from sunlight.session import partitions_for
+    assert partitions_for(10 * 1024 ** 2) == 8
+    assert partitions_for(100 * 1024 ** 4) == 819200
