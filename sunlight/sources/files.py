@@ -108,7 +108,7 @@ def _positional(arr, columns: Mapping[int, str], na_values: Iterable[str]):
     return cols
 
 
-def read_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: "str | Sequence[str]", encoding: str) -> DataFrame:
     """Each line as one text column, decoded with ``encoding`` (the plain
     ``text`` source ignores encodings), quoting off."""
     return (spark.read.schema("line string").option("sep", _ONE_COLUMN_SEP)
@@ -119,32 +119,47 @@ def read_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
             .select(F.regexp_replace("line", "\r$", "").alias("line")))
 
 
-def read_tolerant_tsv(spark: SparkSession, path: str, columns: Mapping[int, str],
-                      encoding: str = "ISO-8859-1", sep: str = "\t",
-                      width: int | None = None,
-                      na_values: Iterable[str] = PANDAS_NA_VALUES) -> DataFrame:
-    """SRC-4: headerless tab-separated file with a tolerant row policy.
-
-    The expected width is the field count of the file's first line (or
-    ``width``). Longer lines are skipped, shorter lines are padded with
-    NULL, and tokens listed in ``na_values`` become NULL. Columns are picked
-    by position and renamed (``columns = {position: name}``). Quoting is not
-    interpreted. One file per call, like the loader it replaces; the width
-    probe reads only the first line.
-    """
-    lines = read_lines(spark, path, encoding)
+def _first_width(spark: SparkSession, path: str, encoding: str, sep: str) -> int | None:
+    first = read_lines(spark, path, encoding).first()
+    return None if first is None else len(first["line"].split(sep))
+
+
+def _tolerant(spark: SparkSession, paths, columns, encoding, sep, width, na_values) -> DataFrame:
     arr = F.split(F.col("line"), _regex_literal(sep), -1)
-    if width is None:
-        first = lines.first()
-        if first is None:
-            raise ValueError(f"{path} is empty")
-        width = len(first["line"].split(sep))
-    return (lines.where(F.col("line") != "")
+    return (read_lines(spark, paths, encoding).where(F.col("line") != "")
             .select(arr.alias("f"))
             .where(F.size("f") <= width)
             .select(*_positional(F.col("f"), columns, na_values)))
 
 
+def read_tolerant_tsv(spark: SparkSession, path: "str | Sequence[str]", columns: Mapping[int, str],
+                      encoding: str = "ISO-8859-1", sep: str = "\t",
+                      width: int | None = None,
+                      na_values: Iterable[str] = PANDAS_NA_VALUES) -> DataFrame:
+    """SRC-4: headerless tab-separated files with a tolerant row policy.
+
+    The expected width of each file is the field count of its first line
+    (or ``width`` for all). Longer lines are skipped, shorter lines are
+    padded with NULL, and tokens listed in ``na_values`` become NULL.
+    Columns are picked by position and renamed (``columns = {position:
+    name}``). Quoting is not interpreted. Files are probed concurrently (one
+    line each), grouped by width, and each group is one distributed read.
+    """
+    if width is not None:
+        return _tolerant(spark, path, columns, encoding, sep, width, na_values)
+    files = list_files(spark, path)
+    with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
+        widths = list(pool.map(lambda f: _first_width(spark, f, encoding, sep), files))
+    groups: dict[int, list[str]] = {}
+    for f, w in zip(files, widths):
+        if w is not None:
+            groups.setdefault(w, []).append(f)
+    if not groups:
+        raise ValueError(f"no non-empty file under {path!r}")
+    frames = [_tolerant(spark, fs, columns, encoding, sep, w, na_values) for w, fs in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
 def read_headerless_tsv(spark: SparkSession, path: str, columns: Mapping[int, str],
                         width: int | None = None, encoding: str = "UTF-8",
                         sep: str = "\t") -> DataFrame:

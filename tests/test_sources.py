@@ -77,3 +77,21 @@ def test_geo_points_keep_text_codes(spark, tmp_path):
     df = read_geo_points(spark, p)
     assert sorted(tuple(r) for r in df.collect()) == sorted(
         [("01000", "46.2, 5.2"), ("2A004", "41.9, 8.7"), ("75011", None)], key=str)
+
+
+def test_tolerant_tsv_width_is_per_file(spark, tmp_path):
+    d = tmp_path / "cat"
+    d.mkdir()
+    write(d / "a.txt", "a0\ta1\ta2\na0\ta1\ta2\tX\n", encoding="latin-1")      # width 3
+    write(d / "b.txt", "b0\tb1\tb2\tb3\nc0\tc1\tc2\tc3\n", encoding="latin-1")  # width 4
+    df = read_tolerant_tsv(spark, str(d), {0: "k", 3: "last"})
+    got = sorted(tuple(r) for r in df.collect())
+    assert got == [("a0", None), ("b0", "b3"), ("c0", "c3")]
+
+
+def test_empty_inputs_raise(spark, tmp_path):
+    d = tmp_path / "empty"
+    d.mkdir()
+    write(d / "e.txt", "", encoding="latin-1")
+    with pytest.raises(Exception):
+        read_tolerant_tsv(spark, str(d), {0: "k"})
