@@ -6,13 +6,18 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 DEFAULT_MAX_ROWS = 1_000_000
+DEFAULT_MAX_BYTES = 256 * 1024 * 1024
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_MAX_ROWS,
-                       persist: bool = True) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking it has at most ``max_rows`` rows.
+                       persist: bool = True,
+                       max_bytes: int | None = DEFAULT_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only after checking it has at most ``max_rows``
+    rows and about ``max_bytes`` bytes.
 
-    The check runs ``limit(max_rows + 1).count()``. With ``persist`` the
+    One job over ``limit(max_rows + 1)`` counts the rows and sums their
+    serialized (JSON) length, so a side with few but very wide rows is not
+    broadcast either. With ``persist`` the
     frame is cached first, so a derived side (an aggregate, a catalogue
     join) is computed once for the check and reused by the broadcast; a
     lost cached block is recomputed from lineage. Beyond the bound the frame
@@ -24,8 +29,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_MAX_ROWS,
         return df
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                       F.sum(F.octet_length(F.to_json(row))).alias("b")).first()
+    if probe["n"] <= max_rows and (max_bytes is None or (probe["b"] or 0) <= max_bytes):
         return F.broadcast(df)
     if persist:
         df.unpersist()

@@ -55,3 +55,18 @@ def test_filters_and_columns_reach_the_scan(spark):
     p = plan(df)
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in p
     assert "ReadSchema: struct<l_extendedprice:double,l_returnflag:string>" in p
+
+
+def test_broadcast_check_bounds_rows_and_bytes(spark):
+    from sunlight.operators import broadcast_if_small
+    small = spark.range(100).select(F.col("id"), F.lit("x").alias("v"))
+    big_left = spark.range(10_000).select(F.col("id"))
+    hinted = plan(big_left.join(broadcast_if_small(small, max_rows=1000), "id"))
+    assert "BroadcastHashJoin" in hinted
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        too_many = plan(big_left.join(broadcast_if_small(small, max_rows=10), "id"))
+        too_wide = plan(big_left.join(broadcast_if_small(small, max_rows=1000, max_bytes=100), "id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in too_many and "BroadcastHashJoin" not in too_wide
