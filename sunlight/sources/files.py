@@ -160,24 +160,36 @@ def read_tolerant_tsv(spark: SparkSession, path: "str | Sequence[str]", columns:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def read_headerless_tsv(spark: SparkSession, path: str, columns: Mapping[int, str],
+def _strict(spark: SparkSession, paths, columns, width, encoding, sep) -> DataFrame:
+    names = [f"_c{i}" for i in range(width)]
+    df = (spark.read.schema(_string_schema(names)).option("sep", sep)
+          .option("quote", "").option("header", False).option("encoding", encoding)
+          .option("mode", "FAILFAST").option("columnPruning", False).csv(paths))
+    return df.select(*[F.col(f"_c{i}").alias(n) for i, n in columns.items()])
+
+
+def read_headerless_tsv(spark: SparkSession, path: "str | Sequence[str]", columns: Mapping[int, str],
                         width: int | None = None, encoding: str = "UTF-8",
                         sep: str = "\t") -> DataFrame:
     """SRC-3: strict headerless tab-separated scan, quoting off.
 
-    Every line must have ``width`` fields (first line's count by default);
-    anything else fails the job, as the strict reader it mirrors does.
+    Every line must have its file's width (the first line's field count, or
+    ``width`` for all files); anything else fails the job, as the strict
+    reader it mirrors does. Files are grouped by width, one read per group.
     """
-    if width is None:
-        first = read_lines(spark, path, encoding).first()
-        if first is None:
-            raise ValueError(f"{path} is empty")
-        width = len(first["line"].split(sep))
-    names = [f"_c{i}" for i in range(width)]
-    df = (spark.read.schema(_string_schema(names)).option("sep", sep)
-          .option("quote", "").option("header", False).option("encoding", encoding)
-          .option("mode", "FAILFAST").option("columnPruning", False).csv(path))
-    return df.select(*[F.col(f"_c{i}").alias(n) for i, n in columns.items()])
+    if width is not None:
+        return _strict(spark, path, columns, width, encoding, sep)
+    files = list_files(spark, path)
+    with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
+        widths = list(pool.map(lambda f: _first_width(spark, f, encoding, sep), files))
+    groups: dict[int, list[str]] = {}
+    for f, w in zip(files, widths):
+        if w is not None:
+            groups.setdefault(w, []).append(f)
+    if not groups:
+        raise ValueError(f"no non-empty file under {path!r}")
+    frames = [_strict(spark, fs, columns, w, encoding, sep) for w, fs in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def read_geo_points(spark: SparkSession, path: str, sep: str = ";",

@@ -95,3 +95,16 @@ def test_empty_inputs_raise(spark, tmp_path):
     write(d / "e.txt", "", encoding="latin-1")
     with pytest.raises(Exception):
         read_tolerant_tsv(spark, str(d), {0: "k"})
+
+
+def test_headerless_tsv_folder_and_strictness(spark, tmp_path):
+    d = tmp_path / "packs"
+    d.mkdir()
+    write(d / "a.txt", "100\tx\t3400000000001\n")
+    write(d / "b.txt", "200\ty\tz\t3400000000002\n")
+    df = read_headerless_tsv(spark, str(d), {0: "cis", 1: "second"})
+    assert sorted(tuple(r) for r in df.collect()) == [("100", "x"), ("200", "y")]
+    bad = tmp_path / "bad.txt"
+    write(bad, "1\t2\t3\n1\t2\n")
+    with pytest.raises(Exception):
+        read_headerless_tsv(spark, str(bad), {0: "a"}).collect()
