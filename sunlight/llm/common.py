@@ -35,3 +35,10 @@ def from_key(col: str = "doc_id") -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def restored(kind: type, state: dict):
+    """An object of ``kind`` with these attributes: models are broadcast as plain state."""
+    made = kind.__new__(kind)
+    vars(made).update(state)
+    return made
