@@ -74,8 +74,8 @@ def _points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     low = raw < 0x10000
     out = np.where(low, _LETTERS[0][np.where(low, raw, 0)], raw)
     ends = np.cumsum([len(t) + 1 for t in texts])
-    keep = np.ones(len(out), bool)
-    keep[1:] = (out[1:] != 32) | (out[:-1] != 32)       # runs of other characters are one space
+    keep = out != 32                                    # runs of other characters are one space, none at a start
+    keep[1:] |= out[:-1] != 32
     kept_upto = np.r_[0, np.cumsum(keep)]
     return out[keep], kept_upto[ends]
 

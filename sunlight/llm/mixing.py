@@ -3,7 +3,9 @@
 A classifier learned from a labelled table predicts, for every document,
 posteriors over domains. Nonnegative document rates are then fitted so that
 the expected tokens of each domain, sum of rate x tokens x posterior, match
-targets in least squares, by projected-gradient steps on executors.
+targets in least squares, by projected-gradient steps on executors. (The
+least-squares metric is that of the domains' Gram matrix, so small domains
+count as much as large ones.)
 
 Classifier: Bernoulli naive Bayes over hashed words and binned shares of
 character classes; buckets whose presence does not differ significantly
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import stash, table
@@ -40,8 +43,8 @@ BUCKETS = 1 << 15
 LABELLED = 20_000
 LEAST_CHI2, LEAST_SEEN = 20.0, 3
 CELLS = 1000
-MOST_STEPS = 200
-TOLERANCE = 1e-4
+MOST_STEPS = 40
+TOLERANCE = 5e-4
 SHARE_BINS = 10
 
 # Production domains and weights: the labelled table's classes.
@@ -162,30 +165,35 @@ def rate_of(cell: Column, steps: list[list[float]], cells: int = CELLS) -> Colum
 
 def fit_rates(cells_table: DataFrame, targets: list[float], cells: int = CELLS, most_steps: int = MOST_STEPS,
               tolerance: float = TOLERANCE) -> tuple[list[list[float]], list[float]]:
-    """(steps for ``rate_of``, reached totals). ``cells_table``: cell (array of int), tokens."""
+    """(steps for ``rate_of``, reached totals). ``cells_table``: cell (array of int), tokens.
+
+    A step moves along the gradient in the metric of the Gram matrix of the
+    rates above zero, which is exact until a rate reaches zero. Should the loss
+    grow, the remaining steps use the Gram matrix of all rates, whose steps never
+    grow it.
+    """
     width = len(targets)
     share = lambda k: F.get("cell", F.lit(k)) / F.lit(float(cells))
-    gram = cells_table.agg(*[F.sum(F.col("tokens") * share(i) * share(j)).alias(f"g{i}_{j}")
-                             for i in range(width) for j in range(width)]).first()
-    g = [[float(gram[f"g{i}_{j}"] or 0.0) for j in range(width)] for i in range(width)]
-    # Residual of a domain weighs 1 / its own Gram entry, so the scaled matrix has ones on its diagonal.
-    scale = [1.0 / g[k][k] if g[k][k] > 0 else 0.0 for k in range(width)]
-    bound = max((sum(abs(g[i][j]) * math.sqrt(scale[i] * scale[j]) for j in range(width)) for i in range(width)),
-                default=1.0) or 1.0
-    steps: list[list[float]] = []
-    reached, before = [0.0] * width, math.inf
-    for _ in range(most_steps + 1):
-        rate = rate_of(F.col("cell"), steps, cells)
-        got = cells_table.withColumn("r", rate * F.col("tokens")).agg(
-            *[F.sum(F.col("r") * share(k)).alias(f"t{k}") for k in range(width)]).first()
-        reached = [float(got[f"t{k}"] or 0.0) for k in range(width)]
-        off = [reached[k] - targets[k] for k in range(width)]
-        loss = sum(o * o * s for o, s in zip(off, scale))
-        close = all(abs(o) <= tolerance * max(1.0, t) for o, t in zip(off, targets))
-        if close or (before < math.inf and before - loss <= tolerance * before) or len(steps) == most_steps:
+    weight = lambda i, j: F.col("tokens") * share(i) * share(j)
+    pairs = [(i, j) for i in range(width) for j in range(width)]
+    wanted, steps, before, careful = np.array(targets), [], math.inf, False
+    while True:
+        row = cells_table.withColumn("r", rate_of(F.col("cell"), steps, cells)).agg(
+            *[F.sum(F.col("r") * F.col("tokens") * share(k)) for k in range(width)],
+            *[F.sum(weight(i, j)) for i, j in pairs],
+            *[F.sum(F.when(F.col("r") > 0, weight(i, j))) for i, j in pairs]).first()
+        numbers = np.array([float(v or 0.0) for v in row])
+        reached, off = numbers[:width].tolist(), numbers[:width] - wanted
+        every, live = (m.reshape(width, width) for m in np.split(numbers[width:], 2))
+        metric = np.linalg.pinv(every, hermitian=True)
+        loss = float(off @ metric @ off)
+        close = (np.abs(off) <= tolerance * np.maximum(1.0, wanted)).all()
+        stalled = before < math.inf and before - loss <= tolerance * before
+        if close or len(steps) >= most_steps or (stalled and (careful or loss <= before)):
             break
+        careful = careful or stalled
         before = loss
-        steps.append([off[k] * scale[k] / bound for k in range(width)])
+        steps.append(((metric if careful else np.linalg.pinv(live, hermitian=True)) @ off).tolist())
     return steps, reached
 
 
