@@ -10,7 +10,7 @@ from sunlight.functions.names import (LAB_NAME_PATTERN, DEFAULT_GROUP_RULES,
                                       group_key)
 from sunlight.functions.text import (escape_like, ilike_any, speciality_label,
                                      DEFAULT_SPECIALITY_RULES, format_amount,
-                                     fr_grouped_integer)
+                                     fr_grouped_integer, sentence)
 
 __all__ = [
     "parse_comma_decimal", "parse_fr_number", "to_money_text", "round_half_up",
@@ -18,5 +18,5 @@ __all__ = [
     "LAB_NAME_PATTERN", "DEFAULT_GROUP_RULES", "normalise_lab_name",
     "strip_leading_article", "group_key", "escape_like", "ilike_any",
     "speciality_label", "DEFAULT_SPECIALITY_RULES", "format_amount",
-    "fr_grouped_integer",
+    "fr_grouped_integer", "sentence",
 ]

@@ -8,6 +8,8 @@ Fixed values:
 * Report wording: ``" Milliards d'euros"`` above one billion, ``" M€"``
   otherwise, one decimal with a decimal comma; French digit grouping uses
   U+202F (narrow no-break space).
+* Report sentences (HEADLINE, FUNDING, RETURN, SHARE, RESEARCH): their fixed
+  parts, in order, with the values between them.
 """
 
 from __future__ import annotations
@@ -26,6 +28,14 @@ DEFAULT_SPECIALITY_RULES: list[tuple[tuple[str, ...], str]] = [
 BILLION_SUFFIX = " Milliards d'euros"
 MILLION_SUFFIX = " M€"
 FR_GROUP_SEPARATOR = "\u202f"
+HEADLINE = ("AUDIT SUR ", " ANALYSÉS")
+FUNDING = ("Cet acteur a perçu un financement cumulé de ", " € de la part du laboratoire ", ".")
+RETURN = ("L'investissement est extrêmement rentable : pour chaque euro versé ici, la collectivité rembourse "
+          "au laboratoire ", " € de médicaments de marque dans cette région.")
+SHARE = ("Conséquence directe : dans ce secteur, ", "% des prescriptions du labo concernent ses produits de marque "
+         "(ex: ", "), au détriment des génériques.")
+RESEARCH = ("Note : Ce financement concerne la recherche. L'influence directe sur les ordonnances n'est pas encore "
+            "indexée.")
 # --------------------------------------------------------------------------
 
 
@@ -76,3 +86,11 @@ def fr_grouped_integer(c) -> Column:
     """Round half-up to an integer and group digits the French way."""
     r = F.round(as_col(c).cast("decimal(38,6)"), 0)
     return F.replace(F.format_number(r, 0), F.lit(","), F.lit(FR_GROUP_SEPARATOR))
+
+
+def sentence(parts: Sequence[str], *values: Column) -> Column:
+    """Fixed parts with the values between them; a NULL value reads as empty."""
+    out = [F.lit(parts[0])]
+    for value, part in zip(values, parts[1:]):
+        out += [F.coalesce(value.cast("string"), F.lit("")), F.lit(part)]
+    return F.concat(*out)

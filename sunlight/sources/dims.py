@@ -1,16 +1,20 @@
 """Reference dimensions (SRC-7).
 
-They are tiny by construction (96 / 18 / 23 literal rows, or the rows a
-user passes in from driver memory), so they are returned marked for
+The defaults are literal rows (96 / 18 / 23), so they are returned marked for
 broadcast: the size bound is the literal itself. (A frame built from local
 rows is an RDD scan whose size the planner does not know, so without the
-mark it would shuffle the large side to join a 96-row table.)
+mark it would shuffle the large side to join a 96-row table.) Rows given
+instead are marked only up to ``MARKED_ROWS``. ``path`` reads a dimension from a
+CSV file with the same header, which a user can extend; ``write_dims`` writes
+the defaults there to start from. The planner knows a file's size itself.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sunlight.sources.files import read_text_csv
+
 # --- fixed values: department -> region (96 rows) --------------------------
 DEPT_TO_REGION = [
     ("01", "84"), ("02", "32"), ("03", "84"), ("04", "93"), ("05", "93"), ("06", "93"),
@@ -59,17 +63,35 @@ REGION_SCHEMA = "code string, libelle_reg string"
 SPECIALITY_SCHEMA = "code int, libelle string"
 
 
-def _local(spark: SparkSession, rows, schema: str) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+MARKED_ROWS = 10_000
+
+
+def _dim(spark: SparkSession, rows, path: str | None, default, schema: str) -> DataFrame:
+    if path is not None:
+        columns = [field.split() for field in schema.split(", ")]
+        return read_text_csv(spark, path).select(*[F.col(n).cast(t).alias(n) for n, t in columns])
+    rows = list(default if rows is None else rows)
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= MARKED_ROWS else df
+
+
+def dim_dept_region(spark: SparkSession, rows=None, path: str | None = None) -> DataFrame:
+    return _dim(spark, rows, path, DEPT_TO_REGION, DEPT_SCHEMA)
 
 
-def dim_dept_region(spark: SparkSession, rows=None) -> DataFrame:
-    return _local(spark, rows if rows is not None else DEPT_TO_REGION, DEPT_SCHEMA)
+def dim_region(spark: SparkSession, rows=None, path: str | None = None) -> DataFrame:
+    return _dim(spark, rows, path, REGIONS, REGION_SCHEMA)
 
 
-def dim_region(spark: SparkSession, rows=None) -> DataFrame:
-    return _local(spark, rows if rows is not None else REGIONS, REGION_SCHEMA)
+def dim_speciality(spark: SparkSession, rows=None, path: str | None = None) -> DataFrame:
+    return _dim(spark, rows, path, SPECIALITIES, SPECIALITY_SCHEMA)
 
 
-def dim_speciality(spark: SparkSession, rows=None) -> DataFrame:
-    return _local(spark, rows if rows is not None else SPECIALITIES, SPECIALITY_SCHEMA)
+def write_dims(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """The default dimensions as CSV folders, to be extended by hand."""
+    paths = {}
+    for name, df in (("dept_region", dim_dept_region(spark)), ("region", dim_region(spark)),
+                     ("speciality", dim_speciality(spark))):
+        paths[name] = f"{out_dir}/{name}"
+        df.write.mode("overwrite").option("header", True).csv(paths[name])
+    return paths

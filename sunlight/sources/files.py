@@ -4,15 +4,17 @@ Everything is read as text first, with explicit string schemas: the files
 are administrative exports whose types cannot be trusted, so inference is
 never used (it would also turn postal codes into numbers).
 
-The driver only touches metadata here: the file list and one header line
-per file. All rows are parsed by executor tasks.
+The driver only touches metadata here: the file list and the first line of
+each file, which one distributed job reads. All rows are parsed by tasks.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import csv
+import re
 from functools import reduce
-from typing import Iterable, Mapping, Sequence
+from typing import Iterable, Mapping, NamedTuple, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -38,20 +40,76 @@ def _string_schema(names: Sequence[str]) -> T.StructType:
 
 def list_files(spark: SparkSession, paths: "str | Sequence[str]") -> list[str]:
     """Expand globs/directories into the file list (file index metadata only)."""
-    return sorted(spark.read.format("text").load(paths).inputFiles())
+    return sorted(unquote(f) for f in spark.read.format("text").load(paths).inputFiles())
 
 
-def read_text_csv(spark: SparkSession, paths: "str | Sequence[str]", sep: str = ",",
-                  encoding: str = "UTF-8") -> DataFrame:
-    """SRC-1: CSV with a header line, every column read as text."""
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("sep", sep).option("encoding", encoding).csv(paths))
+def _same_path(path: str) -> str:
+    """Paths as listed and as reported by the scan differ in the slashes of their scheme."""
+    return re.sub(r"^(\w+):/+", r"\1:/", path)
+
+
+def first_lines(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> dict[str, str]:
+    """First non-empty line of each file, read by one job with one task per file.
+
+    A task stops after its file's first line, so the job costs one block per
+    file whatever the file sizes. Files without a line are left out.
+    """
+    one_file = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50)}
+    saved = {k: spark.conf.get(k) for k in one_file}
+
+    def head(batches):
+        for b in batches:
+            if len(b):
+                yield b.head(1)
+                return
+
+    try:
+        for k, v in one_file.items():
+            spark.conf.set(k, v)
+        rows = (_lines_of(spark, list(files), encoding)
+                .select(F.col("_metadata.file_path").alias("path"), "line")
+                .mapInPandas(head, "path string, line string").collect())
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    found = {_same_path(unquote(r["path"])): r["line"] for r in rows}
+    return {f: found[_same_path(f)] for f in files if _same_path(f) in found}
+
+
+def _fields(line: str, sep: str, quote: str | None = '"') -> list[str]:
+    line = line.removeprefix("\ufeff").removesuffix("\r")
+    if not quote:
+        return line.split(sep)
+    return next(csv.reader([line], delimiter=sep, quotechar=quote), [])
+
+
+def headers_of(spark: SparkSession, files: Sequence[str], sep: str, encoding: str = "UTF-8") -> dict[str, tuple]:
+    """Column names of each file that has a first line."""
+    return {f: tuple(_fields(line, sep)) for f, line in first_lines(spark, files, encoding).items()}
 
 
-def header_of(spark: SparkSession, path: str, sep: str, encoding: str = "UTF-8") -> list[str]:
-    """Column names from the first line of one file (reads that line only)."""
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("sep", sep).option("encoding", encoding).csv(path).columns)
+def _csv_reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool):
+    """RFC 4180 quoting: a doubled quote is a quote, a backslash is itself, and a
+    quoted field may hold separators and (with ``multi_line``) line breaks."""
+    return (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+            .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
+
+
+def read_text_csv(spark: SparkSession, paths: "str | Sequence[str]", sep: str = ",",
+                  encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
+    """SRC-1: CSV with a header line, every column read as text.
+
+    ``multi_line`` keeps records whose quoted fields hold line breaks whole;
+    a file is then parsed by one task. Turn it off for large files known to have
+    none, so that they are split. Several files must have the same header;
+    use ``read_csv_union_by_name`` for files that drift.
+    """
+    files = list_files(spark, paths)
+    if len(files) > 1:
+        headers = headers_of(spark, files, sep, encoding)
+        if len(set(headers.values())) > 1:
+            raise ValueError(f"files with different headers: {headers}; use read_csv_union_by_name")
+    return _csv_reader(spark, sep, encoding, multi_line).option("inferSchema", False).csv(paths)
 
 
 def lower_columns(df: DataFrame) -> DataFrame:
@@ -62,39 +120,60 @@ def lower_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*lowered)
 
 
-def read_csv_union_by_name(spark: SparkSession, paths: "str | Sequence[str]", sep: str = ";",
-                           encoding: str = "UTF-8", lower: bool = True) -> DataFrame:
+class CsvRead(NamedTuple):
+    rows: DataFrame       # the records that fit their file's header
+    rejected: DataFrame   # file, record: those that do not
+
+
+_BAD = "_rejected_record"
+
+
+def read_csv_union(spark: SparkSession, paths: "str | Sequence[str]", sep: str = ";", encoding: str = "UTF-8",
+                   lower: bool = True, multi_line: bool = True,
+                   headers: Mapping[str, Sequence[str]] | None = None) -> CsvRead:
     """SRC-2: many CSV files whose headers drift; align columns by name.
 
     Files are grouped by their exact header; each group is one distributed
-    read with an explicit all-text schema in DROPMALFORMED mode (rows whose
-    field count differs from their file's header are dropped). CSV column
-    pruning is switched off for these reads so that which rows are dropped
-    does not depend on the columns a later query selects. Groups are then
-    combined with ``unionByName(allowMissingColumns=True)``.
-
-    A single glob read would apply the first file's header to every file by
-    position and silently shift columns; this never does that.
+    read with an explicit all-text schema. Groups are combined with
+    ``unionByName(allowMissingColumns=True)``. Records whose field count differs
+    from their file's header are not lost: they are the second frame, with their
+    file and text, to be counted or written. ``headers`` (file to column names)
+    saves the job that reads first lines where a manifest is at hand.
+
+    CSV column pruning is switched off for these reads so that which records are
+    rejected does not depend on the columns a later query selects. A single
+    glob read would apply the first file's header to every file by position and
+    silently shift columns; this never does that.
     """
     files = list_files(spark, paths)
-    # One tiny job per file reads its first line; the jobs run concurrently.
-    with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
-        headers = list(pool.map(lambda f: tuple(header_of(spark, f, sep, encoding)), files))
+    known = {f: tuple(h) for f, h in headers.items()} if headers else headers_of(spark, files, sep, encoding)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f, h in zip(files, headers):
-        groups.setdefault(h, []).append(f)
+    for f in files:
+        if f in known:
+            groups.setdefault(known[f], []).append(f)
     if not groups:
-        raise FileNotFoundError(f"no input files under {paths!r}")
-    frames = []
-    for header, files in groups.items():
-        frames.append(
-            spark.read.schema(_string_schema(header))
-            .option("header", True).option("sep", sep).option("encoding", encoding)
-            .option("mode", "DROPMALFORMED").option("columnPruning", False)
-            .option("enforceSchema", True)
-            .csv(files))
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return lower_columns(out) if lower else out
+        raise FileNotFoundError(f"no input lines under {paths!r}")
+    rows, rejected = [], []
+    for header, group in groups.items():
+        if len(set(header)) != len(header):
+            raise ValueError(f"repeated column names in {group[0]}: {header}")
+        read = (_csv_reader(spark, sep, encoding, multi_line)
+                .schema(T.StructType([*_string_schema(header), T.StructField(_BAD, T.StringType(), True)]))
+                .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
+                .option("columnPruning", False).option("enforceSchema", True).csv(group))
+        # The test names a data column too: a scan of the record column alone is refused.
+        bad = F.concat(F.col(_BAD), F.coalesce(F.col(f"`{header[0]}`"), F.lit("")))
+        rows.append(read.where(bad.isNull()).drop(_BAD))
+        rejected.append(read.where(bad.isNotNull()).select(
+            F.col("_metadata.file_path").alias("file"), F.col(_BAD).alias("record")))
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return CsvRead(lower_columns(out) if lower else out, reduce(lambda a, b: a.unionByName(b), rejected))
+
+
+def read_csv_union_by_name(spark: SparkSession, paths: "str | Sequence[str]", sep: str = ";",
+                           encoding: str = "UTF-8", lower: bool = True, multi_line: bool = True) -> DataFrame:
+    """The rows of ``read_csv_union``; use that one to see what was rejected."""
+    return read_csv_union(spark, paths, sep, encoding, lower, multi_line).rows
 
 
 def _positional(arr, columns: Mapping[int, str], na_values: Iterable[str]):
@@ -108,20 +187,29 @@ def _positional(arr, columns: Mapping[int, str], na_values: Iterable[str]):
     return cols
 
 
-def read_lines(spark: SparkSession, path: "str | Sequence[str]", encoding: str) -> DataFrame:
-    """Each line as one text column, decoded with ``encoding`` (the plain
+def _lines_of(spark: SparkSession, path: "str | Sequence[str]", encoding: str) -> DataFrame:
+    """Each non-empty line as one text column, decoded with ``encoding`` (the plain
     ``text`` source ignores encodings), quoting off."""
     return (spark.read.schema("line string").option("sep", _ONE_COLUMN_SEP)
             .option("quote", "").option("escape", "").option("header", False)
             .option("encoding", encoding).option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False).csv(path)
-            .where(F.col("line").isNotNull())
-            .select(F.regexp_replace("line", "\r$", "").alias("line")))
+            .where(F.col("line").isNotNull()))
 
 
-def _first_width(spark: SparkSession, path: str, encoding: str, sep: str) -> int | None:
-    first = read_lines(spark, path, encoding).first()
-    return None if first is None else len(first["line"].split(sep))
+def read_lines(spark: SparkSession, path: "str | Sequence[str]", encoding: str) -> DataFrame:
+    """The non-empty lines of text files, without their line ends."""
+    return _lines_of(spark, path, encoding).select(F.regexp_replace("line", "\r$", "").alias("line"))
+
+
+def _widths(spark: SparkSession, path, encoding: str, sep: str, quote: str | None) -> dict[int, list[str]]:
+    """Files by the field count of their first line."""
+    groups: dict[int, list[str]] = {}
+    for f, line in first_lines(spark, list_files(spark, path), encoding).items():
+        groups.setdefault(len(_fields(line, sep, quote)), []).append(f)
+    if not groups:
+        raise ValueError(f"no non-empty file under {path!r}")
+    return groups
 
 
 def _tolerant(spark: SparkSession, paths, columns, encoding, sep, width, na_values) -> DataFrame:
@@ -132,31 +220,42 @@ def _tolerant(spark: SparkSession, paths, columns, encoding, sep, width, na_valu
             .select(*_positional(F.col("f"), columns, na_values)))
 
 
+def _tolerant_quoted(spark: SparkSession, paths, columns, encoding, sep, width, na_values, quote,
+                     multi_line) -> DataFrame:
+    names = [f"_c{i}" for i in range(width)]
+    read = (spark.read.schema(T.StructType([*_string_schema(names), T.StructField(_BAD, T.StringType(), True)]))
+            .option("header", False).option("sep", sep).option("encoding", encoding)
+            .option("quote", quote).option("escape", quote).option("multiLine", multi_line)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
+            .option("columnPruning", False).csv(paths))
+    # Fields of a record that does not fit: its separators outside quotes, and one.
+    q = _regex_literal(quote)
+    bare = F.regexp_replace(_BAD, f"{q}[^{q}]*+{q}", "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+    kept = read.where(F.concat(F.col(_BAD), F.coalesce("_c0", F.lit(""))).isNull() | (fields <= width))
+    return kept.select(*_positional(F.array(*names), columns, na_values))
+
+
 def read_tolerant_tsv(spark: SparkSession, path: "str | Sequence[str]", columns: Mapping[int, str],
                       encoding: str = "ISO-8859-1", sep: str = "\t",
                       width: int | None = None,
-                      na_values: Iterable[str] = PANDAS_NA_VALUES) -> DataFrame:
+                      na_values: Iterable[str] = PANDAS_NA_VALUES, quote: str | None = '"',
+                      multi_line: bool = True) -> DataFrame:
     """SRC-4: headerless tab-separated files with a tolerant row policy.
 
     The expected width of each file is the field count of its first line
     (or ``width`` for all). Longer lines are skipped, shorter lines are
     padded with NULL, and tokens listed in ``na_values`` become NULL.
     Columns are picked by position and renamed (``columns = {position:
-    name}``). Quoting is not interpreted. Files are probed concurrently (one
-    line each), grouped by width, and each group is one distributed read.
+    name}``). A field that begins with ``quote`` may hold separators, doubled
+    quotes and (with ``multi_line``, which makes a file one task) line breaks;
+    ``quote=None`` takes quotes as they are and splits large files. First
+    lines are read by one job, files are grouped by width, and each group is one
+    distributed read.
     """
-    if width is not None:
-        return _tolerant(spark, path, columns, encoding, sep, width, na_values)
-    files = list_files(spark, path)
-    with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
-        widths = list(pool.map(lambda f: _first_width(spark, f, encoding, sep), files))
-    groups: dict[int, list[str]] = {}
-    for f, w in zip(files, widths):
-        if w is not None:
-            groups.setdefault(w, []).append(f)
-    if not groups:
-        raise ValueError(f"no non-empty file under {path!r}")
-    frames = [_tolerant(spark, fs, columns, encoding, sep, w, na_values) for w, fs in groups.items()]
+    groups = {width: path} if width is not None else _widths(spark, path, encoding, sep, quote)
+    frames = [_tolerant_quoted(spark, fs, columns, encoding, sep, w, na_values, quote, multi_line) if quote
+              else _tolerant(spark, fs, columns, encoding, sep, w, na_values) for w, fs in groups.items()]
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
@@ -177,17 +276,7 @@ def read_headerless_tsv(spark: SparkSession, path: "str | Sequence[str]", column
     ``width`` for all files); anything else fails the job, as the strict
     reader it mirrors does. Files are grouped by width, one read per group.
     """
-    if width is not None:
-        return _strict(spark, path, columns, width, encoding, sep)
-    files = list_files(spark, path)
-    with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
-        widths = list(pool.map(lambda f: _first_width(spark, f, encoding, sep), files))
-    groups: dict[int, list[str]] = {}
-    for f, w in zip(files, widths):
-        if w is not None:
-            groups.setdefault(w, []).append(f)
-    if not groups:
-        raise ValueError(f"no non-empty file under {path!r}")
+    groups = {width: path} if width is not None else _widths(spark, path, encoding, sep, None)
     frames = [_strict(spark, fs, columns, w, encoding, sep) for w, fs in groups.items()]
     return reduce(lambda a, b: a.unionByName(b), frames)
 

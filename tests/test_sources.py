@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from sunlight.sources import (read_csv_union_by_name, read_geo_points, read_headerless_tsv,
+from sunlight.sources import (read_csv_union, read_csv_union_by_name, read_geo_points, read_headerless_tsv,
                               read_tolerant_tsv, read_text_csv, lower_columns)
 
 
@@ -35,10 +35,82 @@ def test_union_by_name_drops_bad_rows(spark, drift_dir):
     assert df.select("cip13").count() == 6
 
 
-def test_single_glob_read_is_the_trap(spark, drift_dir):
-    # negative control: one read applies A's header to B by position
-    df = read_text_csv(spark, drift_dir + "/*.CSV", sep=";")
-    assert sorted(df.columns) != ["ben_reg", "cip13", "extra", "rem"]
+def test_files_with_different_headers_are_refused(spark, drift_dir, tmp_path):
+    # one read would apply A's header to B by position
+    with pytest.raises(ValueError, match="different headers"):
+        read_text_csv(spark, drift_dir + "/*.CSV", sep=";")
+    d = tmp_path / "same"
+    d.mkdir()
+    write(d / "a.csv", "a,b\n1,2\n")
+    write(d / "b.csv", "a,b\n3,4\n")
+    assert sorted(tuple(r) for r in read_text_csv(spark, str(d)).collect()) == [("1", "2"), ("3", "4")]
+
+
+def test_rejected_records_are_kept_apart(spark, drift_dir):
+    read = read_csv_union(spark, drift_dir + "/*.CSV", sep=";")
+    got = sorted((os.path.basename(r["file"]), r["record"]) for r in read.rejected.collect())
+    assert got == [("A.CSV", "1;2;3;4"), ("B.CSV", "Y;52;2")]
+    assert read.rejected.count() == 2 and read.rows.count() == 6
+    assert read.rows.select("cip13").count() == 6
+
+
+QUOTED = 'id;note\n1;"x ""y"" z"\n2;"ends\\"\n3;ends\\\n4;"line1\nline2"\n5;"a;b"\n'
+NOTES = [("1", 'x "y" z'), ("2", "ends\\"), ("3", "ends\\"), ("4", "line1\nline2"), ("5", "a;b")]
+
+
+def test_quoted_records_survive(spark, tmp_path):
+    p = write(tmp_path / "q.csv", QUOTED)
+    assert sorted(tuple(r) for r in read_text_csv(spark, p, sep=";").collect()) == NOTES
+    read = read_csv_union(spark, p, sep=";")
+    assert sorted(tuple(r) for r in read.rows.collect()) == NOTES
+    assert read.rejected.count() == 0
+
+
+def test_a_header_manifest_saves_the_header_job(spark, drift_dir):
+    from sunlight.sources import list_files
+    files = list_files(spark, drift_dir + "/*.CSV")
+    headers = {f: (["BEN_REG", "CIP13", "REM"] if f.endswith("A.CSV") else ["CIP13", "BEN_REG", "REM", "EXTRA"]) for f in files}
+    assert read_csv_union(spark, drift_dir + "/*.CSV", sep=";", headers=headers).rows.count() == 6
+
+
+def test_first_lines_of_many_files(spark, tmp_path):
+    d = tmp_path / "many files"
+    d.mkdir()
+    for i in range(40):
+        write(d / f"f {i}.txt", f"first {i} é\n" + "more\n" * 500, encoding="latin-1")
+    write(d / "none.txt", "")
+    from sunlight.sources import first_lines, list_files
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = first_lines(spark, list_files(spark, str(d)), "ISO-8859-1")
+    assert sorted(got.values()) == sorted(f"first {i} é" for i in range(40))
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_tolerant_tsv_honours_quotes(spark, tmp_path):
+    text = ('k0\t"a\tb"\tc\n'            # first line: three fields
+            'k1\t"say ""hi"""\tc1\n'
+            'k2\t"two\nlines"\tc2\n'
+            'k3\tshort\n'
+            'k4\t"x\ty"\tc4\textra\n'   # too long: skipped
+            'k5\tplain"quote\tc5\n')
+    p = write(tmp_path / "q.txt", text, encoding="latin-1")
+    df = read_tolerant_tsv(spark, p, {0: "k", 1: "v", 2: "c"})
+    assert sorted((tuple(r) for r in df.collect()), key=str) == sorted([
+        ("k0", "a\tb", "c"), ("k1", 'say "hi"', "c1"), ("k2", "two\nlines", "c2"), ("k3", "short", None),
+        ("k5", 'plain"quote', "c5")], key=str)
+    assert df.count() == 5
+    raw = read_tolerant_tsv(spark, write(tmp_path / "r.txt", 'k\t"v\tw\n', encoding="latin-1"), {1: "v"}, quote=None)
+    assert raw.first()["v"] == '"v'
+
+
+def test_dimensions_as_files(spark, tmp_path):
+    from sunlight.sources import DEPT_TO_REGION, dim_dept_region
+    from sunlight.sources.dims import write_dims
+    paths = write_dims(spark, str(tmp_path / "dims"))
+    with open(os.path.join(paths["dept_region"], "more.csv"), "w") as f:
+        f.write("dept_code,region_code\n20,94\n")
+    got = {tuple(r) for r in dim_dept_region(spark, path=paths["dept_region"]).collect()}
+    assert got == set(DEPT_TO_REGION) | {("20", "94")}
 
 
 def test_lower_columns_rejects_collisions(spark):
