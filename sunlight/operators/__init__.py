@@ -1,9 +1,11 @@
-from sunlight.operators.topk import top_k, top_k_per_group
+from sunlight.operators.topk import top_k, top_k_per_group, ranked_top_k
 from sunlight.operators.aggregates import (ranked_string_agg, group_max_lookup, first_by_order,
                                           dedup_sum)
-from sunlight.operators.joins import broadcast_if_small
+from sunlight.operators.joins import materialise
 from sunlight.operators.quality import join_fanout
-from sunlight.operators.profile import schema_profile, find_columns, first_rows_by_position
+from sunlight.operators.profile import (schema_profile, search_columns, find_columns,
+                                        first_rows_by_position)
 
-__all__ = ["top_k", "top_k_per_group", "ranked_string_agg", "group_max_lookup",
-           "first_by_order", "dedup_sum", "broadcast_if_small", "join_fanout", "schema_profile", "find_columns", "first_rows_by_position"]
+__all__ = ["top_k", "top_k_per_group", "ranked_top_k", "ranked_string_agg", "group_max_lookup",
+           "first_by_order", "dedup_sum", "materialise", "join_fanout", "schema_profile",
+           "search_columns", "find_columns", "first_rows_by_position"]

@@ -1,39 +1,21 @@
-"""Broadcast decisions with a checked size bound."""
+"""Derived join sides as written tables."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, types as T
 
-DEFAULT_MAX_ROWS = 1_000_000
-DEFAULT_MAX_BYTES = 256 * 1024 * 1024
+from sunlight.session import scratch_path
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_MAX_ROWS,
-                       persist: bool = True,
-                       max_bytes: int | None = DEFAULT_MAX_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking it has at most ``max_rows``
-    rows and about ``max_bytes`` bytes.
+def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet (by default into the shared folder) and read it back.
 
-    One job over ``limit(max_rows + 1)`` counts the rows and sums their
-    serialized (JSON) length, so a side with few but very wide rows is not
-    broadcast either. With ``persist`` the
-    frame is cached first, so a derived side (an aggregate, a catalogue
-    join) is computed once for the check and reused by the broadcast; a
-    lost cached block is recomputed from lineage. Beyond the bound the frame
-    is returned unpersisted and unhinted, and the join stays a shuffle join
-    (with AQE's skew handling). ``max_rows=None`` skips the check and leaves
-    the choice to the planner and AQE.
+    A derived side (an aggregate, a join of two catalogues) has no size the
+    planner could trust; a written one has. The planner then broadcasts it
+    below ``spark.sql.autoBroadcastJoinThreshold`` and plans a shuffle join
+    beyond, with no hint, no cached blocks and no extra counting job.
     """
-    if max_rows is None:
-        return df
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                       F.sum(F.octet_length(F.to_json(row))).alias("b")).first()
-    if probe["n"] <= max_rows and (max_bytes is None or (probe["b"] or 0) <= max_bytes):
-        return F.broadcast(df)
-    if persist:
-        df.unpersist()
-    return df
+    path = path or scratch_path(df.sparkSession, name)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sunlight.functions import safe_div
+
 
 def join_fanout(left: DataFrame, right: DataFrame, on: "Column | list[str] | str",
                 amount_col: str, how: str = "inner") -> DataFrame:
@@ -12,7 +14,8 @@ def join_fanout(left: DataFrame, right: DataFrame, on: "Column | list[str] | str
     Both sides are reduced to single-row aggregates on the executors and
     combined with a key-less union, so the report costs two aggregations,
     never a collect of the data. ``fanout`` > 1 means some left rows were
-    counted more than once (a many-to-many map, several departments...).
+    counted more than once (a many-to-many map, several departments...);
+    without left rows it is NULL.
     """
     before = left.agg(F.count(F.lit(1)).alias("n"), F.sum(amount_col).alias("s"))
     after = left.join(right, on, how).agg(F.count(F.lit(1)).alias("n"),
@@ -24,4 +27,4 @@ def join_fanout(left: DataFrame, right: DataFrame, on: "Column | list[str] | str
         F.max(F.when(F.col("k") == 1, F.col("n"))).alias("rows_after"),
         F.max(F.when(F.col("k") == 0, F.col("s"))).alias("amount_before"),
         F.max(F.when(F.col("k") == 1, F.col("s"))).alias("amount_after"),
-    ).withColumn("fanout", F.col("rows_after") / F.col("rows_before"))
+    ).withColumn("fanout", safe_div("rows_after", "rows_before"))

@@ -26,3 +26,12 @@ def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order: Sequence[Co
     w = Window.partitionBy(*group_cols).orderBy(*order)
     return (df.withColumn(rank_col, F.row_number().over(w))
             .where(F.col(rank_col) <= k))
+
+
+def ranked_top_k(df: DataFrame, order: Sequence[Column], k: int, rank_col: str = "rang") -> DataFrame:
+    """``top_k`` with its place (1..k) as a column, so the order survives storage.
+
+    Only the k best rows reach the numbering window.
+    """
+    return (top_k(df, order, k).withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
+            .orderBy(rank_col))

@@ -9,9 +9,10 @@ from sunlight.plans.prescriptions import (prescriptions_raw, prescriptions_mart,
                                           prescription_checks, distinct_counts,
                                           top_products_by_boxes, region_top, sales_check)
 from sunlight.plans.influence import (lab_name_map, influence_spend, influence_fact,
-                                      influence_groups, top_roi, company_focus,
+                                      influence_groups, groups_preview, top_roi, company_focus,
                                       sales_by_company_region, INFLUENCE_MOTIVES)
-from sunlight.plans.recipients import geo_ref, recipients, recipients_geo
-from sunlight.plans.search import (search_recipients, search_recipients_batch, landing_stats,
-                                   landing_labels, recipient_report)
+from sunlight.plans.recipients import (geo_ref, recipients, recipients_geo, recipient_totals,
+                                       with_catalogue_names)
+from sunlight.plans.search import (search_recipients, search_declarations, search_recipients_batch,
+                                   landing_stats, landing_labels, payer_labels, recipient_report)
 from sunlight.plans.marts import build_marts

@@ -63,7 +63,7 @@ def declarations_geo(stg: DataFrame, raw: DataFrame, dept_region: DataFrame,
 
 
 def recipient_regions(stg: DataFrame, raw: DataFrame, dept_region: DataFrame,
-                      cols: DeclarationColumns = RAW) -> DataFrame:
+                      cols: DeclarationColumns = RAW, only: DataFrame | None = None) -> DataFrame:
     """(nom, ville, region_code) rows whose per-(nom, ville) MAX equals the
     one taken over ``declarations_geo``.
 
@@ -71,9 +71,15 @@ def recipient_regions(stg: DataFrame, raw: DataFrame, dept_region: DataFrame,
     (name, city, date) - a partial aggregate before the shuffle - and only
     those keys are joined to the department list. Use it in place of
     ``declarations_geo`` for the recipients' region lookup when that mart
-    is not already materialised.
+    is not already materialised. ``only`` (columns nom, ville) limits it to these
+    recipients; the raw side is then limited to their names before it is
+    reduced.
     """
     keys = stg.select("nom", "ville", "date").distinct()
+    if only is not None:
+        wanted = only.select("nom", "ville").distinct()
+        keys = keys.join(wanted, ["nom", "ville"], "left_semi")
+        raw = raw.join(wanted.select(F.col("nom").alias(cols.name)).distinct(), cols.name, "left_semi")
     geo = raw_departments(raw, cols)
     cond = (F.col("k.nom") == F.col("g._g_name")) & (F.col("k.date") == F.col("g._g_date"))
     return (keys.alias("k").join(geo.alias("g"), cond, "left")

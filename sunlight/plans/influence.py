@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sunlight.functions import (DEFAULT_GROUP_RULES, LAB_NAME_PATTERN, group_key,
                                 normalise_lab_name, round_half_up, safe_div)
-from sunlight.operators import broadcast_if_small, top_k
-from sunlight.operators.joins import DEFAULT_MAX_ROWS
+from sunlight.operators import ranked_top_k, top_k
 from sunlight.plans.columns import RAW, DeclarationColumns
 from sunlight.plans.declarations import raw_departments
 
@@ -49,22 +48,24 @@ def lab_name_map(declarations: DataFrame, bridge: DataFrame,
 
 def influence_spend(stg: DataFrame, name_map: DataFrame, raw: DataFrame,
                     dept_region: DataFrame, motives: Sequence[str] = INFLUENCE_MOTIVES,
-                    cols: DeclarationColumns = RAW,
-                    broadcast_limit: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+                    cols: DeclarationColumns = RAW, companies: DataFrame | None = None) -> DataFrame:
     """MRT-9: influence spend per (catalogue company, region).
 
     A payment counts once per catalogue name its payer maps to and once per
     department its declarant has on that date - the joins' semantics.
 
-    The name map is broadcast after a row-count check, so payments are not
-    shuffled by payer (the natural hot key); the one shuffle of the payment
-    rows is the (name, date) join with the department list, where AQE splits
-    a skewed key.
+    With the name map as a written mart the planner broadcasts it below the
+    session's threshold, so payments are not shuffled by payer (the natural hot
+    key); the one shuffle of the payment rows is the (name, date) join with the
+    department list, where AQE splits a skewed key. ``companies`` (column
+    ``labo``) keeps only these catalogue companies, and so only the payments of
+    their payers.
     """
+    if companies is not None:
+        name_map = name_map.join(companies.select(F.col("labo").alias("name_ansm")), "name_ansm", "left_semi")
     geo = raw_departments(raw, cols, dedup=True)
     j = (stg.where(F.col("motif").isin(list(motives))).alias("t")
-         .join(broadcast_if_small(name_map, broadcast_limit).alias("m"),
-               F.col("t.labo") == F.col("m.name_transparence"))
+         .join(name_map.alias("m"), F.col("t.labo") == F.col("m.name_transparence"))
          .join(geo.alias("v"), (F.col("t.nom") == F.col("v._g_name"))
                & (F.col("t.date") == F.col("v._g_date")))
          .join(dept_region.alias("r"), F.col("v._g_dept") == F.col("r.dept_code")))
@@ -132,6 +133,12 @@ def influence_groups(fact: DataFrame, rules=DEFAULT_GROUP_RULES,
                     .alias("roi_groupe")))
 
 
+def groups_preview(groups: DataFrame, k: int = 10) -> DataFrame:
+    """AGG-15 / TOP-4: the k groups with the best return, numbered in that order."""
+    return ranked_top_k(groups, [F.desc_nulls_last("roi_groupe"), F.asc_nulls_last("groupe"),
+                                 F.desc("total_cadeaux_groupe")], k)
+
+
 def top_roi(fact: DataFrame, k: int = 15) -> DataFrame:
     """QRY-4: the k best ROI rows, spend in k€ and brand sales in M€."""
     rows = fact.select("labo", "region",
@@ -142,12 +149,16 @@ def top_roi(fact: DataFrame, k: int = 15) -> DataFrame:
                         F.asc_nulls_last("region")], k)
 
 
-def company_focus(fact: DataFrame, patterns: Sequence[str] = ("%SANOFI%", "%PFIZER%")) -> DataFrame:
-    """QRY-5: average ROI and brand sales (M€) of companies matching any LIKE pattern."""
+def company_focus(fact: DataFrame, patterns: Sequence[str] = ("%SANOFI%", "%PFIZER%"),
+                  k: int = 1000) -> DataFrame:
+    """QRY-5: average ROI and brand sales (M€) of companies matching any LIKE
+    pattern, best average first; ``rang`` numbers them in that order. The report
+    holds the best ``k`` companies."""
     cond = None
     for p in patterns:
         c = F.col("labo").like(p)
         cond = c if cond is None else (cond | c)
-    return (fact.where(cond).groupBy("labo")
-            .agg(round_half_up(F.avg("roi_influence"), 0).alias("roi_moyen"),
-                 round_half_up(F.sum(_dec("ventes_princeps")) / 1e6, 1).alias("ventes_totales_meur")))
+    focus = (fact.where(cond).groupBy("labo")
+             .agg(round_half_up(F.avg("roi_influence"), 0).alias("roi_moyen"),
+                  round_half_up(F.sum(_dec("ventes_princeps")) / 1e6, 1).alias("ventes_totales_meur")))
+    return ranked_top_k(focus, [F.desc_nulls_last("roi_moyen"), F.asc("labo")], k)

@@ -35,7 +35,8 @@ def build_marts(spark: SparkSession, out_dir: str, declarations_raw: DataFrame,
     With ``stage_inputs`` the two raw inputs are first written as Parquet:
     the declarations feed five marts and the prescriptions two, so the
     (CSV) parsing happens once and every later scan reads only the columns
-    it needs.
+    it needs. The profession clean-up is a mart of its own
+    (``stg_declarations_clean``); other marts read the labels as declared.
     """
     paths: dict[str, str] = {}
 
@@ -48,6 +49,7 @@ def build_marts(spark: SparkSession, out_dir: str, declarations_raw: DataFrame,
         prescriptions_raw = put("prescriptions_raw", prescriptions_raw)
 
     stg = put("stg_declarations", DEC.stg_declarations(declarations_raw, decl_cols))
+    put("stg_declarations_clean", DEC.clean_specialities(stg))
     geo = put("declarations_geo", DEC.declarations_geo(stg, declarations_raw, dept_region,
                                                        decl_cols))
     bridge = put("product_bridge", CAT.product_bridge(packs, products))

@@ -8,8 +8,7 @@ from typing import NamedTuple, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sunlight.functions import parse_comma_decimal, parse_fr_number, round_half_up
-from sunlight.operators import broadcast_if_small, top_k
-from sunlight.operators.joins import DEFAULT_MAX_ROWS
+from sunlight.operators import top_k
 from sunlight.plans.columns import RX, PrescriptionColumns
 from sunlight.sources.files import read_csv_union_by_name
 
@@ -22,10 +21,14 @@ def prescriptions_raw(spark: SparkSession, paths: "str | Sequence[str]", sep: st
     return read_csv_union_by_name(spark, paths, sep=sep, encoding=encoding)
 
 
+# A plain decimal number; the cast alone would also take Java's suffixes ('1D', '2f').
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def speciality_key(c: str):
     """Speciality code as INTEGER the lenient way: text such as ' 12 ' or
     '3.7' is read as a number and rounded (12, 4); anything else is NULL."""
-    return F.round(F.col(c).try_cast("double")).try_cast("int")
+    return F.when(F.col(c).rlike(_NUMBER), F.round(F.col(c).try_cast("double")).try_cast("int"))
 
 
 def prescriptions_mart(rx: DataFrame, regions: DataFrame, specialities: DataFrame,
@@ -54,23 +57,27 @@ def _exact_sum_as_double(c) -> "F.Column":
 
 
 def sales_mart(rx: DataFrame, bridge: DataFrame, cols: PrescriptionColumns = RX,
-               broadcast_limit: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+               number: str = "decimal(18,3)", companies: DataFrame | None = None) -> DataFrame:
     """MRT-8: boxes and reimbursed amount per region x pack x generic flag x
     company, for packs known to the catalogue; DOUBLE totals.
 
     NULL or blank quantities count as 0. A pack listed several times in the
-    bridge is counted once per listing (inner-join semantics).
-
-    The catalogue bridge is broadcast once its row count is checked against
-    ``broadcast_limit``, so the prescription fact is never shuffled by pack
-    code (where one best-selling pack would make a hot partition); the
-    aggregate after it combines map-side.
+    bridge is counted once per listing (inner-join semantics). Quantities are
+    parsed as ``number`` (a 64-bit decimal by default; sums are wider by
+    themselves); give a wider type for more digits.
+
+    The join is left to the planner: with the bridge as a written mart it is
+    broadcast below the session's threshold and the prescription fact is not
+    shuffled by pack code; beyond, AQE splits a hot pack. The aggregate combines
+    map-side. ``companies`` (column ``labo``) keeps only these companies' packs
+    and with them only their rows of the fact.
     """
-    boxes = parse_fr_number(f"r.{cols.boxes}", to="decimal(24,6)", null_as="0")
-    paid = parse_fr_number(f"r.{cols.reimbursed}", to="decimal(24,6)", null_as="0")
+    boxes = parse_fr_number(f"r.{cols.boxes}", to=number, null_as="0")
+    paid = parse_fr_number(f"r.{cols.reimbursed}", to=number, null_as="0")
+    if companies is not None:
+        bridge = bridge.join(companies.select(F.col("labo").alias("labo_ansm")), "labo_ansm", "left_semi")
     j = (rx.alias("r").where(F.col(f"r.{cols.region}").isNotNull())
-         .join(broadcast_if_small(bridge, broadcast_limit).alias("b"),
-               F.col(f"r.{cols.pack}") == F.col("b.cip13")))
+         .join(bridge.alias("b"), F.col(f"r.{cols.pack}") == F.col("b.cip13")))
     return (j.groupBy(F.col(f"r.{cols.region}").alias("code_region"),
                       F.col(f"r.{cols.pack}").alias("cip13"),
                       F.col(f"r.{cols.generic_flag}").alias("est_generique"),

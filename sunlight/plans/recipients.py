@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sunlight.functions import (parse_comma_decimal, postal_code, speciality_label,
                                 split_coordinate)
-from sunlight.operators import broadcast_if_small, dedup_sum, first_by_order, group_max_lookup
-from sunlight.operators.joins import DEFAULT_MAX_ROWS
+from sunlight.operators import dedup_sum, first_by_order, group_max_lookup
 from sunlight.plans.columns import RAW, DeclarationColumns
 
 
@@ -33,21 +32,13 @@ def _amount(cols: DeclarationColumns):
     return parse_comma_decimal(cols.amount)
 
 
-def recipients(raw: DataFrame, name_map: DataFrame, declarations_geo: DataFrame,
-               min_total: float = 500, dedup: bool = True,
-               cols: DeclarationColumns = RAW,
-               broadcast_limit: int | None = DEFAULT_MAX_ROWS,
-               clean_rules=None) -> DataFrame:
-    """MRT-15: amount received per recipient x payer, above ``min_total``.
+def recipient_totals(raw: DataFrame, min_total: float = 500, dedup: bool = True,
+                     cols: DeclarationColumns = RAW, clean_rules=None) -> DataFrame:
+    """Amount per recipient x payer above ``min_total``, before any lookup.
 
     With ``dedup`` identical declarations (same recipient, payer, amount and
-    date) count once. Adds the payer's catalogue name(s) (left join; one row
-    per matching name) and the recipient's region: the largest region code
-    among their geo-tagged declarations with the same name and city.
-    ``declarations_geo`` is that mart, or any frame with (nom, ville,
-    region_code) giving the same maximum, e.g. ``recipient_regions``.
-    Profession labels are the raw ones (the staging clean-up does not reach
-    this table) unless ``clean_rules`` are given.
+    date) count once. Profession labels are the raw ones (the staging clean-up
+    does not reach this table) unless ``clean_rules`` are given.
     """
     profession = F.col(cols.profession)
     if clean_rules is not None:
@@ -58,24 +49,38 @@ def recipients(raw: DataFrame, name_map: DataFrame, declarations_geo: DataFrame,
         F.col(cols.company).alias("labo_source"), F.col(cols.amount).alias("_amount"),
         F.col(cols.date).cast("string").alias("_date"))
     keys = ["nom", "prenom", "ville", "specialite", "labo_source"]
-    total = F.sum(parse_comma_decimal("_amount")).cast("decimal(38,2)")
     if dedup:
         agg = dedup_sum(base, base.columns, keys, parse_comma_decimal("_amount"), "montant_total")
-        agg = agg.withColumn("montant_total", F.col("montant_total").cast("decimal(38,2)"))
     else:
-        agg = base.groupBy(*keys).agg(total.alias("montant_total"))
-    agg = agg.where(F.col("montant_total") > F.lit(min_total))
-    named = (agg.alias("a")
-             .join(broadcast_if_small(name_map, broadcast_limit).alias("m"),
-                   F.col("a.labo_source") == F.col("m.name_transparence"), "left")
-             .select("a.*", F.col("m.name_ansm").alias("labo_normalise")))
+        agg = base.groupBy(*keys).agg(F.sum(parse_comma_decimal("_amount")).alias("montant_total"))
+    return (agg.withColumn("montant_total", F.col("montant_total").cast("decimal(38,2)"))
+            .where(F.col("montant_total") > F.lit(min_total)))
+
+
+def with_catalogue_names(totals: DataFrame, name_map: DataFrame) -> DataFrame:
+    """The payer's catalogue name(s): one row per matching name, NULL if none."""
+    return (totals.alias("a")
+            .join(name_map.alias("m"), F.col("a.labo_source") == F.col("m.name_transparence"), "left")
+            .select("a.*", F.col("m.name_ansm").alias("labo_normalise")))
+
+
+def recipients(raw: DataFrame, name_map: DataFrame, declarations_geo: DataFrame,
+               min_total: float = 500, dedup: bool = True,
+               cols: DeclarationColumns = RAW, clean_rules=None) -> DataFrame:
+    """MRT-15: amount received per recipient x payer, above ``min_total``.
+
+    ``recipient_totals`` with the payer's catalogue name(s) and the recipient's
+    region: the largest region code among their geo-tagged declarations with the
+    same name and city. ``declarations_geo`` is that mart, or any frame with
+    (nom, ville, region_code) giving the same maximum, e.g. ``recipient_regions``.
+    """
+    named = with_catalogue_names(recipient_totals(raw, min_total, dedup, cols, clean_rules), name_map)
     return group_max_lookup(named, declarations_geo.select("nom", "ville", "region_code"),
                             ["nom", "ville"], "region_code", "region_code")
 
 
 def recipients_geo(raw: DataFrame, name_map: DataFrame, geo: DataFrame,
-                   min_total: float = 500, cols: DeclarationColumns = RAW,
-                   broadcast_limit: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+                   min_total: float = 500, cols: DeclarationColumns = RAW) -> DataFrame:
     """MRT-16: amount per recipient x payer x postal code (no de-duplication),
     above ``min_total``, with catalogue name(s), region and coordinates of
     the postal code. ``montant_total`` repeats ``montant_cumule`` so that the
@@ -88,10 +93,8 @@ def recipients_geo(raw: DataFrame, name_map: DataFrame, geo: DataFrame,
            .agg(F.sum(_amount(cols)).cast("decimal(38,2)").alias("total_montant"))
            .where(F.col("total_montant") > F.lit(min_total)))
     j = (agg.alias("r")
-         .join(broadcast_if_small(name_map, broadcast_limit).alias("m"),
-               F.col("r.labo_source") == F.col("m.name_transparence"), "left")
-         .join(broadcast_if_small(geo, broadcast_limit).alias("g"),
-               F.col("r.cp") == F.col("g.cp"), "left"))
+         .join(name_map.alias("m"), F.col("r.labo_source") == F.col("m.name_transparence"), "left")
+         .join(geo.alias("g"), F.col("r.cp") == F.col("g.cp"), "left"))
     return j.select(F.col("r.nom"),
                     F.coalesce(F.nullif(F.col("r.prenom"), F.lit("null")), F.lit("")).alias("prenom"),
                     F.col("r.ville"), F.col("r.specialite"), F.col("r.labo_source"),

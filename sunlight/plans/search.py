@@ -4,7 +4,7 @@ The search matches a term against the recipient name anywhere, or against
 the start of the city when the term is longer than three characters,
 case-insensitively, ranks exact name > name prefix > other, then by
 amount, and enriches the best rows with the company's ROI, brand share and
-top products for the recipient's region.
+top products for the recipient's region. Results are sorted in that order.
 """
 
 from __future__ import annotations
@@ -13,9 +13,14 @@ from typing import NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from sunlight.functions import escape_like, format_amount, fr_grouped_integer
-from sunlight.operators import broadcast_if_small, top_k
-from sunlight.operators.joins import DEFAULT_MAX_ROWS
+from sunlight.functions import escape_like, format_amount, fr_grouped_integer, sentence
+from sunlight.functions.text import FUNDING, HEADLINE, RESEARCH, RETURN, SHARE
+from sunlight.operators import group_max_lookup, materialise, top_k
+from sunlight.plans.columns import RAW, RX, DeclarationColumns, PrescriptionColumns
+from sunlight.plans.declarations import recipient_regions, stg_declarations
+from sunlight.plans.influence import influence_fact, influence_spend
+from sunlight.plans.prescriptions import sales_mart
+from sunlight.plans.recipients import recipient_totals, with_catalogue_names
 
 # --- fixed values ----------------------------------------------------------
 DEFAULT_PRODUCTS_LABEL = "leurs traitements brevetés"
@@ -54,14 +59,12 @@ def _fill_numeric_zero(df: DataFrame) -> DataFrame:
     return df.fillna(0, subset=numeric) if numeric else df
 
 
-def search_recipients(recipients: DataFrame, regions: DataFrame, influence: DataFrame,
-                      top_products: DataFrame, q: str, k: int = 15, literal: bool = False,
-                      min_len: int = 2, amount_col: str = "montant_total") -> DataFrame:
-    """QRY-1: one search term, best ``k`` rows.
+def _matches(q: str, literal: bool, min_len: int) -> tuple[Column, Column]:
+    """(row matches, priority) of a term over the columns nom and ville.
 
     ``q`` is bound as a literal value (never spliced into SQL text); a
     backslash matches itself, and ``%``/``_`` stay wildcards unless
-    ``literal``. Terms shorter than ``min_len`` return no row.
+    ``literal``. Terms shorter than ``min_len`` match no row.
     """
     pat = escape_like(q, literal)
     nom, ville = F.col("nom"), F.col("ville")
@@ -70,71 +73,125 @@ def search_recipients(recipients: DataFrame, regions: DataFrame, influence: Data
         hit = hit | ville.ilike(f"{pat}%")
     if len(q) < min_len:
         hit = F.lit(False)
-    priority = (F.when(nom.ilike(pat), 1).when(nom.ilike(f"{pat}%"), 2)
-                .otherwise(3))
+    return hit, F.when(nom.ilike(pat), 1).when(nom.ilike(f"{pat}%"), 2).otherwise(3)
+
+
+def search_recipients(recipients: DataFrame, regions: DataFrame, influence: DataFrame,
+                      top_products: DataFrame, q: str, k: int = 15, literal: bool = False,
+                      min_len: int = 2, amount_col: str = "montant_total") -> DataFrame:
+    """QRY-1 over a recipient mart: one search term, best ``k`` rows, in order.
+
+    The cut comes before the enrichment, and the k enriched rows are sorted
+    again: joins promise no order.
+    """
+    hit, priority = _matches(q, literal, min_len)
     cand = recipients.where(hit).withColumn("priority", priority)
     best = top_k(cand, _order(amount_col), k)
-    out = _enrich(best, regions, influence, top_products)
-    return _fill_numeric_zero(out)
+    return _fill_numeric_zero(_enrich(best, regions, influence, top_products)).orderBy(*_order(amount_col))
+
+
+def search_declarations(raw: DataFrame, name_map: DataFrame, dept_region: DataFrame, regions: DataFrame,
+                        rx: DataFrame, bridge: DataFrame, top_products: DataFrame, q: str, k: int = 15,
+                        literal: bool = False, min_len: int = 2, min_total: float = 500,
+                        decl_cols: DeclarationColumns = RAW, rx_cols: PrescriptionColumns = RX,
+                        fact: DataFrame | None = None) -> DataFrame:
+    """QRY-1 straight from the declarations: the same rows as a search over the
+    recipient mart, without building that mart.
+
+    The filter reaches the payment rows; totals are cut to the best ``k`` before
+    any lookup (a total is one result row at least, and the order begins with its
+    own columns), catalogue names are added and the cut repeated. These k rows
+    are written, and everything else is limited to them: the region lookup to
+    their recipients, spend and sales to their companies. Give ``fact`` where
+    that mart exists.
+    """
+    hit, priority = _matches(q, literal, min_len)
+    wanted = raw.withColumns({"nom": F.col(decl_cols.name), "ville": F.col(decl_cols.city)}).where(hit).select(*raw.columns)
+    totals = recipient_totals(wanted, min_total, cols=decl_cols).withColumn("priority", priority)
+    early = [c for c in _order("montant_total", ("labo_normalise", "region_code"))]
+    named = with_catalogue_names(top_k(totals, early, k), name_map)
+    # Ties on the region cannot decide: rows that differ in nothing else share it.
+    best = materialise(top_k(named, _order("montant_total", ("region_code",)), k), "search-best")
+
+    stg = stg_declarations(raw, decl_cols)
+    located = group_max_lookup(best, recipient_regions(stg, raw, dept_region, decl_cols, only=best),
+                               ["nom", "ville"], "region_code", "region_code")
+    if fact is None:
+        companies = best.select(F.col("labo_normalise").alias("labo")).where("labo IS NOT NULL").distinct()
+        spend = influence_spend(stg, name_map, raw, dept_region, cols=decl_cols, companies=companies)
+        fact = influence_fact(spend, sales_mart(rx, bridge, rx_cols, companies=companies), regions)
+    out = _fill_numeric_zero(_enrich(located, regions, fact, top_products))
+    return out.orderBy(*_order("montant_total"))
+
 
+GRAM, SHORT_GRAM, CITY_START = 3, 2, 4
 
-def _substrings(s: Column, lengths: Sequence[int]) -> Column:
-    """All distinct substrings of ``s`` whose length is in ``lengths``."""
-    lens = F.array(*[F.lit(n) for n in sorted(set(lengths))])
-    fitting = F.filter(lens, lambda n: n <= F.length(s))
-    per_len = F.transform(fitting, lambda n: F.transform(
-        F.sequence(F.lit(1), F.length(s) - n + 1), lambda i: s.substr(i, n)))
-    return F.array_distinct(F.flatten(per_len))
 
+def _grams(s: Column, n: int) -> Column:
+    """All substrings of ``s`` of length ``n``."""
+    return F.when(F.length(s) >= n, F.transform(F.sequence(F.lit(1), F.length(s) - n + 1), lambda i: s.substr(i, F.lit(n)))) \
+        .otherwise(F.array().cast("array<string>"))
 
-def _prefixes(s: Column, lengths: Sequence[int]) -> Column:
-    lens = F.array(*[F.lit(n) for n in sorted(set(lengths))])
-    return F.transform(F.filter(lens, lambda n: n <= F.length(s)), lambda n: s.substr(F.lit(1), n))
+
+def _name_keys(s: Column) -> Column:
+    """The grams by which a name is found: three letters, and two for two-letter terms."""
+    return F.array_distinct(F.concat(_grams(s, GRAM), _grams(s, SHORT_GRAM)))
 
 
 def search_recipients_batch(recipients: DataFrame, regions: DataFrame, influence: DataFrame,
                             top_products: DataFrame, terms: DataFrame, term_col: str = "term",
                             k: int = 15, min_len: int = 2,
-                            amount_col: str = "montant_total",
-                            broadcast_limit: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
+                            amount_col: str = "montant_total", salts: int = 8) -> DataFrame:
     """QRY-2: the search for a whole table of terms, best ``k`` rows per term.
 
-    Terms are matched literally (no wildcards). Matching is an equi-join,
-    not a pairwise comparison: every recipient emits its lower-cased name
-    substrings (and city prefixes) of the lengths that occur among the
-    terms, and these keys are joined to the lower-cased terms. A
-    (recipient, term) pair is produced once - name hits from distinct
-    substrings, city hits only when the name does not already match. The
-    ranking is a per-term ``row_number`` whose partial limit runs before
-    the shuffle, so a term matching a third of all recipients still moves
-    only k rows per task. Only the distinct term lengths (small integers)
-    reach the driver.
+    Terms are matched literally (no wildcards). Matching is an equi-join, not
+    a pairwise comparison: a term is looked up by one of its grams, the one that
+    the fewest names have, and a recipient offers the grams of its name (fewer
+    than two for each letter) and the start of its city. The full term is then
+    checked. Where the planner must shuffle, a gram that many names have is dealt
+    over ``salts`` partitions. A (recipient, term) pair is produced once: city
+    hits only when the name does not already match. The ranking is a per-term
+    ``row_number`` whose partial limit runs before the shuffle, so a term
+    matching a third of all recipients still moves only k rows per task.
     """
-    t = (terms.select(F.col(term_col).alias("term")).where(F.length("term") >= min_len)
-         .distinct()
-         .select("term", F.lower("term").alias("_lterm"),
-                 (F.length("term") > 3).alias("_city_ok")))
-    t = broadcast_if_small(t, broadcast_limit)
-    lengths = sorted(r[0] for r in t.select(F.length("_lterm")).distinct().collect())
+    t = (terms.select(F.col(term_col).alias("term")).where(F.length("term") >= max(SHORT_GRAM, min_len)).distinct()
+         .select("term", F.lower("term").alias("_lterm")))
+    # Terms of one letter have no gram: they are offered the letters themselves.
+    single = (terms.select(F.col(term_col).alias("term")).where((F.length("term") == 1) & (F.length("term") >= min_len))
+              .distinct().select("term", F.lower("term").alias("_lterm"), F.lower("term").alias("_key"),
+                                 F.lit(True).alias("_by_name")))
     cols = recipients.columns
-    if not lengths:               # no usable term: same plan, empty join side
-        lengths = [max(min_len, 1)]
-    # One pass over the recipients: name substrings and city prefixes are
-    # exploded together as (key, by_name) and joined to the terms once.
     lname = F.lower(F.coalesce(F.col("nom"), F.lit("")))
     lcity = F.lower(F.coalesce(F.col("ville"), F.lit("")))
+
+    own = F.when(F.length("_lterm") == SHORT_GRAM, F.array("_lterm")).otherwise(F.array_distinct(_grams(F.col("_lterm"), GRAM)))
+    offered = t.select("term", "_lterm", F.explode(own).alias("_key"))
+    wanted = offered.select("_key").distinct()
+    names = recipients.select(lname.alias("_n")).distinct().select(F.explode(_name_keys(F.col("_n"))).alias("_key"))
+    common = names.join(wanted, "_key", "left_semi").groupBy("_key").agg(F.count(F.lit(1)).alias("_names"))
+    rarest = (offered.join(common, "_key", "left").groupBy("term", "_lterm")
+              .agg(F.min_by("_key", F.struct(F.coalesce("_names", F.lit(0)), F.col("_key"))).alias("_key")))
+    looked = rarest.select("term", "_lterm", "_key", F.lit(True).alias("_by_name")).unionByName(
+        t.where(F.length("term") >= CITY_START).select(
+            "term", "_lterm", F.substring("_lterm", 1, CITY_START).alias("_key"), F.lit(False).alias("_by_name"))) \
+        .unionByName(single)
+    looked = looked.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+
     tag = lambda arr, by_name: F.transform(
-        arr, lambda k: F.struct(k.alias("k"), F.lit(by_name).alias("by_name")))
-    keys = F.concat(tag(_substrings(lname, lengths), True), tag(_prefixes(lcity, lengths), False))
-    hits = (recipients.select(*cols, F.explode(keys).alias("_m"))
-            .join(t, F.col("_m.k") == F.col("_lterm"))
-            .where(F.col("_m.by_name")
-                   | (F.col("_city_ok") & ~F.coalesce(F.lower(F.col("nom")).contains(F.col("_lterm")),
-                                                      F.lit(False))))
+        arr, lambda g: F.struct(g.alias("_key"), F.lit(by_name).alias("_by_name")))
+    letters = _grams(lname, 1) if min_len <= 1 else F.array().cast("array<string>")
+    keys = F.concat(tag(F.array_distinct(F.concat(_name_keys(lname), letters)), True),
+                    tag(F.array(F.substring(lcity, 1, CITY_START)), False))
+    offers = recipients.select(*cols, F.explode(keys).alias("_m")).select(
+        *cols, "_m.*", F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int").alias("_salt"))
+    in_name = F.contains(F.lower(F.coalesce(F.col("nom"), F.lit(""))), F.col("_lterm"))
+    in_city = F.startswith(F.lower(F.coalesce(F.col("ville"), F.lit(""))), F.col("_lterm"))
+    hits = (offers.join(looked, ["_key", "_by_name", "_salt"])
+            .where(F.when(F.col("_by_name"), in_name).otherwise(in_city & ~in_name))
             .select("term", *cols, "_lterm"))
-    lname2 = F.lower(F.col("nom"))
-    priority = (F.when(lname2 == F.col("_lterm"), 1)
-                .when(lname2.startswith(F.col("_lterm")), 2).otherwise(3))
+    lower_name = F.lower(F.col("nom"))
+    priority = (F.when(lower_name == F.col("_lterm"), 1)
+                .when(F.startswith(lower_name, F.col("_lterm")), 2).otherwise(3))
     ranked = (hits.withColumn("priority", priority).drop("_lterm")
               .withColumn("rank", F.row_number().over(
                   Window.partitionBy("term").orderBy(*_order(amount_col))))
@@ -163,19 +220,33 @@ def landing_stats(recipients: DataFrame, k: int = 5, fallback: float | None = No
 
 
 def landing_labels(totals: DataFrame) -> DataFrame:
-    """SCL-20: headline label for the global amount."""
-    return totals.withColumn("label", format_amount("total_global"))
+    """SCL-20: the amount label of the global amount, and the headline around it."""
+    label = format_amount("total_global")
+    return totals.withColumn("label", label).withColumn("headline", sentence(HEADLINE, F.upper(label)))
+
+
+def payer_labels(top_groups: DataFrame) -> DataFrame:
+    """SCL-20: the amount label of each of the top payers."""
+    return top_groups.withColumn("label", format_amount("total"))
 
 
 def recipient_report(results: DataFrame, amount_col: str = "montant_total") -> DataFrame:
-    """SCL-21: display fields of a search result row."""
+    """SCL-21: display fields and sentences of a search result row.
+
+    A positive rounded ROI gives the sentences on return and share, any other
+    the note on research.
+    """
     spec = F.coalesce(F.nullif(F.col("specialite"), F.lit("")), F.lit("Institution"))
     roi = F.round(F.col("roi").cast("decimal(38,6)"), 0).cast("bigint")
+    share = F.round(F.col("part_de_marche").cast("decimal(38,6)"), 0).cast("bigint")
+    amount = fr_grouped_integer(amount_col)
     return results.select(
         "*",
         F.concat_ws(" ", "nom", "prenom").alias("title"),
         F.concat_ws(" — ", F.col("ville"), spec).alias("subtitle"),
-        F.concat(fr_grouped_integer(amount_col), F.lit(" €")).alias("amount_label"),
-        roi.alias("roi_rounded"),
-        F.round(F.col("part_de_marche").cast("decimal(38,6)"), 0).cast("bigint").alias("share_rounded"),
-        F.when(roi > 0, F.lit("influence")).otherwise(F.lit("research")).alias("message"))
+        F.concat(amount, F.lit(" €")).alias("amount_label"),
+        roi.alias("roi_rounded"), share.alias("share_rounded"),
+        F.when(roi > 0, F.lit("influence")).otherwise(F.lit("research")).alias("message"),
+        sentence(FUNDING, amount, F.col("labo_source")).alias("funding_text"),
+        F.when(roi > 0, sentence(RETURN, roi)).otherwise(F.lit(RESEARCH)).alias("message_text"),
+        F.when(roi > 0, sentence(SHARE, share, F.col("medocs"))).alias("share_text"))

@@ -8,7 +8,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sunlight.plans.columns import RAW, DeclarationColumns
 from sunlight.plans.declarations import stg_declarations
-from sunlight.session import ensure_checkpoint_dir
 
 
 def declaration_schema(columns: Sequence[str]) -> T.StructType:
@@ -25,9 +24,10 @@ def start_staging_stream(spark: SparkSession, source_dir: str, out_dir: str,
     staging table at ``out_dir``.
 
     Progress (which files were consumed) lives in ``checkpoint``, by default
-    a sub-folder of the shared ``spark.checkpoint.dir``, so a restarted job
-    - or one whose executors were lost - resumes without duplicating rows
-    (the file sink commits each batch atomically). ``available_now``
+    ``_checkpoint`` inside ``out_dir`` (readers skip names with an underscore), so
+    each output has its own and a restarted job - or one whose executors were
+    lost - resumes without duplicating rows (the file sink commits each batch
+    atomically). ``available_now``
     processes what is there and stops; otherwise it keeps polling.
     """
     reader = (spark.readStream.schema(declaration_schema(columns))
@@ -36,8 +36,7 @@ def start_staging_stream(spark: SparkSession, source_dir: str, out_dir: str,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stg = stg_declarations(reader.csv(source_dir), cols)
     if checkpoint is None:
-        checkpoint = os.path.join(ensure_checkpoint_dir(spark), "staging-stream",
-                                  os.path.basename(os.path.normpath(out_dir)))
+        checkpoint = os.path.join(out_dir, "_checkpoint")
     writer = (stg.writeStream.format("parquet").option("path", out_dir)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

@@ -53,7 +53,8 @@ def test_postal_and_department(spark, raw, padded, dept):
     assert one(spark, department_code, raw) == dept
 
 
-@pytest.mark.parametrize("raw,code", [("x", None), (" 12 ", 12), ("3.7", 4), ("2.5", 3), ("1e40", None)])
+@pytest.mark.parametrize("raw,code", [("x", None), (" 12 ", 12), ("3.7", 4), ("2.5", 3), ("1e40", None),
+                                      ("1D", None), ("2f", None), ("", None), ("  ", None), ("0x1", None), ("-3", -3)])
 def test_speciality_key(spark, raw, code):
     df = spark.createDataFrame([(raw,)], "psp_spe string")
     assert df.select(speciality_key("psp_spe").alias("k")).first()["k"] == code
@@ -124,6 +125,20 @@ def test_report_formatting(spark):
 
 
 def test_partition_sizing():
-    from sunlight.session import partitions_for
-    assert partitions_for(10 * 1024 ** 2) == 8
-    assert partitions_for(100 * 1024 ** 4) == 819200
+    from sunlight.session import MOST_REDUCERS, partitions_for, split_bytes_for
+    mb, tb = 1 << 20, 1 << 40
+    assert partitions_for(10 * mb) == 8                                   # the least
+    assert partitions_for(100 * 1024 * mb) == 100                         # a quarter is shuffled, 256 MB each
+    assert partitions_for(100 * tb) == MOST_REDUCERS
+    assert split_bytes_for(10 * mb) == 128 * mb and split_bytes_for(100 * tb) == 1024 * mb
+    blocks = (100 * tb // split_bytes_for(100 * tb)) * partitions_for(100 * tb)
+    assert blocks < 3e9                                                   # what the driver tracks at 100 TB
+
+
+def test_default_partitions_follow_the_cluster():
+    from types import SimpleNamespace as N
+    from sunlight.session import default_partitions
+    session = lambda master, cores: N(sparkContext=N(master=master, defaultParallelism=cores))
+    assert default_partitions(session("local[8]", 8)) == 8
+    assert default_partitions(session("yarn", 4000)) == 12_000
+    assert default_partitions(session("k8s://x", 16)) == 200

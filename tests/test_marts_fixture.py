@@ -180,6 +180,38 @@ def test_name_map_fanout_is_reported(m):
     assert rep["fanout"] == 8 / 7
 
 
+def test_fanout_of_an_empty_side(spark, m):
+    from sunlight.operators import join_fanout
+    none = m["stg"].limit(0)
+    rep = join_fanout(none, m["name_map"], none["labo"] == m["name_map"].name_transparence, "montant").first()
+    assert rep["rows_before"] == 0 and rep["fanout"] is None
+
+
+def test_clean_professions_are_a_mart(spark, fx):
+    from sunlight.session import scratch_path
+    paths = P.build_marts(spark, scratch_path(spark, "marts-clean"), fx["raw"], fx["rx"], fx["products"], fx["packs"],
+                          fx["depts"], fx["regions"], fx["specialities"])
+    labels = {r["specialite"] for r in spark.read.parquet(paths["stg_declarations_clean"]).collect()}
+    assert labels == {None, "Médecin", "Pharmacien"}
+    assert "Médecin généraliste" in {r["specialite"] for r in spark.read.parquet(paths["stg_declarations"]).collect()}
+
+
+def test_reports_are_in_order(m):
+    groups = P.groups_preview(P.influence_groups(m["fact"], min_spend=0), k=2).collect()
+    assert [(r["rang"], r["groupe"]) for r in groups] == [(1, "BAYER"), (2, "SANOFI/OPELLA")]
+    focus = P.company_focus(m["fact"], ("%PFIZER%", "%BAYER%")).collect()
+    assert [(r["rang"], r["labo"]) for r in focus] == [(1, "BAYER SANTE"), (2, "PFIZER"), (3, "LABORATOIRES PFIZER")]
+
+
+def test_sales_of_given_companies(spark, m, fx):
+    few = spark.createDataFrame([("PFIZER",)], "labo string")
+    assert rows(P.sales_mart(fx["rx"], m["bridge"], companies=few)) == [r for r in rows(m["sales"]) if r[3] == "PFIZER"]
+    spend = P.influence_spend(m["stg"], m["name_map"], fx["raw"], fx["depts"], C.MOTIVES, companies=few)
+    assert rows(spend) == [("PFIZER", "84", D("800.00"))]
+    wide = P.sales_mart(fx["rx"], m["bridge"], number="decimal(24,6)")
+    assert rows(wide) == rows(m["sales"])
+
+
 def test_build_marts_rerun_is_idempotent(spark, fx):
     from sunlight.session import scratch_path
     out = scratch_path(spark, "marts-rerun")

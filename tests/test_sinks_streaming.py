@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from sunlight.session import scratch_path
-from sunlight.sinks import export_marts, json_records
+from sunlight.sinks import export_marts, json_records, write_json
 from sunlight.streaming import start_staging_stream
-from sunlight.operators import schema_profile, find_columns, first_rows_by_position
+from sunlight.operators import schema_profile, search_columns, find_columns, first_rows_by_position
 import fixture_c as C
 
 
@@ -47,9 +47,42 @@ def test_staging_stream_is_incremental(spark, tmp_path):
         __import__("decimal").Decimal(r[6].replace(",", ".")) for r in C.DECLARATIONS if r[6])
 
 
+def test_outputs_of_the_same_name_have_their_own_progress(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    rec = C.DECLARATIONS[0]
+    (src / "a.csv").write_text(",".join(C.RAW_COLS) + "\n" + ",".join(f'"{v}"' for v in rec) + "\n", encoding="utf-8")
+    for parent in ("o1", "o2"):
+        out = str(tmp_path / parent / "stg")
+        start_staging_stream(spark, str(src), out, C.RAW_COLS).awaitTermination(120)
+        assert spark.read.parquet(out).count() == 1
+
+
 def test_schema_profile_and_find_columns(spark, fx):
     prof = schema_profile(spark, fx["rx"]).collect()
     assert [(r["position"], r["name"]) for r in prof][:2] == [(0, "ben_reg"), (1, "psp_spe")]
     assert find_columns(fx["rx"], ["dep", "reg", "dpt"]) == ["ben_reg"]
     pos = first_rows_by_position(fx["regions"], 1, order=[F.asc("code")]).collect()
     assert [(r["row"], r["position"], r["value"]) for r in pos] == [(0, 0, "11"), (0, 1, "Île-de-France")]
+    unordered = first_rows_by_position(fx["regions"], 3).collect()
+    assert sorted({r["row"] for r in unordered}) == [0, 1, 2] and len(unordered) == 6
+
+
+def test_column_search_filters_the_profile(spark, fx):
+    found = search_columns(schema_profile(spark, fx["rx"]), ["dep", "reg", "dpt"]).collect()
+    assert [(r["position"], r["name"]) for r in found] == [(0, "ben_reg")]
+    assert search_columns(schema_profile(spark, fx["rx"]), []).count() == 0
+
+
+def test_json_file_round_trip(spark, fx):
+    path = write_json(fx["regions"], scratch_path(spark, "json"))
+    assert rows(spark.read.schema(fx["regions"].schema).json(path)) == rows(fx["regions"])
+
+
+def test_scratch_tables_can_be_removed(spark):
+    import os
+    from sunlight.session import clear_scratch
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path.removeprefix("file:"))
+    assert clear_scratch(spark) and not os.path.exists(path.removeprefix("file:"))
