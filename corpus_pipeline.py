@@ -8,8 +8,8 @@ return the columns of documents.
 2. line dedup: lines that repeat across documents stay in the first only.
 3. SimHash near-dedup: one document of each class stays.
 4. mixing: documents are drawn with rates that bring the domains (good, poor,
-   toxic) to their target weights; documents of the domain that the others
-   are cut down to have rate 1, so clean text is kept.
+   toxic) to their target weights; the highest rate is 1, that of clean text,
+   which is kept.
 5. best-fit packing into sequences of 4096 tokens.
 """
 

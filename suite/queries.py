@@ -1,7 +1,10 @@
 """One callable per registered query: (spark, sf_dir) -> DataFrame.
 
 Each one builds its inputs from the star tables (``suite.star``) and runs
-the library's builders over the whole tables.
+the library's builders over the whole tables. Nothing is kept between
+queries: small derived sides (catalogue bridge, name map, postal-code
+reference) are written and read back anew by each query that joins them, and
+that time is the query's own.
 """
 
 from __future__ import annotations
@@ -13,9 +16,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sunlight import plans as P
 from sunlight.session import scratch_path
-from sunlight.sources import read_csv_union_by_name, read_tolerant_tsv
-from sunlight.functions import parse_comma_decimal, parse_fr_number, to_money_text
-from sunlight.operators import dedup_sum as dedup_sum_op, group_max_lookup, top_k
+from sunlight.sinks import export_marts, json_records, write_json
+from sunlight.sources import (read_csv_union, read_csv_union_by_name, read_geo_points, read_headerless_tsv,
+                              read_tables, read_text_csv, read_tolerant_tsv, register_views)
+from sunlight.functions import group_key, parse_comma_decimal, parse_fr_number, to_money_text
+from sunlight.operators import (dedup_sum as dedup_sum_op, first_rows_by_position, group_max_lookup, join_fanout,
+                                materialise, schema_profile, search_columns, top_k)
 from suite import star
 
 # Parameters of the registered queries (chosen inside the data's ranges).
@@ -27,16 +33,17 @@ V1_MIN_SPEND = 2_000_000
 RECIPIENT_MIN_TOTAL = 150_000
 FOCUS_PATTERNS = ("%#1%", "%#2%")
 SEARCH_TERM = "00000012"
-SEARCH_TERMS = ("00000012", "customer#000000077", "nation_1")
+LIMIT_TERM = "0000012"           # more than 15 hits
+SEARCH_TERMS = ("00000012", "customer#000000077", "nation_1", "0000012", "12", "9")   # the last is too short
 MAP_PREVIEW_PREFIXES = ("Brand#1", "Brand#2")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Inputs:
-    """Inputs and marts for one (spark, sf_dir), each built once per query so
-    that a plan referencing a mart twice shares one DataFrame (and one
-    analysis) instead of re-deriving it."""
+    """Inputs and marts of one query, each built once so that a plan referencing
+    a mart twice shares one DataFrame (and one analysis). The ``*_mart`` sides are
+    written and read back, so that the planner knows their size."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -64,58 +71,50 @@ class Inputs:
         return P.product_bridge(star.catalogue_packs(self.spark, self.sf_dir),
                                 star.catalogue_products(self.spark, self.sf_dir))
 
+    @cached_property
+    def bridge_mart(self):
+        return materialise(self.bridge, "bridge")
+
     @cached_property
     def name_map(self):
         return P.lab_name_map(self.stg, self.bridge)
 
+    @cached_property
+    def map_mart(self):
+        return materialise(P.lab_name_map(self.stg, self.bridge_mart), "name-map")
+
     @cached_property
     def sales(self):
-        return P.sales_mart(self.rx, self.bridge)
+        return P.sales_mart(self.rx, self.bridge_mart)
 
     @cached_property
     def spend(self):
-        return P.influence_spend(self.stg, self.name_map, self.raw, self.depts)
+        return P.influence_spend(self.stg, self.map_mart, self.raw, self.depts)
 
     def fact(self, **kw):
-        if not kw:
-            return self._fact
         return P.influence_fact(self.spend, self.sales, self.regions, **kw)
 
-    @cached_property
-    def _fact(self):
-        return P.influence_fact(self.spend, self.sales, self.regions)
-
     @cached_property
     def geo(self):
         return P.geo_ref(star.geo_points_raw(self.spark, self.sf_dir), self.depts)
 
+    @cached_property
+    def geo_mart(self):
+        return materialise(self.geo, "geo-ref")
+
     @cached_property
     def recipients(self):
         regions = P.recipient_regions(self.stg, self.raw, self.depts)
-        return P.recipients(self.raw, self.name_map, regions, min_total=RECIPIENT_MIN_TOTAL)
-
-
-_INPUTS: dict = {}
+        return P.recipients(self.raw, self.map_mart, regions, min_total=RECIPIENT_MIN_TOTAL)
 
-
-def inputs_for(spark: SparkSession, sf_dir: str) -> Inputs:
-    """The lazily built inputs for (session, folder), shared by all queries.
-
-    Only plan objects are shared (a DataFrame is an immutable, lazy plan):
-    every query still executes its whole plan from the tables. Sharing them
-    saves re-deriving the same inputs and marts through thousands of
-    Python-to-JVM calls per query.
-    """
-    key = (id(spark), sf_dir)
-    i = _INPUTS.get(key)
-    if i is None or i.spark is not spark:
-        i = _INPUTS[key] = Inputs(spark, sf_dir)
-    return i
+    @cached_property
+    def fact_mart(self):
+        return materialise(self.fact(), "fact")
 
 
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(inputs_for(spark, sf_dir))
+        return fn(Inputs(spark, sf_dir))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -285,7 +284,7 @@ def recipients(i: Inputs):
 
 @_q
 def recipients_geo(i: Inputs):
-    return P.recipients_geo(i.raw, i.name_map, i.geo, min_total=RECIPIENT_MIN_TOTAL)
+    return P.recipients_geo(i.raw, i.map_mart, i.geo_mart, min_total=RECIPIENT_MIN_TOTAL)
 
 
 @_q
@@ -307,20 +306,34 @@ def dedup_sum(i: Inputs):
         .withColumn("total_value", F.col("total_value").cast("decimal(38,2)"))
 
 
-def _search_inputs(i: Inputs):
-    fact = i.fact()
-    return i.recipients, i.regions, fact, P.lab_top_products(i.bridge)
+def _search(i: Inputs, term: str) -> DataFrame:
+    return P.search_declarations(i.raw, i.map_mart, i.depts, i.regions, i.rx, i.bridge_mart,
+                                 P.lab_top_products(i.bridge_mart), term, min_total=RECIPIENT_MIN_TOTAL)
 
 
 @_q
 def search(i: Inputs):
-    return P.search_recipients(*_search_inputs(i), SEARCH_TERM)
+    return _search(i, SEARCH_TERM)
+
+
+@_q
+def search_limit(i: Inputs):
+    """QRY-1 with more hits than the limit."""
+    return _search(i, LIMIT_TERM)
+
+
+@_q
+def search_mart(i: Inputs):
+    """QRY-1 over the recipient and fact marts."""
+    return P.search_recipients(materialise(i.recipients, "recipients"), i.regions, i.fact_mart,
+                               P.lab_top_products(i.bridge_mart), LIMIT_TERM)
 
 
 @_q
 def search_batch(i: Inputs):
     terms = i.spark.createDataFrame([(t,) for t in SEARCH_TERMS], "term string")
-    return P.search_recipients_batch(*_search_inputs(i), terms)
+    return P.search_recipients_batch(materialise(i.recipients, "recipients"), i.regions, i.fact_mart,
+                                     P.lab_top_products(i.bridge_mart), terms)
 
 
 @_q
@@ -359,7 +372,7 @@ def write_drifting_csv(i: Inputs) -> str:
 def csv_drift_top_payers(i: Inputs):
     """SRC-2 end to end: drifting-header CSV files -> staging -> top payers."""
     base = write_drifting_csv(i)
-    raw = read_csv_union_by_name(i.spark, [f"{base}/a", f"{base}/b"], sep=";")
+    raw = read_csv_union_by_name(i.spark, [f"{base}/a", f"{base}/b"], sep=";", multi_line=False)
     return P.top_companies(P.stg_declarations(raw))
 
 
@@ -408,10 +421,185 @@ def landing_label(i: Inputs):
     return P.landing_labels(P.landing_stats(i.recipients).total)
 
 
+@_q
+def landing_payers(i: Inputs):
+    """SCL-20: the amount labels of the top payers."""
+    return P.payer_labels(P.landing_stats(i.recipients).top_groups)
+
+
 @_q
 def search_report(i: Inputs):
-    """SCL-21: display fields of the search results."""
-    return P.recipient_report(P.search_recipients(*_search_inputs(i), SEARCH_TERM))
+    """SCL-21: display fields and sentences of the search results."""
+    return P.recipient_report(_search(i, SEARCH_TERM))
+
+
+AWKWARD = ('he said "yes" to ', "ends in a backslash \\", "two\nlines of ", "a;b and c,d of ", '"quoted whole"', "plain ")
+
+
+@_q
+def csv_quoted_roundtrip(i: Inputs):
+    """SRC-1: quotes, backslashes, separators and line breaks survive a CSV file."""
+    part = star.table(i.spark, i.sf_dir, "part")
+    note = F.element_at(F.array(*[F.lit(x) for x in AWKWARD]), (F.col("p_partkey") % 6 + 1).cast("int"))
+    text = F.when(F.col("p_partkey") % 6 == 1, F.concat("p_name", note)).otherwise(F.concat(note, "p_name"))
+    base = scratch_path(i.spark, "quoted-csv")
+    (part.select(F.col("p_partkey").cast("string").alias("id"), text.alias("note"), "p_brand")
+     .write.option("header", True).option("sep", ";").option("escape", '"').csv(base))
+    return read_text_csv(i.spark, base, sep=";").select(F.col("id").cast("bigint").alias("id"), "note", "p_brand")
+
+
+@_q
+def csv_rejected_rows(i: Inputs):
+    """SRC-2: records that do not fit their header are set apart, and counted."""
+    c = star.table(i.spark, i.sf_dir, "customer")
+    fields = F.concat_ws(";", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment")
+    line = (F.when(F.col("c_custkey") % 10 == 0, F.concat(fields, F.lit(";extra")))
+            .when(F.col("c_custkey") % 10 == 1, F.concat_ws(";", F.col("c_custkey").cast("string"), "c_name"))
+            .otherwise(fields))
+    base = scratch_path(i.spark, "rejects-csv")
+    (c.select(line.alias("ID;NAME;SEGMENT")).write.option("header", True).option("quote", "")
+     .option("escapeQuotes", False).option("sep", "\u0001").csv(base))
+    read = read_csv_union(i.spark, base, sep=";")
+    kept = read.rows.groupBy("segment").agg(F.count(F.lit(1)).alias("n_rows"),
+                                            F.sum(F.col("id").cast("bigint")).alias("sum_id"))
+    lost = read.rejected.agg(F.lit("rejected").alias("segment"), F.count(F.lit(1)).alias("n_rows"),
+                             F.sum(F.split_part("record", F.lit(";"), F.lit(1)).cast("bigint")).alias("sum_id"))
+    return kept.unionByName(lost)
+
+
+RX_COLUMNS = ["ben_reg", "psp_spe", "cip13", "l_cip13", "top_gen", "boites", "rem", "pfs_exe_num"]
+
+
+@_q
+def rx_csv_union_mart(i: Inputs):
+    """MRT-4 -> MRT-5: yearly prescription files in two layouts through the loader into the mart."""
+    base = scratch_path(i.spark, "rx-csv")
+    first = F.col("cip13") < F.lit("3400000000900")
+    (i.rx.where(first).select(*[F.col(c).alias(c.upper()) for c in RX_COLUMNS])
+     .write.option("header", True).option("sep", ";").csv(f"{base}/y1"))
+    (i.rx.where(~first).select(F.lit("2023").alias("annee"), *reversed(RX_COLUMNS))
+     .write.option("header", True).option("sep", ";").csv(f"{base}/y2"))
+    rx = P.prescriptions_raw(i.spark, [f"{base}/y1", f"{base}/y2"])
+    return P.prescriptions_mart(rx, i.regions, i.specialities)
+
+
+@_q
+def speciality_codes(i: Inputs):
+    """T7: codes with suffixes, blanks and decimals as specialities."""
+    codes = ("1D", "2f", " 12 ", "3.7", "", "x", "15")
+    code = F.element_at(F.array(*[F.lit(c) for c in codes]), (F.col("pfs_exe_num").cast("int") % 7 + 1))
+    mart = P.prescriptions_mart(i.rx.withColumn("psp_spe", code), i.regions, i.specialities)
+    return mart.groupBy("code_spe", "specialite").agg(F.sum("total_boites").cast("decimal(38,3)").alias("boites"))
+
+
+@_q
+def strict_tsv_packs(i: Inputs):
+    """SRC-3: the strict headerless scan of the pack export."""
+    _, packs = write_latin1_catalogue(i)
+    return read_headerless_tsv(i.spark, packs, {0: "cis", 6: "cip13"}, encoding="ISO-8859-1")
+
+
+@_q
+def geo_points_file(i: Inputs):
+    """SRC-5 -> MRT-14: the points as a file, then the postal-code reference."""
+    base = scratch_path(i.spark, "geo-points")
+    star.geo_points_raw(i.spark, i.sf_dir).write.option("header", True).option("sep", ";").csv(base)
+    return P.geo_ref(read_geo_points(i.spark, base), i.depts)
+
+
+@_q
+def quoted_catalogue_bridge(i: Inputs):
+    """SRC-4: quoted fields, and each file's width from its first line."""
+    part = star.table(i.spark, i.sf_dir, "part")
+    base = scratch_path(i.spark, "catalogue-quoted")
+    name = F.concat(F.lit('"'), "p_name", F.lit("\t"), F.lit('""fort"""'))
+    company = F.concat(F.lit('"Laboratoires ""'), "p_brand", F.lit('"""'))
+    filler = [F.lit(x) for x in ("a", "b", "NA", "c", "", "d", "e", "f")]
+    full = _tsv_line(F.col("p_partkey"), name, *filler, company)
+    kind = F.when(F.col("p_size") == 49, 1).when(F.col("p_size") == 48, 2).otherwise(0)
+    line = (F.when(kind == 1, F.concat(full, F.lit('\t"extra\tfield"')))
+            .when(kind == 2, _tsv_line(F.col("p_partkey"), name, F.lit("a"))).otherwise(full))
+    (part.select(line.alias("line"), kind.alias("kind")).repartition(4).sortWithinPartitions("kind").select("line")
+     .write.option("encoding", "ISO-8859-1").option("quote", "").option("escapeQuotes", False)
+     .option("sep", "\u0001").csv(f"{base}/products"))
+    packs = part.select(_tsv_line(F.col("p_partkey"), *[F.lit(x) for x in "abcde"], star.pack_code("p_partkey")).alias("line"))
+    (packs.write.option("encoding", "ISO-8859-1").option("quote", "").option("escapeQuotes", False)
+     .option("sep", "\u0001").csv(f"{base}/packs"))
+    products, packs = P.load_catalogue(i.spark, f"{base}/products", f"{base}/packs")
+    return P.product_bridge(packs, products)
+
+
+@_q
+def view_segment_revenue(i: Inputs):
+    """SRC-6, SRC-9: several tables at once, as views for SQL."""
+    tables = read_tables(i.spark, i.sf_dir, ("customer", "orders", "nation"))
+    register_views({f"sun_{n}": df for n, df in tables.items()})
+    return i.spark.sql("""
+        SELECT n.n_name, c.c_mktsegment, count(*) AS n_orders,
+               CAST(sum(CAST(o.o_totalprice AS DECIMAL(18, 2))) AS DECIMAL(38, 2)) AS revenue
+        FROM sun_orders o JOIN sun_customer c ON o.o_custkey = c.c_custkey
+        JOIN sun_nation n ON c.c_nationkey = n.n_nationkey
+        GROUP BY n.n_name, c.c_mktsegment""")
+
+
+@_q
+def marts_export_roundtrip(i: Inputs):
+    """SNK-1..3: marts exported and read back by name."""
+    bridge = i.bridge_mart
+    paths = export_marts({"companies": P.lab_dim(bridge), "products": P.lab_top_products(bridge)},
+                         scratch_path(i.spark, "export"))
+    companies, products = (i.spark.read.parquet(paths[n]) for n in ("companies", "products"))
+    return companies.join(products, companies.labo_id == products.labo_ansm, "left").drop("labo_ansm")
+
+
+@_q
+def json_records_parsed(i: Inputs):
+    """SNK-4: JSON records, parsed back."""
+    return json_records(i.bridge).select(F.from_json("json", i.bridge.schema).alias("r")).select("r.*")
+
+
+@_q
+def json_file_roundtrip(i: Inputs):
+    """SNK-4: a JSON file, read back."""
+    dim = P.lab_dim(i.bridge)
+    return i.spark.read.schema(dim.schema).json(write_json(dim, scratch_path(i.spark, "json")))
+
+
+@_q
+def column_probe(i: Inputs):
+    """PRJ-6..8: the first rows of the fact by position, for columns found by name."""
+    l = star.table(i.spark, i.sf_dir, "lineitem")
+    head = first_rows_by_position(l, 20, [F.asc(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    found = search_columns(schema_profile(i.spark, l), ("key", "flag", "status", "number"))
+    return head.join(F.broadcast(found), "position").select("row", "position", "name", "type", "value")
+
+
+@_q
+def fanout_report(i: Inputs):
+    """T11: rows and amounts before and after the name-map join."""
+    stg, m = i.stg, i.map_mart
+    return join_fanout(stg, m, stg["labo"] == m["name_transparence"], "montant").withColumns(
+        {c: F.col(c).cast("decimal(38,2)") for c in ("amount_before", "amount_after")})
+
+
+@_q
+def group_preview(i: Inputs):
+    """AGG-15, TOP-4/5: the best groups, numbered in order."""
+    return P.groups_preview(P.influence_groups(i.fact(), GROUP_RULES, min_spend=0))
+
+
+NAMES_BY_SIZE = ("SANOFI PASTEUR", "OPELLA SANTE", "PFIZER", "NOVARTIS PHARMA", "BAYER", "MERCK SERONO",
+                 "SERVIER MONDE", "LES LABORATOIRES SERVIER", "BIOGARAN", "BOEHRINGER", "ASTRAZENECA", "VIATRIS",
+                 "LES AUTRES", "Laboratoires Théa", "Sanofi")
+
+
+@_q
+def group_default_rules(i: Inputs):
+    """SCL-12: the ten default rules, and the first word of other names."""
+    part = star.table(i.spark, i.sf_dir, "part")
+    name = F.element_at(F.array(*[F.lit(n) for n in NAMES_BY_SIZE]), F.col("p_size") % len(NAMES_BY_SIZE) + 1)
+    return part.groupBy(group_key(name).alias("groupe")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("p_retailprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"))
 
 
 QUERIES: dict[str, Query] = {
@@ -424,7 +612,11 @@ QUERIES: dict[str, Query] = {
         influence_fact_v1, influence_groups, top_roi, company_focus, lab_dim,
         lab_top_products, geo_ref, recipients, recipients_geo, pending_order_max, search,
         search_batch, landing_top, landing_total, csv_drift_top_payers,
-        tsv_catalogue_bridge, landing_label, search_report, dedup_sum,
+        tsv_catalogue_bridge, landing_label, search_report, dedup_sum, search_limit, search_mart,
+        landing_payers, csv_quoted_roundtrip, csv_rejected_rows, rx_csv_union_mart, speciality_codes,
+        strict_tsv_packs, geo_points_file, quoted_catalogue_bridge, view_segment_revenue,
+        marts_export_roundtrip, json_records_parsed, json_file_roundtrip, column_probe, fanout_report,
+        group_preview, group_default_rules,
     ]
 }
 

@@ -43,8 +43,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 _TABLE_CACHE: dict = {}
-# The fact-sized table; the test files store each table as one row group (one
-# task). orders is only ever a broadcast side here, so it is left as read.
+# The test files store each table as one row group, so one task; the largest is
+# spread. (On the test files the planner broadcasts orders by its size; a large
+# orders table is shuffled like any other.)
 SPREAD_TABLES = {"lineitem": ("l_orderkey",)}
 
 
