@@ -7,10 +7,10 @@ targets in least squares, by projected-gradient steps on executors. (The
 least-squares metric is that of the domains' Gram matrix, so small domains
 count as much as large ones.)
 
-Classifier: Bernoulli naive Bayes over hashed words and binned shares of
-character classes; buckets whose presence does not differ significantly
-between domains (chi-squared) are left out. It is fitted on a bounded sample of
-about ``LABELLED`` labelled documents.
+Classifier: softmax regression over hashed words, word ends and the share of
+different words; buckets whose presence does not differ significantly
+between domains (chi-squared) are left out. It is fitted on the driver from a
+bounded sample of about ``LABELLED`` labelled documents.
 
 Fit: posteriors are rounded to ``1/CELLS``, documents with equal posteriors
 share one rate exactly (steps are scaled by 1/tokens, so the direction
@@ -23,11 +23,11 @@ Only DataFrame functions are used. The driver holds the weights (``BUCKETS``
 numbers per domain) and one residual vector per step. Broadcasts: the
 labelled sample and those weights.
 
-Defined cases: a null or empty text has no words, so the prior as posterior
-and no tokens; its rate is like any other's. Labels of unknown documents are
-ignored; a document labelled twice counts in each. Without labels all
-posteriors are equal. An empty table gives an empty result. Repeated rows are
-documents of their own. Other columns pass through unchanged.
+Defined cases: a null or empty text has no tokens but a posterior and a rate
+like any other. Labels of unknown documents are ignored; a document labelled
+twice counts in each. Without labels all posteriors, and so all rates, are
+equal. An empty table gives an empty result. Repeated rows are documents of
+their own. Other columns pass through unchanged.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .common import stash, table
 
 BUCKETS = 1 << 15
-LABELLED = 20_000
+LABELLED = 10_000
 LEAST_CHI2, LEAST_SEEN = 20.0, 3
 CELLS = 1000
 MOST_STEPS = 40
@@ -66,38 +66,36 @@ def _numbers(values: list, kind: str = "double") -> Column:
 
 # -- features ---------------------------------------------------------------
 
-def _share(text: Column, kept: Column) -> Column:
-    """Share of the characters that ``kept`` has lost, in ``SHARE_BINS`` bins (roots spread small shares)."""
-    lost = (F.length(text) - F.length(kept)) / F.greatest(F.lit(1), F.length(text))
-    return F.floor(F.sqrt(lost) * SHARE_BINS).cast("int")
+def with_bag(df: DataFrame, text: Column, buckets: int = BUCKETS) -> DataFrame:
+    """``df`` with ``__tokens`` (words of the text) and ``__bag``, its distinct buckets.
 
-
-def bag(text: Column, buckets: int = BUCKETS) -> Column:
-    """Distinct buckets of a text: its words, lower-cased letters only, and binned character shares."""
-    words = F.split(F.lower(text), r"[^\p{L}]+")
-    hashed = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    no_case = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")
-    no_marks = F.translate(text, "!#$%&*|<>{}[]=+_/\\~^@", "")
-    no_digits = F.translate(text, "0123456789", "")
-    no_lines = F.translate(text, "\n", "")
-    variety = F.floor(F.size(F.array_distinct(words)) / F.size(words) * SHARE_BINS).cast("int")
-    shape = F.array(*[F.pmod(F.xxhash64(F.lit(n), v), F.lit(buckets)).cast("int") for n, v in (
-        ("case", _share(text, no_case)), ("marks", _share(text, no_marks)), ("digits", _share(text, no_digits)),
-        ("lines", _share(text, no_lines)), ("variety", variety))])
-    return F.array_distinct(F.concat(hashed, shape))
+    Buckets come from the words as they stand, from their last characters (which
+    tell decorated and shouted words) and from the share of different words. Steps are columns of their own, so that a text is cut only once.
+    """
+    bucket = lambda *x: F.pmod(F.xxhash64(*x), F.lit(buckets)).cast("int")
+    words = F.split(F.coalesce(text.cast("string"), F.lit("")), r"[ \t\n\x0b\f\r]+")
+    edge = lambda at: (F.element_at("__words", F.lit(at)) == "").cast("int")
+    return (df.withColumn("__words", words)
+            .withColumn("__own", F.array_distinct(F.transform("__words", lambda w: bucket(w))))
+            .withColumn("__ends", F.array_distinct(F.transform("__words", lambda w: bucket(F.lit(1), F.substring(w, -1, 1)))))
+            .withColumn("__tokens", F.greatest(F.lit(0), F.size("__words") - edge(1) - edge(-1)).cast("long"))
+            .withColumn("__bag", F.array_distinct(F.concat("__own", "__ends", F.array(bucket(
+                F.lit(2), F.floor(F.size("__own") / F.size("__words") * SHARE_BINS))))))
+            .drop("__words", "__own", "__ends"))
 
 
 def learn(spark: SparkSession, docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...] = DOMAINS,
           id_col: str = "doc_id", text_col: str = "text", rows: int = LABELLED,
           buckets: int = BUCKETS) -> tuple[list[float], list[list[float]]]:
-    """(log prior, per domain the weight of each bucket) from a bounded sample of labels."""
+    """(bias, per domain the weight of each bucket) from a bounded sample of labels."""
     known = labelled.where(F.col("domain").isin(*domains) & F.col("doc_id").isNotNull()).distinct()
     n = known.count()
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("mix")), F.lit(1 << 24)) / F.lit(float(1 << 24))
     sample = known.where(draw < min(1.0, rows / max(1, n))).select(F.col("doc_id").alias("__id"), "domain")
     # About ``rows`` rows of two values, whatever the input.
-    bags = stash(spark, docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-                 .join(F.broadcast(sample), "__id").select("domain", bag(F.col("t"), buckets).alias("bag")), "mix-bags")
+    bags = stash(spark, with_bag(
+        docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(sample), "__id"),
+        F.col("__text"), buckets).select("domain", F.col("__bag").alias("bag")), "mix-bags")
     sizes = {r["domain"]: r["n"] for r in bags.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(sizes.values())
     if not total:
@@ -106,24 +104,42 @@ def learn(spark: SparkSession, docs: DataFrame, labelled: DataFrame, domains: tu
         .pivot("domain", list(domains)).agg(F.count(F.lit(1))).na.fill(0)
     # Documents of a domain with a bucket against those of the others: chi-squared of the two-by-two table.
     every = sum((F.col(d) for d in domains), F.lit(0))
-    strength, chances = [], []
+    strength = []
     for d in domains:
         size, inside = sizes.get(d, 0), F.col(d)
         cross = inside * float(total) - every * float(size)
         spread = every * (float(total) - every) * float(size) * float(total - size)
         strength.append(F.when(spread > 0, cross * cross * float(total) / spread).otherwise(0.0))
-        chances.append(((inside + 0.5) / (size + 1)).alias(d))
     strong = F.greatest(*strength) if len(domains) > 1 else strength[0]
-    found = counts.where((strong >= LEAST_CHI2) & (every >= LEAST_SEEN)) \
-        .select("b", *chances).collect()                                    # at most ``buckets`` rows
-    prior = [math.log((sizes.get(d, 0) + 0.5) / (total + 0.5 * len(domains))) for d in domains]
-    weights = [[0.0] * buckets for _ in domains]
-    for r in found:
-        for k, d in enumerate(domains):
-            # presence adds log p / (1 - p) to what absence of every bucket gives
-            weights[k][r["b"]] = math.log(r[d] / (1 - r[d]))
-            prior[k] += math.log(1 - r[d])
-    return prior, weights
+    told = sorted(r["b"] for r in counts.where((strong >= LEAST_CHI2) & (every >= LEAST_SEEN)).select("b").collect())
+    flags = _numbers([int(f) for f in np.isin(np.arange(buckets), told)], "boolean")
+    sample_rows = bags.select("domain", F.filter("bag", lambda b: F.get(flags, b)).alias("hits")).collect()
+    bias, found = fit_softmax([domains.index(r["domain"]) for r in sample_rows], [r["hits"] for r in sample_rows],
+                              told, len(domains))
+    weights = np.zeros((len(domains), buckets))
+    weights[:, told] = found
+    return bias.tolist(), weights.tolist()
+
+
+def fit_softmax(domain: list[int], hits: list[list[int]], features: list[int], domains: int,
+                rounds: int = 300, rate: float = 0.5, penalty: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+    """(bias, weights by domain and feature) of a softmax regression on binary features, by scaled gradient steps."""
+    y = np.eye(domains)[domain]
+    row = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
+    column = np.searchsorted(features, np.array([b for h in hits for b in h], dtype=np.int64))
+    w, bias = np.zeros((len(features), domains)), np.zeros(domains)
+    w_scale, b_scale = np.full_like(w, 1e-8), np.full_like(bias, 1e-8)
+    for _ in range(rounds):
+        z = np.column_stack([np.bincount(row, w[column, k], len(hits)) for k in range(domains)]) + bias
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        off = (p / p.sum(axis=1, keepdims=True) - y) / len(hits)
+        grad = np.column_stack([np.bincount(column, off[row, k], len(features)) for k in range(domains)]) + penalty * w
+        w_scale += grad ** 2
+        w -= rate * grad / np.sqrt(w_scale)
+        grad = off.sum(axis=0)
+        b_scale += grad ** 2
+        bias -= rate * grad / np.sqrt(b_scale)
+    return bias, w.T
 
 
 def posteriors(docs: DataFrame, prior: list[float], weights: list[list[float]], text_col: str = "text",
@@ -133,12 +149,10 @@ def posteriors(docs: DataFrame, prior: list[float], weights: list[list[float]],
     # Flags say which buckets carry weight; the few that do are looked up.
     flags = _numbers([int(any(w[b] != 0.0 for w in weights)) for b in range(buckets)], "boolean")
     tables = [_numbers(w) for w in weights]
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    hits = F.filter(bag(text, buckets), lambda b: F.get(flags, b))
+    hits = F.filter("__bag", lambda b: F.get(flags, b))
     logs = F.aggregate(hits, _numbers([float(p) for p in prior]), lambda acc, b: F.array(
         *[F.get(acc, F.lit(k)) + F.get(t, b) for k, t in enumerate(tables)]))
-    tokens = F.size(F.filter(F.split(text, r"[ \t\n\x0b\f\r]+"), lambda w: w != "")).cast("long")
-    scored = docs.withColumn("__tokens", tokens).withColumn("__logs", logs)
+    scored = with_bag(docs, F.col(text_col), buckets).withColumn("__logs", logs).drop("__bag")
     odds = F.transform("__logs", lambda v: F.exp(v - F.array_max("__logs")))
     total = F.aggregate(odds, F.lit(0.0), lambda a, v: a + v)
     return scored.withColumn("__cell", F.transform(odds, lambda v: F.round(v / total * cells).cast("int"))) \
@@ -205,8 +219,7 @@ def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, weights: dict
     targets, reached totals). Texts are scored once: the result is written before the fit.
 
     Without ``total_tokens`` the targets add up to the largest total that needs
-    no repetition of the scarcest domain, scaled so that a document wholly in
-    that domain has rate 1.
+    no repetition: the document with the highest rate has rate 1.
     """
     domains = tuple(weights)
     prior, table_ = learn(spark, docs, labelled, domains, id_col, text_col)
@@ -226,14 +239,10 @@ def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, weights: dict
     steps, reached = fit_rates(small, targets, cells)
     rate = rate_of(F.col("__cell"), steps, cells)
     if total_tokens is None and wanted:
-        scarce = min(wanted, key=lambda k: supply[k] / shares[k])
-        pure = [1.0 if k == scarce else 0.0 for k in range(len(domains))]
-        at = 1.0
-        for step in steps:
-            at = max(0.0, at - sum(p * s for p, s in zip(pure, step)))
-        if at > 0:
-            rate = rate / F.lit(at)
-            targets, reached = [t / at for t in targets], [t / at for t in reached]
+        top = small.agg(F.max(F.when(F.col("tokens") > 0, rate_of(F.col("cell"), steps, cells)))).first()[0]
+        if top:
+            rate = rate / F.lit(float(top))
+            targets, reached = [t / top for t in targets], [t / top for t in reached]
     return scored.withColumn("__rate", rate), targets, reached
 
 

@@ -211,7 +211,10 @@ def test_mixing_query(spark):
     labels = pq.read_table(f"{MID}/labels.parquet").to_pydict()
     truth = {i: "toxic" if x else "good" if q else "poor" for i, q, x in zip(labels["doc_id"], labels["quality"], labels["toxic"])}
     by = {r["doc_id"]: max(M.DOMAINS, key=lambda d: r[f"p_{d}"]) for r in got}
-    assert np.mean([by[i] == d for i, d in truth.items()]) > 0.9
+    assert np.mean([by[i] == d for i, d in truth.items()]) > 0.95
+    rate = {r["doc_id"]: r["rate"] for r in got}
+    assert np.mean([rate[i] for i, d in truth.items() if d == "good"]) > 0.95
+    assert np.mean([rate[i] for i, d in truth.items() if d == "toxic"]) < 0.2
 
 
 def test_mixing_edges(spark, edge_docs, no_docs):
