@@ -109,8 +109,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "sha")
     some = marked.where("maybe").drop("maybe")
-    groups = some.groupBy("sha").agg(F.max(F.struct("doc_id", "row_id")).alias("top"),
-                                     F.count(F.lit(1)).alias("group_size"))
+    # Written, so that the join's sides are plain scans and a group of very many copies can be split.
+    groups = stash(spark, some.groupBy("sha").agg(F.max(F.struct("doc_id", "row_id")).alias("top"),
+                                                  F.count(F.lit(1)).alias("group_size")), "exact-groups")
     several = some.join(groups, "sha").select(
         "doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",
         (F.col("row_id") == F.col("top.row_id")).alias("kept"), "sha")
