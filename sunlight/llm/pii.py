@@ -34,31 +34,45 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}(?![\x20-]?[0-9
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 
-IDENTIFIER = r"(?<!\S)(?:\x28?[\p{L}._%+-]*+[0-9@])[^\s]*+"
 LEAST_IDENTIFIER = 6
+IDENTIFIER = r"(?<!\S)(?=\S{6})(?:\x28?[\p{L}._%+-]*+[0-9@])[^\s]*+"
 CONTEXT_CHARS = 80
 ROUNDS = 3
 SURE_PATTERN = 0.8
 LEAST_SEEDS = 3
 
+BLOCK = 64
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _ends(lengths: Column) -> Column:
+    """Running sums of an array, ``BLOCK`` numbers at a time: no step copies what was summed before."""
+    add = lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + x)
+    blocks = F.sequence(F.lit(0), F.floor(F.size(lengths) / BLOCK).cast("int"))
+    before = F.aggregate(blocks, F.array(F.lit(0)), lambda acc, b: F.concat(
+        acc, F.array(F.element_at(acc, -1) + add(F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK))))))
+    block = lambda i: F.floor(i / BLOCK).cast("int")
+    return _let(before, lambda upto: F.transform(lengths, lambda _, i: F.get(upto, block(i)) + add(
+        F.slice(lengths, block(i) * BLOCK + 1, F.pmod(i, F.lit(BLOCK)) + 1))))
+
+
 def located(text: Column, pattern: str) -> Column:
     """Matches as (start, end, value), leftmost and not overlapping."""
-    gaps = F.split(text, pattern, -1)
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-
-    def step(acc, pair):
-        begin = acc["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["value"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
-            begin.alias("start"), end.alias("end"), pair["value"].alias("value")))).alias("out"))
-
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(values)), values,
-                       lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    cut = F.struct(F.split(text, pattern, -1).alias("gaps"),
+                   F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"))
+
+    def spans(c):
+        lengths = F.zip_with(F.slice(c["gaps"], 1, F.size(c["values"])), c["values"],
+                             lambda g, v: F.length(g) + F.length(v))
+        return _let(lengths, lambda n: F.zip_with(c["values"], _ends(n), lambda v, end: F.struct(
+            (end - F.length(v)).alias("start"), end.alias("end"), v.alias("value"))))
+
+    return _let(cut, lambda c: F.when(F.size(c["values"]) > 0, spans(c)).otherwise(F.array().cast(_SPAN)))
 
 
 def _digits(value: Column) -> Column:
