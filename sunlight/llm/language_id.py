@@ -146,8 +146,8 @@ def fit_svm(x: np.ndarray, y: np.ndarray, strength: float = 10.0, rounds: int =
     step = 1 / (1 + 2 * strength * 2 * 2)
     w, look, t = np.zeros(z.shape[1]), np.zeros(z.shape[1]), 1.0
     for _ in range(rounds):
-        slack = np.maximum(0, 1 - y * (z @ look))
-        grad = look - 2 * (z.T @ (cost * slack * y))
+        slack = np.maximum(0, 1 - y * (z @ look.astype(z.dtype)))
+        grad = look - 2 * (z.T @ (cost * slack * y).astype(z.dtype))
         new, t_new = look - step * grad, (1 + np.sqrt(1 + 4 * t * t)) / 2
         look, w, t = new + (t - 1) / t_new * (new - w), new, t_new
     return w[:-1] / scale, float(w[-1])
@@ -235,7 +235,7 @@ def fit(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
         .mapInArrow(extract, "lang string, x binary").collect()      # about per_language rows of each language
     if not rows:
         return None
-    x = np.frombuffer(b"".join(r["x"] for r in rows), "<f2").reshape(len(rows), -1).astype(np.float64)
+    x = np.frombuffer(b"".join(r["x"] for r in rows), "<f2").reshape(len(rows), -1).astype(np.float32)
     return Discriminator(x, np.array([r["lang"] for r in rows], object), families)
 
 
