@@ -5,8 +5,8 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from test_exact_line import brute_lines
-from test_simhash import brute_classes, brute_fingerprint
+from .test_exact_line import brute_lines
+from .test_simhash import brute_classes, brute_fingerprint
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 SMALL = "/root/testdata/sf0.001"
