@@ -34,8 +34,8 @@ from .common import stash, table
 CAPACITY = 4096
 END_ID = 1
 PIECES_PER_CHUNK = 8192
-SLICE_BYTES = 4 << 20
-CACHED_WORDS = 500_000
+SLICE_BYTES = 2 << 20
+CACHED_WORDS, CACHED_PARTS = 200_000, 400_000
 CACHED_LENGTH = 64
 
 # Letters of one Latin-1 word with closing punctuation: the tokenizer's own
@@ -91,7 +91,7 @@ class WordEncoder:
         """(all ids, offsets of the texts in them)."""
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        if len(self.parts) > CACHED_WORDS:
+        if len(self.parts) > CACHED_PARTS:
             self.parts.clear()
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
         if odd.any():
