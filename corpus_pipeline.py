@@ -7,14 +7,16 @@ return the columns of documents.
 1. language ID: documents whose language cannot be told (``und``) go.
 2. line dedup: lines that repeat across documents stay in the first only.
 3. SimHash near-dedup: one document of each class stays.
-4. mixing: documents are drawn with rates that bring the domains (good, poor,
-   toxic) to their target weights; the highest rate is 1, that of clean text,
-   which is kept.
+4. mixing: clean text is kept (rate 1), and of the domains that are over their
+   target weight beside it (poor, toxic) documents are drawn with lower rates; a
+   domain under its weight stays whole. The totals reached are logged.
 5. best-fit packing into sequences of 4096 tokens.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sunlight.llm import language_id, line_dedup, mixing, packing, simhash
@@ -36,7 +38,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed, _, _ = mixing.mix(spark, docs, mixing.label_domains(table(spark, sf_dir, "labels")))
+    mixed, targets, reached = mixing.mix(spark, docs, mixing.label_domains(table(spark, sf_dir, "labels")),
+                                         keep_domain="good")
+    for domain, target, total in zip(mixing.DOMAINS, targets, reached):
+        logging.getLogger(__name__).info("mixing: %s reaches %.0f of %.0f tokens", domain, total, target)
     return mixing.sample_by_rate(mixed)
 
 

@@ -165,16 +165,18 @@ def _dot(cell: Column, values: list[float], cells: int) -> Column:
     return sum((F.get(cell, F.lit(k)) * F.lit(float(v) / cells) for k, v in enumerate(values)), F.lit(0.0))
 
 
-def rate_of(cell: Column, steps: list[list[float]], cells: int = CELLS) -> Column:
-    """Rate of a posterior cell: projected steps, one after the other, from rate 1."""
+def rate_of(cell: Column, steps: list[list[float]], cells: int = CELLS, most: float = math.inf) -> Column:
+    """Rate of a posterior cell: steps projected to 0 and ``most``, one after the other, from rate 1."""
     if not steps:
         return F.lit(1.0)
     width = len(steps[0])
     moves = _numbers([float(v) for step in steps for v in step])
     along = lambda s: sum((F.get(cell, F.lit(k)) * F.get(moves, s * width + k)
                            for k in range(width)), F.lit(0.0)) / F.lit(float(cells))
+    project = (lambda r: F.greatest(F.lit(0.0), r)) if most == math.inf else \
+        (lambda r: F.greatest(F.lit(0.0), F.least(F.lit(float(most)), r)))
     return F.aggregate(F.sequence(F.lit(0), F.lit(len(steps) - 1)), F.lit(1.0),
-                       lambda rate, s: F.greatest(F.lit(0.0), rate - along(s)))
+                       lambda rate, s: project(rate - along(s)))
 
 
 def fit_rates(cells_table: DataFrame, targets: list[float], cells: int = CELLS, most_steps: int = MOST_STEPS,
@@ -211,15 +213,46 @@ def fit_rates(cells_table: DataFrame, targets: list[float], cells: int = CELLS,
     return steps, reached
 
 
+def fit_thinning(cells_table: DataFrame, targets: list[float], supply: list[float], cells: int = CELLS,
+                 most_steps: int = MOST_STEPS, tolerance: float = TOLERANCE) -> tuple[list[list[float]], list[float]]:
+    """(steps for ``rate_of`` with ``most`` 1, reached totals): like ``fit_rates``, with no rate over 1.
+
+    A domain whose target is beyond its supply is aimed at its supply. Residuals
+    count by the domain's supply. The steps' metric is that diagonal: posteriors
+    add to 1, so no step grows the loss; and as no domain exceeds its supply, no
+    step lowers a document that is wholly of a domain aimed at its supply.
+    """
+    width = len(targets)
+    share = lambda k: F.get("cell", F.lit(k)) / F.lit(float(cells))
+    have = np.array(supply)
+    wanted, steps, before = np.minimum(targets, have), [], math.inf
+    scale = np.divide(1.0, have, out=np.zeros(width), where=have > 0)
+    while True:
+        row = cells_table.withColumn("r", rate_of(F.col("cell"), steps, cells, 1.0)).agg(
+            *[F.sum(F.col("r") * F.col("tokens") * share(k)) for k in range(width)]).first()
+        reached = np.array([float(v or 0.0) for v in row])
+        off = reached - wanted
+        loss = float((off ** 2 * scale).sum())
+        if (np.abs(off) <= tolerance * np.maximum(1.0, wanted)).all() or len(steps) >= most_steps \
+                or before - loss <= tolerance * before < math.inf:
+            return steps, reached.tolist()
+        before = loss
+        steps.append((scale * off).tolist())
+
+
 def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, weights: dict[str, float] = WEIGHTS,
         total_tokens: float | None = None, id_col: str = "doc_id", text_col: str = "text",
-        keep: list[str] | None = None,
-        cells: int = CELLS) -> tuple[DataFrame, list[float], list[float]]:
+        keep: list[str] | None = None, cells: int = CELLS,
+        keep_domain: str | None = None) -> tuple[DataFrame, list[float], list[float]]:
     """(columns ``keep`` of ``docs``, all by default, with __tokens, __cell and __rate,
     targets, reached totals). Texts are scored once: the result is written before the fit.
 
     Without ``total_tokens`` the targets add up to the largest total that needs
-    no repetition: the document with the highest rate has rate 1.
+    no repetition: the document with the highest rate has rate 1. With
+    ``keep_domain`` they add up to the total in which that domain's whole supply
+    has its weight: only the other domains are lowered, where they are over
+    their weight; a domain of less supply than its target stays whole, and its
+    target is not reached. Without supply of ``keep_domain`` all rates are 1.
     """
     domains = tuple(weights)
     prior, table_ = learn(spark, docs, labelled, domains, id_col, text_col)
@@ -233,6 +266,17 @@ def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, weights: dict
     whole = sum(weights.values())
     shares = [weights[d] / whole for d in domains]
     supply = [float(have[d] or 0.0) for d in domains]
+    if keep_domain is not None:
+        at = domains.index(keep_domain)
+        total = supply[at] / shares[at]
+        targets = [s * total for s in shares]
+        steps, reached = fit_thinning(small, targets, supply, cells) if total else ([], supply)
+        rate = rate_of(F.col("__cell"), steps, cells, 1.0)
+        # Where no document is wholly of the kept domain, the surest ones are to have rate 1.
+        top = small.agg(F.max(F.when(F.col("tokens") > 0, rate_of(F.col("cell"), steps, cells, 1.0)))).first()[0]
+        if top:
+            rate, reached = rate / F.lit(float(top)), [t / top for t in reached]
+        return scored.withColumn("__rate", rate), targets, reached
     wanted = [k for k in range(len(domains)) if shares[k] > 0 and supply[k] > 0]
     total = total_tokens if total_tokens is not None else min((supply[k] / shares[k] for k in wanted), default=0.0)
     targets = [s * total for s in shares]

@@ -71,3 +71,22 @@ def test_stages_on_edges(spark, edge_rows):
         assert out.columns == docs.columns, name
         assert stage(spark, docs.limit(0), SMALL).count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() >= len(rows)
+
+
+@pytest.mark.parametrize("good, poor, toxic", [(970, 20, 10), (990, 10, 0), (750, 120, 130), (900, 10, 90)])
+def test_mixing_keeps_clean_text(spark, tmp_path, caplog, good, poor, toxic):
+    """Good documents stay whatever the supply; only domains over their weight beside them are lowered."""
+    caplog.set_level("INFO", logger="corpus_pipeline")
+    words = {"good": "calm rivers carry boats", "poor": "click here buy now", "toxic": "nasty awful hateful insult"}
+    domains = ["good"] * good + ["poor"] * poor + ["toxic"] * toxic
+    docs = spark.createDataFrame([(i, f"{words[d]} {words[d]} number {i % 7}") for i, d in enumerate(domains)],
+                                 "doc_id long, text string")
+    spark.createDataFrame([(i, int(d == "good"), int(d == "toxic")) for i, d in enumerate(domains)],
+                          "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    left = [domains[r["doc_id"]] for r in corpus_pipeline.mix_to_weights(spark, docs, str(tmp_path)).collect()]
+    assert left.count("good") >= 0.99 * good
+    for domain, have, weight in (("poor", poor, 0.08), ("toxic", toxic, 0.02)):
+        wanted = min(have, good / 0.9 * weight)
+        assert abs(left.count(domain) - wanted) <= 4 * max(1, wanted) ** 0.5 + 0.01 * good * (have > wanted)
+        assert have > wanted or left.count(domain) == have
+    assert [r.getMessage().split()[1] for r in caplog.records] == ["good", "poor", "toxic"]
