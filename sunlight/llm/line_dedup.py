@@ -13,8 +13,9 @@ Keys differ from each other but for 128-bit hash collisions; a foreign line
 that reaches a slot is told apart by the fingerprint.
 
 Defined cases: a null or empty text is one empty line. A null doc_id is
-ordered after all others. Rows with the same doc_id are one document for
-counting, and each row keeps its own lines. A text that loses all its lines
+ordered after all others, and each row without one is a document of its own.
+Rows with the same doc_id are one document for counting, and each row keeps
+its own lines. A text that loses all its lines
 becomes the empty text. An empty table gives an empty result. Other columns
 pass through unchanged, whatever their names.
 """
@@ -85,7 +86,7 @@ def lookup_mph(levels: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
 
 
 INDEX_SCHEMA = ("shard int, level_sizes array<int>, level_bits binary, fingerprint binary, "
-                "documents binary, keeper binary")
+                "documents binary, keeper binary, keeper_row binary")
 
 
 def _build_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -100,13 +101,15 @@ def _build_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         "level_bits": [b"".join(np.packbits(x).tobytes() for x in levels)],
         "fingerprint": [keys[order, 1].astype("<u8").tobytes()],
         "documents": [rows["documents"].to_numpy(np.int64)[order].astype("<i8").tobytes()],
-        "keeper": [rows["keeper"].to_numpy(np.int64)[order].astype("<i8").tobytes()]})
+        "keeper": [rows["keeper"].to_numpy(np.int64)[order].astype("<i8").tobytes()],
+        "keeper_row": [rows["keeper_row"].to_numpy(np.int64)[order].astype("<i8").tobytes()]})
 
 
 def _probe(key: tuple, lines: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
     """Lines of one shard (and salt) that their document loses."""
     if not len(lines) or not len(index):
-        return pd.DataFrame({"doc": pd.Series(dtype="int64"), "line": pd.Series(dtype="object")})
+        return pd.DataFrame({"doc": pd.Series(dtype="int64"), "row": pd.Series(dtype="int64"),
+                             "line": pd.Series(dtype="object")})
     shard = index.iloc[0]
     levels, at = [], 0
     for size in shard["level_sizes"]:
@@ -117,36 +120,50 @@ def _probe(key: tuple, lines: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame
     slot = lookup_mph(levels, keys)
     known = slot >= 0
     known[known] = np.frombuffer(shard["fingerprint"], "<u8")[slot[known]] == keys[known, 1]
-    doc = lines["doc"].to_numpy(np.int64)
+    doc, row = lines["doc"].to_numpy(np.int64), lines["row"].to_numpy(np.int64)
     lost = known.copy()
-    lost[known] = np.frombuffer(shard["keeper"], "<i8")[slot[known]] != doc[known]
-    return pd.DataFrame({"doc": doc[lost], "line": [x.tobytes() for x in keys[lost].astype("<u8")]})
+    lost[known] = (np.frombuffer(shard["keeper"], "<i8")[slot[known]] != doc[known]) | \
+        (np.frombuffer(shard["keeper_row"], "<i8")[slot[known]] != row[known])
+    return pd.DataFrame({"doc": doc[lost], "row": row[lost], "line": [x.tobytes() for x in keys[lost].astype("<u8")]})
 
 
 # -- the operator ---------------------------------------------------------
 
-def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_key: int = MIN_KEY) -> DataFrame:
-    """Distinct (doc, h1, h2) of the long enough line keys of each row."""
+def with_rows(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, row, rest, text): row is 0, or a positive number of its own for a row without id, fixed by a write."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("rest")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    missing = F.col(id_col).cast("long").isNull()
+    keyed = lambda df, row: df.select(doc_key(id_col).alias("doc"), row.alias("row"), rest, text)
+    own = stash(spark, keyed(docs.where(missing), F.monotonically_increasing_id() + 1), "line-no-id")
+    return keyed(docs.where(~missing), F.lit(0).cast("long")).unionAll(own)
+
+
+def line_hashes(keyed: DataFrame, min_key: int = MIN_KEY) -> DataFrame:
+    """Distinct (doc, row, h1, h2) of the long enough line keys of each row."""
     def run(batches):
         for b in batches:
-            ids, found = [], []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            ids, rows, found = [], [], []
+            for doc, row, text in zip(*(b.column(c).to_pylist() for c in range(3))):
                 own = {h for line in text.split("\n") if (h := line_hash(line, min_key))} if text else ()
                 found.extend(own)
                 ids.extend([doc] * len(own))
+                rows.extend([row] * len(own))
             both = np.frombuffer(b"".join(found), dtype="<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1])],
-                names=["doc", "h1", "h2"])
-    return docs.select(doc_key(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc long, h1 long, h2 long")
+                [pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1])],
+                names=["doc", "row", "h1", "h2"])
+    return keyed.select("doc", "row", "text").mapInArrow(run, "doc long, row long, h1 long, h2 long")
 
 
 def build_index(spark: SparkSession, lines: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """(index shards with a ``salt`` column, salts per shard, shard count) of stashed ``lines``."""
+    # Rows without id come last and alone have a row over 0: the least doc and the least row are one document's.
     repeated = stash(spark, lines.groupBy("h1", "h2").agg(
         F.min("doc").alias("keeper"), F.max("doc").alias("last"),
-        F.count(F.lit(1)).alias("documents")).where("keeper <> last").drop("last"), "line-repeated")
+        F.min("row").alias("keeper_row"), F.max("row").alias("last_row"),
+        F.count(F.lit(1)).alias("documents")).where("keeper <> last OR keeper_row <> last_row")
+        .drop("last", "last_row"), "line-repeated")
     shards = max(1, math.ceil(repeated.count() / KEYS_PER_SHARD), math.ceil(lines.count() / PROBES_PER_TASK))
     shard = F.pmod(F.col("h2"), F.lit(shards)).cast("int").alias("shard")
     index = stash(spark, repeated.select("*", shard).groupBy("shard")
@@ -163,20 +180,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
                min_key: int = MIN_KEY, report: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
     """``docs`` with the remaining text in ``text_col`` and two columns named by
     ``report`` after them: lines before, and lines dropped."""
-    lines = stash(spark, line_hashes(docs, id_col, text_col, min_key), "line-hashes")
+    keyed = with_rows(spark, docs, id_col, text_col)
+    lines = stash(spark, line_hashes(keyed, min_key), "line-hashes")
     index, load, shards = build_index(spark, lines)
     dealt = (lines.withColumn("shard", F.pmod("h2", F.lit(shards)).cast("int"))
              .join(load, "shard")
-             .withColumn("salt", F.pmod(F.xxhash64("doc", "h1"), F.col("salts")).cast("int")).drop("salts"))
+             .withColumn("salt", F.pmod(F.xxhash64("doc", "row", "h1"), F.col("salts")).cast("int")).drop("salts"))
     lost = (dealt.groupBy("shard", "salt").cogroup(index.groupBy("shard", "salt"))
-            .applyInPandas(_probe, "doc long, line binary")
-            .groupBy("doc").agg(F.collect_list("line").alias("lost")))
+            .applyInPandas(_probe, "doc long, row long, line binary")
+            .groupBy("doc", "row").agg(F.collect_list("line").alias("lost")))
 
     names = docs.columns
-    rest = [F.col(f"`{c}`") for c in names if c != text_col]
-    packed = docs.select(doc_key(id_col).alias("doc"), F.struct(*rest).alias("row"),
-                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    both = packed.join(lost, "doc", "left").select("row", "text", "lost")
+    both = keyed.join(lost, ["doc", "row"], "left").select(F.col("rest").alias("row"), "text", "lost")
 
     def cut(batches):
         for b in batches:

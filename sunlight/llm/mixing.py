@@ -291,9 +291,15 @@ def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, weights: dict
 
 
 def sample_by_rate(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows drawn once with the chance of their rate (rates over 1: always), by a hash of the id."""
-    chance = F.pmod(F.xxhash64(F.col(id_col), F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return mixed.where(chance < F.col("__rate")).drop("__tokens", "__cell", "__rate")
+    """Rows drawn once with the chance of their rate (rates over 1: always), by a hash of the id.
+
+    A row without id is drawn by its place in the table ``mix`` has written.
+    """
+    drawn = F.when(F.col(id_col).isNull(), F.xxhash64(F.monotonically_increasing_id(), F.lit("draw row"))) \
+        .otherwise(F.xxhash64(F.col(id_col), F.lit("draw")))
+    chance = F.pmod(drawn, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return mixed.withColumn("__chance", chance).where("__chance < __rate") \
+        .drop("__tokens", "__cell", "__rate", "__chance")
 
 
 def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

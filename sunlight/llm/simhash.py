@@ -22,7 +22,9 @@ unbounded list. Links then form classes by connected components.
 Defined cases: null, empty and blank texts have fingerprint zero and are
 linked like any other; repeated rows are all returned; a null doc_id counts
 as the largest id in the choice of the class id. An empty table gives an
-empty result. Other columns are ignored (``simhash_dedup`` passes them on).
+empty result. Other columns are ignored (``simhash_dedup`` passes them on,
+and there rows are told apart by a number of their own, so rows without id or
+with the same id and other texts go only with their own classes).
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import doc_key, from_key, stash, table
 from .components import connected_components
@@ -66,14 +68,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """(doc, fp): fingerprint as a signed long for each row."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE,
+                 row: Column | None = None) -> DataFrame:
+    """(doc, row, fp): fingerprint as a signed long for each row, and the number ``row`` (0 if not given)."""
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc", "fp"])
-    return docs.select(doc_key(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc long, fp long")
+            fp = np.array([fingerprint(t, shingle) for t in b.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))],
+                                             names=["doc", "row", "fp"])
+    return docs.select(doc_key(id_col).alias("doc"), (F.lit(0) if row is None else row).cast("long").alias("row"),
+                       F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc long, row long, fp long")
 
 
 # -- byte-position postings -----------------------------------------------
@@ -229,32 +233,35 @@ def near_links(spark: SparkSession, fps: DataFrame, rows: int, max_bits: int = M
 
 
 def simhash_classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """One row per document: doc (see ``doc_key``), fp (signed long), component (same coding as doc)."""
-    marked = stash(spark, fingerprints(docs, id_col, text_col, shingle), "simhash-docs")
+                    shingle: int = SHINGLE, max_bits: int = MAX_BITS, block: int = BLOCK,
+                    row: Column | None = None) -> DataFrame:
+    """One row per document: doc (see ``doc_key``), row (as given, else 0), fp (signed long),
+    component (same coding as doc) and root, one fp for each class."""
+    marked = stash(spark, fingerprints(docs, id_col, text_col, shingle, row), "simhash-docs")
     distinct = stash(spark, marked.groupBy("fp").agg(F.min("doc").alias("first")), "simhash-fps")
     links = near_links(spark, distinct, distinct.count(), max_bits, block)
     roots = connected_components(spark, links)
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("root", F.coalesce("root", "fp"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    named = rooted.join(firsts, "root").select("fp", "component")
-    return marked.join(named, "fp").select("doc", "fp", "component")
+    named = rooted.join(firsts, "root").select("fp", "component", "root")
+    return marked.join(named, "fp").select("doc", "row", "fp", "component", "root")
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` without near-duplicates: the document with the least id of each class stays.
+    """``docs`` without near-duplicates: the row with the least id of each class stays, of equal ids the first.
 
-    Rows with the same id are one document: one of them stays.
+    Rows are numbered by a write, so that each is told from those of the same id or without one.
     """
-    classes = simhash_classes(spark, docs, id_col, text_col, shingle, max_bits)
-    keep = classes.where("doc = component").select(F.col("doc").alias("__doc")).distinct()
     names = docs.columns
-    inner = docs.select(doc_key(id_col).alias("__doc"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"))
-    kept = inner.join(keep, "__doc", "left_semi")
-    one = kept.groupBy("__doc").agg(F.min_by("__row", F.xxhash64(F.col("__row").getField(text_col))).alias("__row"))
-    return one.select(*[F.col("__row").getField(c).alias(c) for c in names])
+    numbered = stash(spark, docs.select(
+        F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("kept")),
+        "simhash-rows")
+    inner = numbered.select("row", F.col("kept").getField(id_col).alias("id"), F.col("kept").getField(text_col).alias("text"))
+    classes = simhash_classes(spark, inner, "id", "text", shingle, max_bits, row=F.col("row"))
+    first = classes.where("doc = component").groupBy("root").agg(F.min("row").alias("row")).select("row")
+    return numbered.join(first, "row", "left_semi").select(*[F.col("kept").getField(c).alias(c) for c in names])
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,3 +90,29 @@ def test_mixing_keeps_clean_text(spark, tmp_path, caplog, good, poor, toxic):
         assert abs(left.count(domain) - wanted) <= 4 * max(1, wanted) ** 0.5 + 0.01 * good * (have > wanted)
         assert have > wanted or left.count(domain) == have
     assert [r.getMessage().split()[1] for r in caplog.records] == ["good", "poor", "toxic"]
+
+
+def test_rows_without_id_and_with_repeated_ids_are_told_apart(spark):
+    """Null ids and repeated ids with different texts: dedup keeps one row of each class, drawing is by row."""
+    from sunlight.llm import line_dedup, mixing, simhash
+    rng = np.random.default_rng(11)
+    text = lambda: " ".join("".join(chr(97 + int(c)) for c in rng.integers(0, 26, 7)) for _ in range(30))
+    alone = [text() for _ in range(12)]
+    rows = [(None, t) for t in alone] + [(None, alone[0])]           # 12 classes without id, one of them twice
+    same, other, third = text(), text(), text()
+    rows += [(5, same), (5, other), (5, other), (7, other), (7, third), (3, same)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = simhash.simhash_dedup(spark, docs)
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(
+        [(None, t) for t in alone] + [(3, same), (5, other), (7, third)], key=str)
+
+    lines = [(None, f"a line of rows without id\nown line {i} of this row") for i in range(6)] + \
+        [(1, "a line of all kinds of rows"), (None, "a line of all kinds of rows\nlast own line")]
+    cut = line_dedup.line_dedup(spark, spark.createDataFrame(lines, "doc_id long, text string").repartition(3)).collect()
+    texts = [r["text"] for r in cut]
+    assert sum("a line of rows without id" in t for t in texts) == 1
+    assert sum("own line" in t for t in texts) == 7 and sum(r["n_dropped"] for r in cut) == 6
+    assert [r["text"] for r in cut if r["doc_id"] == 1] == ["a line of all kinds of rows"]
+
+    mixed = spark.createDataFrame([(None, 1, 1, 0.5)] * 400, "doc_id long, __tokens int, __cell int, __rate double")
+    assert 140 < mixing.sample_by_rate(mixed).count() < 260
