@@ -3,7 +3,8 @@
 Three fixed patterns find the usual forms (assigned passwords and tokens,
 access keys, long hexadecimal strings). The battery looks at every other long
 token. Its encoding is inferred (hexadecimal, base 32, 36, 62, 64, URL-safe
-64): numbers and plain words have none and are not tested. Three tests are
+64) from its body, the characters without separators and after a word prefix
+(``sk_``): numbers and plain words have none and are not tested. Three tests are
 made against a uniform alphabet of that encoding: chi-squared over the
 alphabet (with exact small-sample moments: the statistic is a linear function
 of the number of equal character pairs), runs above and below the middle of
@@ -74,6 +75,22 @@ def infer_encoding(token: str) -> int | None:
     return next((i for i, (_, letters) in enumerate(ALPHABETS) if chars <= set(letters)), None)
 
 
+def body(token: str) -> str:
+    """``token`` without the separators - and _, and without the words it begins with.
+
+    A leading run of letters is a word if it is no group of a grouped key, as its
+    length or letters are not those of the rest; at least 16 characters stay after it.
+    """
+    parts = [p for p in re.split("[-_]+", token) if p]
+    while len(parts) > 1 and parts[0].isalpha() and WORD.fullmatch(parts[0]):
+        rest = "".join(parts[1:])
+        smallest = lambda s: next((i for i, (_, a) in enumerate(ALPHABETS) if set(s) <= set(a)), None)
+        if len(rest) < 16 or (len(parts[0]) == len(parts[1]) and smallest(rest) == smallest(parts[0] + rest)):
+            break
+        parts = parts[1:]
+    return "".join(parts)
+
+
 def statistics(token: str, encoding: int) -> tuple[int, float, float]:
     """(equal character pairs, z of the runs test, z of the serial correlation)."""
     letters = ALPHABETS[encoding][1]
@@ -184,6 +201,9 @@ def scan_text(text: str) -> tuple[list[tuple], list[tuple]]:
         core = m[0].rstrip("=").strip("-_/+")
         if len(core) < 16 or any(s < end and start < e for s, e, _ in base):
             continue
+        if infer_encoding(core) is None:
+            continue
+        core = body(core)
         encoding = infer_encoding(core)
         if encoding is not None:
             tokens.append((start, end, encoding, len(core), *statistics(core, encoding)))

@@ -171,3 +171,25 @@ def test_scores_equal_brute_force(spark):
 
 def test_private_edges(spark, edge_docs):
     assert pii.find_personal_data(spark, edge_docs).count() == edge_docs.count()
+
+
+def test_separated_and_prefixed_secrets_are_random():
+    """UUIDs, dashed keys and prefixed keys are tested on their own characters, and keep their offsets."""
+    import random
+    from sunlight.llm import secret_scan as X
+    rng = random.Random(4)
+    some = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    low, up, b36 = "0123456789abcdef", "0123456789ABCDEF", "0123456789abcdefghijklmnopqrstuvwxyz"
+    made = {"uuid": lambda: "-".join(some(n, low) for n in (8, 4, 4, 4, 12)),
+            "groups": lambda: "-".join(some(8, low) for _ in range(4)),
+            "upper": lambda: "-".join(some(4, up) for _ in range(5)),
+            "key": lambda: "key-" + some(32, up), "sk": lambda: "sk_" + some(20, low),
+            "live": lambda: "sk_live_" + some(30, b36)}
+    for name, make in made.items():
+        passed = 0
+        for _ in range(200):
+            token = make()
+            _, found = X.scan_text(f"see {token} here")
+            assert all((f[0], f[1]) == (4, 4 + len(token)) for f in found)
+            passed += any(X.battery_p(f[3], f[2], *f[4:]) >= X.BATTERY_LEAST for f in found)
+        assert passed >= 190, (name, passed)
