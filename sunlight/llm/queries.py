@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (embedding_dedup, exact_dedup, language_id, line_dedup, mixing, packing, pii, secret_scan, sharding,
-               simhash)
+from . import (embedding_dedup, exact_dedup, fill_in_middle, language_id, lexical_search, line_dedup, mixing, packing,
+               pii, secret_scan, sharding, simhash, url_filter)
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -16,10 +16,16 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_language_id": language_id.op9_language_id,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
+    "op13_url_filter": url_filter.op13_url_filter,
 }
 
 # The other operators are tested against brute-force versions in tests/llm.
 ORACLE = {
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
+    "op11_fill_in_middle": fill_in_middle.OP11_SQL,
+    "op12_lexical_search": lexical_search.OP12_SQL,
+    "op13_url_filter": url_filter.OP13_SQL,
 }
