@@ -129,10 +129,10 @@ def blocks_of(h: np.ndarray, blocks: int) -> np.ndarray:
 
 
 def masks_of(h: np.ndarray) -> np.ndarray:
-    """(hashes, words): one bit per word, from the lower half times odd numbers."""
+    """(hashes, words): one bit per word, from the lower half times the powers of an odd number."""
     low = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)[:, None]
-    odd = (np.arange(1, 2 * WORDS_PER_BLOCK, 2, dtype=np.uint64) * np.uint64(0x9E3779B1)).astype(np.uint32)
     with np.errstate(over="ignore"):
+        odd = np.cumprod(np.full(WORDS_PER_BLOCK, 0x9E3779B1, np.uint32), dtype=np.uint32)
         return np.uint64(1) << ((low * odd) >> np.uint32(26)).astype(np.uint64)
 
 
