@@ -13,14 +13,20 @@ are no more than that.
 
 Centroids and codebooks are fitted on the driver from a sample of at most
 about ``FITTED`` vectors and broadcast (at most 4096 centroids and 256
-codewords per subspace). Every vector is indexed. A list with many members or
+codewords per subspace; ``FITTED_VALUES`` bounds the sample of long vectors). Every
+vector is indexed. A list with many members or
 many queries is cut into blocks of bounded size, each pair of blocks a group
 of its own; a group returns link counts and a spanning forest of its links,
 never its pairs. Equal vectors are collapsed to one with a weight.
 
+A pair may be found from one side only: its query probes the member's list, but
+the member does not probe the query's. Members carry their probes and queries
+their list, so such a link is counted for both, and exactly once for each.
+
+Vectors of each length are searched by themselves, with a quantiser of their own.
+
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
-components, and vectors of another length than the commonest, link with
-nothing and stand alone. Rows with the same vec_id count as vectors of their
+components link with nothing and stand alone. Rows with the same vec_id count as vectors of their
 own. An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -39,6 +45,7 @@ from .components import connected_components
 THRESHOLD = 0.95
 PROBES = 24
 FITTED = 1 << 15
+FITTED_VALUES = 1 << 23
 MOST_LISTS = 4096
 SUBSPACES = 8
 CODEWORDS = 256
@@ -168,9 +175,6 @@ def embedding_links(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
     """One row per vector: vec_id, n_links, component_id, kept."""
     double = isinstance(vectors.schema[vector_col].dataType.elementType, T.DoubleType)
     kind = "<f8" if double else "<f4"
-    lengths = vectors.groupBy(F.size(vector_col).alias("n")).count().where("n > 0") \
-        .orderBy(F.desc("count"), "n").limit(1).collect()
-    dim = lengths[0]["n"] if lengths else 1
 
     def pack(batches):
         for b in batches:
@@ -182,7 +186,7 @@ def embedding_links(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
             upto, out = np.r_[0, np.cumsum(n)], []
             for i in range(len(n)):
                 v = flat[upto[i]:upto[i + 1]]
-                out.append((v + v.dtype.type(0)).tobytes() if n[i] == dim and np.isfinite(v).all() and v.any() else None)
+                out.append((v + v.dtype.type(0)).tobytes() if np.isfinite(v).all() and v.any() else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["id", "vec"])
 
     packed = stash(spark, vectors.select(
@@ -192,14 +196,37 @@ def embedding_links(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
     distinct = stash(spark, packed.where("vec IS NOT NULL").groupBy("vec").agg(
         F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
         .withColumn("v", F.monotonically_increasing_id()), "vectors-distinct")
-    count = distinct.count()
-    if not count:
-        return packed.select(from_key("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"),
-                             from_key("id").alias("component_id"), F.lit(True).alias("kept"))
+    # One row per length; a vector alone in its length has no links.
+    sizes = distinct.groupBy(F.octet_length("vec").alias("bytes")).agg(F.count(F.lit(1)).alias("n")).collect()
+    found = spark.createDataFrame([], "a long, b long, n long")
+    for r in sorted(sizes):
+        if r["n"] > 1:
+            found = found.unionAll(_links_of_length(
+                spark, distinct.where(F.octet_length("vec") == r["bytes"]), r["bytes"] // np.dtype(kind).itemsize, r["n"],
+                kind, threshold, probes, fitted, members_per_block, queries_per_block))
+    linked = found.where("n > 0").groupBy(F.col("a").alias("v")).agg(F.sum("n").alias("links"))
+    roots = connected_components(spark, found.where("n < 0").select("a", "b"))
+    rooted = distinct.join(roots.withColumnRenamed("node", "v"), "v", "left") \
+        .withColumn("root", F.coalesce("root", "v")).join(linked, "v", "left")
+    least = rooted.groupBy("root").agg(F.min("first").alias("component"))
+    named = rooted.join(least, "root").select(
+        "vec", "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    return packed.join(named, "vec", "left").select(
+        from_key("id").alias("vec_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(F.col("vec").isNull(), from_key("id")).otherwise(from_key("component")).alias("component_id"),
+        (F.coalesce("component", "id") == F.col("id")).alias("kept"))
+
+
+def _links_of_length(spark: SparkSession, distinct: DataFrame, dim: int, count: int, kind: str, threshold: float,
+                     probes: int, fitted: int, members_per_block: int, queries_per_block: int) -> DataFrame:
+    """Written rows of two kinds for the vectors of one length: (a, -1, links) counts, (a, b, -1) forest."""
+    fitted = max(1, min(fitted, FITTED_VALUES // dim))
     drawn = F.pmod(F.xxhash64("vec"), F.lit(1 << 20)) < F.lit(max(1, math.ceil((1 << 20) * min(1.0, fitted / count))))
     sample = distinct.where(drawn).select("vec").collect() or distinct.select("vec").limit(1).collect()
-    quantiser = spark.sparkContext.broadcast(vars(Quantiser(
-        unit(np.frombuffer(b"".join(r["vec"] for r in sample), kind).reshape(-1, dim)), list_count(count))))
+    model = Quantiser(unit(np.frombuffer(b"".join(r["vec"] for r in sample), kind).reshape(-1, dim)), list_count(count))
+    del sample
+    one_sided = probes < model.lists
+    quantiser = spark.sparkContext.broadcast(vars(model))
 
     def deal(batches):
         fitted_to = restored(Quantiser, quantiser.value)
@@ -212,8 +239,9 @@ def embedding_links(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
     dealt = stash(spark, distinct.select("v", "copies", "vec").mapInPandas(
         deal, "v long, copies long, vec binary, home int, probes array<int>"), "vectors-dealt")
     members = dealt.select(F.col("home").alias("cell"), F.col("v").alias("mv"), F.col("vec").alias("mvec"),
-                           F.col("copies").alias("weight"))
-    queries = dealt.select(F.explode("probes").alias("cell"), F.col("v").alias("qv"), F.col("vec").alias("qvec"))
+                           F.col("copies").alias("weight"), F.col("probes").alias("asks"))
+    queries = dealt.select(F.explode("probes").alias("cell"), F.col("v").alias("qv"), F.col("vec").alias("qvec"),
+                           F.col("home").alias("qhome"), F.col("copies").alias("qcopies"))
     # One row per list, at most MOST_LISTS.
     blocks = members.groupBy("cell").agg(F.count(F.lit(1)).alias("m")).join(
         queries.groupBy("cell").agg(F.count(F.lit(1)).alias("q")), "cell").select(
@@ -223,39 +251,34 @@ def embedding_links(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
     each_block = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     m_side = members.join(F.broadcast(blocks), "cell").select(
         F.col("cell").alias("c"), own_block("mv", "mbs").alias("mb"), each_block("qbs").alias("qb"),
-        "mv", "mvec", "weight")
+        "mv", "mvec", "weight", "asks")
     q_side = queries.join(F.broadcast(blocks), "cell").select(
-        F.col("cell").alias("c"), own_block("qv", "qbs").alias("qb"), each_block("mbs").alias("mb"), "qv", "qvec")
+        F.col("cell").alias("c"), own_block("qv", "qbs").alias("qb"), each_block("mbs").alias("mb"), "qv", "qvec",
+        "qhome", "qcopies")
 
     def find(key: tuple, own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        """Rows of two kinds: (a, n_links, null) counts, (a, null, b) forest."""
         parts = []
         if len(own) and len(asked):
             x, q = _matrix(own["mvec"], kind, dim), _matrix(asked["qvec"], kind, dim)
             vx, vq, weight = own["mv"].to_numpy(), asked["qv"].to_numpy(), own["weight"].to_numpy()
-            n = np.zeros(len(vq), np.int64)
+            asks, home, copies = np.stack(own["asks"]), asked["qhome"].to_numpy(), asked["qcopies"].to_numpy()
+            n, back = np.zeros(len(vq), np.int64), np.zeros(len(vx), np.int64)
             for i, j in search(restored(Quantiser, quantiser.value), int(key[0]), x, q, threshold):
                 other = vq[i] != vx[j]
                 i, j = i[other], j[other]
                 np.add.at(n, i, weight[j])
+                for s in range(0, len(i) if one_sided else 0, PAIRS_AT_ONCE):
+                    qi, mj = i[s:s + PAIRS_AT_ONCE], j[s:s + PAIRS_AT_ONCE]
+                    missed = (asks[mj] != home[qi][:, None]).all(axis=1)      # the member never asks the query's list
+                    np.add.at(back, mj[missed], copies[qi[missed]])
                 if len(i):
                     parts.append(_groups(i, j, vq, vx).assign(n=-1))
-            parts.append(pd.DataFrame({"a": vq[n > 0], "b": -1, "n": n[n > 0]}))
+            for v, links in ((vq, n), (vx, back)):
+                parts.append(pd.DataFrame({"a": v[links > 0], "b": -1, "n": links[links > 0]}))
         return pd.concat(parts) if parts else pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
 
-    found = stash(spark, m_side.groupBy("c", "mb", "qb").cogroup(q_side.groupBy("c", "mb", "qb"))
-                  .applyInPandas(find, "a long, b long, n long"), "vector-links")
-    linked = found.where("n > 0").groupBy(F.col("a").alias("v")).agg(F.sum("n").alias("links"))
-    roots = connected_components(spark, found.where("n < 0").select("a", "b"))
-    rooted = distinct.join(roots.withColumnRenamed("node", "v"), "v", "left") \
-        .withColumn("root", F.coalesce("root", "v")).join(linked, "v", "left")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    named = rooted.join(least, "root").select(
-        "vec", "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    return packed.join(named, "vec", "left").select(
-        from_key("id").alias("vec_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("vec").isNull(), from_key("id")).otherwise(from_key("component")).alias("component_id"),
-        (F.coalesce("component", "id") == F.col("id")).alias("kept"))
+    return stash(spark, m_side.groupBy("c", "mb", "qb").cogroup(q_side.groupBy("c", "mb", "qb"))
+                 .applyInPandas(find, "a long, b long, n long"), "vector-links")
 
 
 def op7_embedding_pq(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -139,6 +139,36 @@ def test_links_recall_against_brute_force(spark, planted, members, queries):
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in ids[-7:])
 
 
+def test_links_are_counted_on_both_sides(spark):
+    """With few probes many pairs are found from one side only; both vectors have the link all the same."""
+    rng = np.random.default_rng(8)
+    back = rng.normal(size=(3000, 32))
+    vectors = [v.astype(np.float32).tolist() for v in [*back, *(near(rng, v, 0.952) for v in back[:600]), *back[:40]]]
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r for r in E.embedding_links(spark, df, probes=2).collect()}
+    of = {}
+    for r in got.values():
+        of.setdefault(r["component_id"], []).append(r["vec_id"])
+    pairs = [c for c in of.values() if len(c) == 2]
+    assert len(pairs) > 300
+    assert all(got[i]["n_links"] == 1 for c in pairs for i in c)
+    assert all(got[i]["n_links"] == 2 for c in of.values() if len(c) == 3 for i in c)   # a copy, and one near both
+    assert all(got[c[0]]["n_links"] == 0 for c in of.values() if len(c) == 1)
+
+
+def test_each_length_is_searched(spark):
+    rng = np.random.default_rng(9)
+    short, long = rng.normal(size=(60, 8)), rng.normal(size=(50, 24))
+    vectors = [v.tolist() for v in [*short, *long, *(near(rng, v, 0.97) for v in short[:20]), *(near(rng, v, 0.97) for v in long[:20])]]
+    vectors.append([1.0] * 5)
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in E.embedding_links(spark, df).collect()}
+    assert all(got[110 + i]["component_id"] == i == got[i]["component_id"] for i in range(20))
+    assert all(got[130 + i]["component_id"] == 60 + i for i in range(20))
+    assert all(got[i]["n_links"] >= 1 for i in range(110, 150))
+    assert got[150]["kept"] and got[150]["n_links"] == 0
+
+
 def test_lookup_distances_lose_nothing_in_a_list():
     rng = np.random.default_rng(3)
     x = E.unit(rng.normal(size=(1500, 48)))
