@@ -1,19 +1,24 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contexts.
 
-The fixed patterns (e-mail, IP address, payment card, phone number) are the
-seeds. Every identifier-like token of the corpus is an instance, and the two
-words before it are its lexical pattern. Pattern and instance form a
-bipartite graph that Spark scores in rounds: a pattern is as sure as the mean
-of its instances (seeds 1, others what earlier rounds gave), weighed by how many
-sure instances support it; an instance that is no seed is as sure as its
-patterns taken together. After the rounds, patterns above ``SURE_PATTERN``
-with ``LEAST_SEEDS`` different seeds mark their remaining instances as
-personal data (kind ``context``).
+The spans of the fixed patterns (e-mail, IP address, payment card, phone number) are
+the seed entities, in whatever form they are written. Every other identifier-like
+run of the corpus is an instance too: letters, digits and ``._%+@/-`` that hold a digit or
+``@`` after their letters, wherever they begin (after a space or after punctuation, as in ``SSN:123-45-6789``
+or ``"AB123456"``), with further groups of digits and capitals after single spaces (``DE89 3704 0044``).
+The lexical pattern of an instance is the two words before it, punctuation included; one where there is
+but one, and a mark at the start of a text or right after another instance.
+
+Pattern and instance form a bipartite graph that Spark scores in rounds: a
+pattern is as sure as the mean of its instances (seeds 1, others what earlier
+rounds gave), weighed by how many sure instances support it; an instance that is
+no seed is as sure as its patterns taken together. After the rounds, patterns
+above ``SURE_PATTERN`` with ``LEAST_SEEDS`` different seeds mark their remaining
+instances as personal data (kind ``context``).
 
 Only DataFrame functions are used. Positions come from cutting a text at the
 matches: the lengths of the gaps and matches before a match add up to its
-start, in code points. Each pattern is written so that a search is linear in
-the text: possessive repetition, and a start only where a run starts.
+start, in code points; its pattern is the end of the gap before it. Each pattern is written so
+that a search is linear in the text: possessive repetition, and a start only where a run starts.
 
 Defined cases: a null text is the empty text. Repeated rows are returned
 each. An empty table gives an empty result. Other columns are ignored.
@@ -34,15 +39,17 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}(?![\x20-]?[0-9
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 
-LEAST_IDENTIFIER = 6
-IDENTIFIER = r"(?<!\S)(?=\S{6})(?:\x28?[\p{L}._%+-]*+[0-9@])[^\s]*+"
-CONTEXT_CHARS = 80
+LEAST_IDENTIFIER = 4
+# A run is looked at once, from its start: the class of its characters stands three times.
+IDENTIFIER = (r"(?<![\p{L}\p{N}._%+@/-])(?=[\p{L}._%+/-]*+[0-9@])[\p{L}\p{N}._%+@/-]++"
+              r"(?:\x20(?=[A-Z]*+[0-9])[0-9A-Z]{1,6}+(?![\p{L}\p{N}._%+@/-]))*+")
+FIRST, NEXT = "^", "~"                    # patterns at the start of a text, and right after another instance
 ROUNDS = 3
 SURE_PATTERN = 0.8
 LEAST_SEEDS = 3
 
 BLOCK = 64
-_SPAN = "array<struct<start:int,end:int,value:string>>"
+_SPAN = "array<struct<start:int,end:int,value:string,pattern:string>>"
 
 
 def _let(value: Column, body) -> Column:
@@ -61,16 +68,24 @@ def _ends(lengths: Column) -> Column:
         F.slice(lengths, block(i) * BLOCK + 1, F.pmod(i, F.lit(BLOCK)) + 1))))
 
 
+def _last_words(gap: Column, at: Column) -> Column:
+    """The last two words of the text before a match, in lower case."""
+    words = F.reverse(F.regexp_extract(F.reverse(gap), r"^\s*+\S++(?:\s++\S++)?+", 0))
+    plain = F.lower(F.trim(F.regexp_replace(words, r"\s++", " ")))
+    return F.when(plain != "", plain).when(at == 0, F.lit(FIRST)).otherwise(F.lit(NEXT))
+
+
 def located(text: Column, pattern: str) -> Column:
-    """Matches as (start, end, value), leftmost and not overlapping."""
+    """Matches as (start, end, value, pattern), leftmost and not overlapping; pattern: the words before."""
     cut = F.struct(F.split(text, pattern, -1).alias("gaps"),
                    F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"))
 
     def spans(c):
         lengths = F.zip_with(F.slice(c["gaps"], 1, F.size(c["values"])), c["values"],
                              lambda g, v: F.length(g) + F.length(v))
-        return _let(lengths, lambda n: F.zip_with(c["values"], _ends(n), lambda v, end: F.struct(
-            (end - F.length(v)).alias("start"), end.alias("end"), v.alias("value"))))
+        return _let(lengths, lambda n: F.transform(_ends(n), lambda end, i: F.struct(
+            (end - F.length(F.get(c["values"], i))).alias("start"), end.alias("end"), F.get(c["values"], i).alias("value"),
+            _last_words(F.get(c["gaps"], i), i).alias("pattern"))))
 
     return _let(cut, lambda c: F.when(F.size(c["values"]) > 0, spans(c)).otherwise(F.array().cast(_SPAN)))
 
@@ -109,31 +124,27 @@ def _kept(text: Column, kind: str) -> Column:
 
 
 def base_spans(text: Column) -> Column:
-    """Array of (start, end, kind, value) of the fixed patterns, by start, then kind."""
+    """Array of (start, end, kind, value, pattern) of the fixed patterns, by start, then kind."""
     def tagged(order: int, kind: str) -> Column:
         return F.transform(_kept(text, kind), lambda s: F.struct(
             s["start"].alias("start"), F.lit(order).alias("order"), s["end"].alias("end"),
-            F.lit(kind).alias("kind"), s["value"].alias("value")))
+            F.lit(kind).alias("kind"), s["value"].alias("value"), s["pattern"].alias("pattern")))
 
     return F.array_sort(F.concat(*[tagged(n, k) for n, k in enumerate(KINDS)]))
 
 
 def mentions(text: Column) -> Column:
-    """Identifier-like tokens as (start, end, value, pattern): pattern is the two words before, lower-case."""
+    """Identifier-like runs as (start, end, value, pattern), without punctuation at their ends."""
     found = F.when(text.rlike("[0-9@]"), located(text, IDENTIFIER)).otherwise(F.array().cast(_SPAN))
 
     def describe(s):
         value = F.regexp_replace(s["value"], r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$", "")
-        lead = F.length(F.regexp_extract(s["value"], r"^[^\p{L}\p{N}+]*+", 0))
-        start = s["start"] + lead
-        before = F.lower(F.substring(text, F.greatest(F.lit(1), s["start"] - CONTEXT_CHARS + 1),
-                                     F.least(F.lit(CONTEXT_CHARS), s["start"])))
+        start = s["start"] + F.length(F.regexp_extract(s["value"], r"^[^\p{L}\p{N}+]*+", 0))
         return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"),
-                        F.regexp_extract(before, r"(\S+\s+\S+)\s+$", 1).alias("pattern"))
+                        s["pattern"].alias("pattern"))
 
-    described = F.transform(found, describe)
-    return F.filter(described, lambda m: (F.length(m["value"]) >= LEAST_IDENTIFIER) & (m["pattern"] != "")
-                    & m["value"].rlike("[0-9@]"))
+    return F.filter(F.transform(found, describe),
+                    lambda m: (F.length(m["value"]) >= LEAST_IDENTIFIER) & m["value"].rlike("[0-9@]"))
 
 
 def score_graph(graph: DataFrame, rounds: int = ROUNDS, sure: float = SURE_PATTERN,
@@ -146,8 +157,9 @@ def score_graph(graph: DataFrame, rounds: int = ROUNDS, sure: float = SURE_PATTE
     edges = graph.select("pattern", "value", F.col("seed").cast("double").alias("seed"))
     scores = edges.withColumn("score", F.col("seed"))
     for n in range(rounds):
-        patterns = scores.groupBy("pattern").agg(
-            F.avg("score").alias("mean"), F.sum("score").alias("support"), F.sum("seed").alias("seeds"))
+        # Written, so that the joins below have plain scans on that side and a hot pattern can be split.
+        patterns = stash(graph.sparkSession, scores.groupBy("pattern").agg(
+            F.avg("score").alias("mean"), F.sum("score").alias("support"), F.sum("seed").alias("seeds")), "pii-patterns")
         if n < rounds - 1:
             weight = F.col("mean") * F.col("support") / (1 + F.col("support"))
             believed = scores.join(patterns.select("pattern", weight.alias("weight")), "pattern").groupBy("value").agg(
@@ -166,12 +178,12 @@ def find_personal_data(spark: SparkSession, docs: DataFrame, id_col: str = "doc_
     found = stash(spark, docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).select(
         F.monotonically_increasing_id().alias("row"), "doc_id", base_spans(F.col("text")).alias("base"),
         mentions(F.col("text")).alias("mentions")), "pii")
-    # A mention is a seed if it lies in a base span or holds one, and new only if it touches none.
-    touch = lambda m: F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    # One word or a short one is not an identifier; what stays is small next to the texts.
-    each = stash(spark, found.where(F.size("mentions") > 0).select("row", "doc_id", "base", F.explode("mentions").alias("m"))
-                 .select("row", "doc_id", "m.start", "m.end", "m.value", "m.pattern", touch(F.col("m")).alias("seed")),
-                 "pii-mentions")
+    # Base spans are the seeds; a mention that touches none is a candidate.
+    apart = lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
+    fields = ["start", "end", "value", "pattern"]
+    of = lambda spans, seed: found.select("row", F.explode(spans).alias("m")).select(
+        "row", *[F.col(f"m.{f}").alias(f) for f in fields], F.lit(seed).alias("seed"))
+    each = stash(spark, of(F.col("base"), True).unionAll(of(F.filter("mentions", apart), False)), "pii-mentions")
     graph = each.groupBy("pattern", "value").agg(F.max("seed").alias("seed"))
     patterns = score_graph(graph, rounds, sure, least_seeds)
     new = each.where(~F.col("seed")).join(patterns, "pattern").groupBy("row").agg(F.collect_list(F.struct(

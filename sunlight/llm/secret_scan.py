@@ -13,7 +13,9 @@ reject as random is dropped. For the others the question is whether ordinary
 text could look so even: its null distribution has the character frequencies
 of the whole corpus, and a token of that kind and length has a p-value under
 it. Short tokens can hardly be told apart and long ones easily, so false
-discoveries are controlled (Benjamini-Hochberg) in strata of length.
+discoveries are controlled (Benjamini-Hochberg) in strata of length. Runs and serial
+correlation serve the first question, rejecting what is not random; the p-values
+under control come from the equal pairs alone.
 
 Texts are read once. The driver receives one histogram of p-values (strata x
 ``BINS`` rows at most) and one table of character counts.

@@ -146,6 +146,75 @@ def test_contexts_discover_unseen_identifiers(spark, no_docs):
     assert pii.find_personal_data(spark, no_docs).count() == 0
 
 
+def brute_mentions(text):
+    """Candidates by scanning: (start, end, value, pattern)."""
+    import unicodedata
+    inside = lambda c: unicodedata.category(c)[0] in "LN" or c in "._%+@/-"
+    white, out, i, last, n = " \t\n\x0b\x0c\r", [], 0, 0, len(text)
+    while i < n:
+        if not inside(text[i]):
+            i += 1
+            continue
+        j = i
+        while j < n and inside(text[j]):
+            j += 1
+        k = i
+        while k < j and (unicodedata.category(text[k])[0] == "L" or text[k] in "._%+/-"):
+            k += 1
+        if k == j or text[k] not in "0123456789@":
+            i = j
+            continue
+        while j < n and text[j] == " ":
+            m = j + 1
+            while m < n and m < j + 7 and (text[m] in "0123456789" or "A" <= text[m] <= "Z"):
+                m += 1
+            head = text[j + 1:m].lstrip("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+            if not head or m < n and inside(text[m]):
+                break
+            j = m
+        words = [w for w in re.split(f"[{white}]+", text[last:i]) if w][-2:]
+        pattern = " ".join(words).lower() or ("^" if not last and not out else "~")
+        a, b = i, j
+        while a < b and not (unicodedata.category(text[a])[0] in "LN" or text[a] == "+"):
+            a += 1
+        while b > a and unicodedata.category(text[b - 1])[0] not in "LN":
+            b -= 1
+        out.append((a, b, text[a:b], pattern))
+        i = last = j
+    return [m for m in out if len(m[2]) >= 4 and re.search("[0-9@]", m[2])]
+
+
+FORMS = ["SSN:123-45-6789", "id=AB123456", "#A123456", '"AB123456"', "<a@b.org>", "DE89 3704 0044 0532 0130 00", "123 45 6789",
+         "+33 1 23 45 67 89", "(AB-1234).", "x/1234,y:5678;z 42"]
+
+
+def test_mentions_equal_brute_force(spark, small_docs):
+    from pyspark.sql import functions as F
+    rng = random.Random(12)
+    texts = [t for _, t in small_docs[:60] if t] + [f"{w} {x} and more" for x in FORMS for w in ("", "word", "two words\nthen\t")]
+    alphabet = "ab AB12 ..@-+/%_\n\t()#=:éß٣²" + " "
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(400)] + ["12 " * 3000, "a" * 40000 + "1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    got = {r["id"]: [tuple(m) for m in r["m"]] for r in df.select("id", pii.mentions(F.col("t")).alias("m")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == brute_mentions(t), t[:200]
+
+
+def test_forms_are_discovered(spark):
+    """Grouped seeds induce patterns, and candidates after punctuation, in groups, and after one word are found."""
+    rows = [(i, f"Call +33 1 23 45 6{i} 8{i} today") for i in range(6)] + [(10 + i, f"My SSN:user{i}@mail.org please") for i in range(6)]
+    rows += [(20 + i, f'Some words "me{i}@x.org" end') for i in range(6)] + [(30 + i, f"Reach me at {i}.2.3.4 or") for i in range(6)]
+    rows += [(100, "Call 123 45 6789 today"), (101, "My SSN:123-45-6789 please"), (102, 'Some words "AB123456" end'),
+             (103, "we said reach me at DE89 3704 0044 0532 0130 00 or"), (104, "Recall 123 45 6789"), (105, "Your SSN:123-45-6789")]
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "context"]
+           for r in pii.find_personal_data(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    for i, value in ((100, "123 45 6789"), (101, "123-45-6789"), (102, "AB123456"), (103, "DE89 3704 0044 0532 0130 00")):
+        at = texts[i].index(value)
+        assert got[i] == [(at, at + len(value))], i
+    assert got[104] == got[105] == []
+
+
 def test_scores_equal_brute_force(spark):
     rng = random.Random(2)
     edges = {(f"p{rng.randrange(12)}", f"v{rng.randrange(40)}") for _ in range(150)}
@@ -169,8 +238,10 @@ def test_scores_equal_brute_force(spark):
     assert got == pytest.approx(want)
 
 
-def test_private_edges(spark, edge_docs):
-    assert pii.find_personal_data(spark, edge_docs).count() == edge_docs.count()
+def test_private_edges(spark, edge_docs, edge_rows):
+    got = [(r["doc_id"], [(s["start"], s["end"], s["kind"]) for s in r["spans"] if s["kind"] != "context"])
+           for r in pii.find_personal_data(spark, edge_docs).collect()]
+    assert sorted(got, key=str) == sorted([(i, brute(t, PRIVATE)) for i, t in edge_rows], key=str)
 
 
 def test_separated_and_prefixed_secrets_are_random():
