@@ -4,15 +4,17 @@ Records are ordered by (hash of the text, doc_id, row): equal texts are
 neighbours, and a group of copies larger than a range is subdivided by its
 ids. A key sample in which a record's chance is its size is drawn; its
 quantiles are the splitters, and a binary search over them deals each record
-to one of ``ranges`` ranges. Exact range sizes then place each range on the
+to one of ``ranges`` ranges. Ranges of equal bytes may hold very different numbers of records (a third
+of all rows may have no text, and so hardly any bytes): a range with over twice the even
+number of rows is subdivided at quantiles of a sample of its rows. Exact range sizes then place each range on the
 line of all bytes; the ``shards`` equal cuts of that line subdivide every
 range that reaches over one. Inside a range a running sum gives each record
 its place, so all sorting is by range (about 1/``ranges`` of the data) and no
 step sorts or counts a shard as a whole.
 
-Only DataFrame functions are used. The driver sees the total, the sample
+Only DataFrame functions are used. The driver sees the total, the rows of each range and the samples
 (``SAMPLED`` keys per range on average, whatever the input) and nothing else;
-the one broadcast is a table of at most ``ranges`` + ``shards`` rows.
+the one broadcast is a table of at most 2 x ``ranges`` + ``shards`` rows.
 
 Defined cases: a null text has no bytes, so size 1, and the checksum of the
 empty text. Repeated rows and null ids are records like any other. An empty
@@ -67,6 +69,29 @@ def sample_splitters(records: DataFrame, total: int, ranges: int, sampled: int =
     return marks[:-1] if len(marks) >= ranges else marks
 
 
+def subdivide(records: DataFrame, splitters: list[tuple], count: int, ranges: int, sampled: int = SAMPLED) -> list[tuple]:
+    """``splitters`` with more of them inside every range of over twice the even number of rows.
+
+    Such a range gets a splitter for each even share of its rows, at quantiles of a sample
+    of its keys; all together are at most ``ranges`` more.
+    """
+    even = max(1, -(-count // ranges))
+    rows = {r["range"]: r["count"] for r in records.groupBy(_searched(splitters).alias("range")).count().collect()}
+    overfull = {k: n for k, n in rows.items() if n > 2 * even}
+    if not overfull:
+        return splitters
+    # Every row has the same chance; a row of an overfull range is drawn ``sampled`` times per even share.
+    chance = F.pmod(F.xxhash64("row_id", "doc", "h", F.lit("rows")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = records.where(chance < sampled / even).withColumn("range", _searched(splitters)) \
+        .where(F.col("range").isin(list(overfull))).select("range", "h", "doc", "row_id").orderBy("h", "doc", "row_id").collect()
+    more, seen = [], {}
+    for k in drawn:                      # about ranges x sampled rows at most
+        seen[k["range"]] = seen.get(k["range"], 0) + 1
+        if seen[k["range"]] % sampled == 0:
+            more.append((k["h"], k["doc"], k["row_id"]))
+    return sorted({*splitters, *more})
+
+
 def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id",
                    text_col: str = "text", ranges: int | None = None) -> DataFrame:
     """One row per record: doc_id, size, text_crc32, shard, slot."""
@@ -77,14 +102,14 @@ def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, i
         F.monotonically_increasing_id().alias("row_id")), "shard-records")
     count, total = records.agg(F.count(F.lit(1)), F.sum("size")).first()
     ranges = ranges or min(MOST_RANGES, max(LEAST_RANGES, -(-count // ROWS_PER_RANGE)))
-    splitters = sample_splitters(records, total or 0, ranges)
+    splitters = subdivide(records, sample_splitters(records, total or 0, ranges), count, ranges)
     dealt = records.withColumn("range", _searched(splitters))
 
     in_range = Window.partitionBy("range").orderBy("h", "doc", "row_id")
     running = dealt.withColumn("upto", F.sum("size").over(
         in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow))) \
         .withColumn("n", F.row_number().over(in_range))
-    # At most ``ranges`` rows from here to the broadcast.
+    # At most 2 x ``ranges`` rows from here to the broadcast.
     sizes = dealt.groupBy("range").agg(F.sum("size").alias("bytes"))
     before = sizes.select("range", (F.sum("bytes").over(Window.orderBy("range")) - F.col("bytes")).alias("before"))
     # The middle of a record decides which equal cut of the line it is in.

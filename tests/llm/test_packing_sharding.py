@@ -126,3 +126,27 @@ def test_shards_with_a_hot_text_and_edges(spark, edge_docs, no_docs):
     assert len(got) == len(rows)
     assert H.shard_by_bytes(spark, no_docs).count() == 0
     assert H.shard_by_bytes(spark, edge_docs).count() == edge_docs.count()
+
+
+def test_ranges_overfull_with_small_rows_are_subdivided(spark):
+    """A third of the rows without text is a sliver of the bytes: it is divided by rows all the same."""
+    from pyspark.sql import functions as F
+    n = 60_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.repeat(F.lit("text "), F.lit(20)))
+                                 .alias("base")).select("doc_id", F.concat("base", F.col("doc_id").cast("string")).alias("text"))
+    records = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+                          F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.col("doc_id").alias("doc"), F.col("doc_id").alias("row_id"))
+    total = records.agg(F.sum("size")).first()[0]
+    rows = lambda s: sorted(r["count"] for r in records.groupBy(H._searched(s).alias("r")).count().collect())
+    first = H.sample_splitters(records, total, 64)
+    assert rows(first)[-1] >= n // 3
+    more = H.subdivide(records, first, n, 64)
+    even = -(-n // 64)
+    assert rows(more)[-1] <= 4 * even and len(more) <= 128
+    got = H.shard_by_bytes(spark, docs).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r["shard"]].append(r)
+    assert len(got) == n
+    assert all(sorted(r["slot"] for r in rs) == list(range(len(rs))) for rs in by.values())
+    assert max(abs(sum(r["size"] for r in rs) - total / 16) for rs in by.values()) <= 2 * 130
