@@ -7,9 +7,10 @@ twice), and segments are merged on executors. Pass 2 probes it: a row whose
 bits are not all set by two or more rows cannot have an equal, and passes
 straight through; only the other rows shuffle, on their hash.
 
-The filter is the one broadcast. Its size is bounded by ``max_bits`` (32 MB
-by default) whatever the input: beyond that load more single rows take the
-shuffle, and results stay the same.
+The filter is the one broadcast, of at most ``max_bits`` (32 MB by default). Where that
+many bits are too few for the rows, rows are dealt by their hash to slices, stored by slice, and each
+slice has a filter of its own, one after the other: the share of single rows that pass does not
+grow with the input, and no task or driver holds more than one filter.
 
 Defined cases: a null text counts as the empty text. A null doc_id is the
 smallest in the choice of the row that stays. If the largest doc_id of a
@@ -23,6 +24,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sunlight.session import scratch_path
+
 from .common import stash
 
 SEGMENT_BITS = 1 << 16
@@ -37,6 +40,11 @@ def filter_bits(rows: int, bits_per_row: int = BITS_PER_ROW, max_bits: int = MAX
     return min(max_bits, 1 << (want - 1).bit_length())
 
 
+def slice_count(rows: int, bits_per_row: int = BITS_PER_ROW, max_bits: int = MAX_BITS) -> int:
+    """Filters of at most ``max_bits`` bits that ``rows`` rows need."""
+    return max(1, -(-rows * bits_per_row // max_bits))
+
+
 def _slots(digests, bits: int) -> np.ndarray:
     """(rows, PROBES) bit positions, read from the digests themselves."""
     words = np.frombuffer(b"".join(digests), dtype="<u8").reshape(-1, 4)
@@ -88,14 +96,8 @@ def repeated_filter(spark: SparkSession, hashed: DataFrame, bits: int) -> bytes:
     return bytes(out)
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
-                text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, sha (binary)."""
-    hashed = stash(spark, docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("sha"),
-        F.monotonically_increasing_id().alias("row_id")), "exact-hashes")
-    bits = filter_bits(hashed.count(), max_bits=max_bits)
+def _marked(spark: SparkSession, hashed: DataFrame, bits: int) -> DataFrame:
+    """``hashed`` with ``maybe``: whether a row can have an equal."""
     bitmap = spark.sparkContext.broadcast(repeated_filter(spark, hashed, bits))
 
     @F.pandas_udf("boolean")
@@ -104,7 +106,36 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         slots = _slots(sha, bits)
         return pd.Series(((bitmap_bytes[slots >> 3] >> (slots & 7)) & 1).all(axis=1))
 
-    marked = hashed.withColumn("maybe", maybe_repeated("sha"))
+    return hashed.withColumn("maybe", maybe_repeated("sha"))
+
+
+def _marked_by_slice(spark: SparkSession, hashed: DataFrame, bits: int, slices: int) -> DataFrame:
+    """Like ``_marked``, with a filter for each slice of the hashes; a slice is read from its own folder.
+
+    Equal texts are in one slice. The last word of a digest, which no probe reads, gives the slice.
+    """
+    last = F.conv(F.hex(F.substring("sha", 26, 7)), 16, 10).cast("long")
+    by_slice = scratch_path(spark, "llm-exact-slices")
+    hashed.withColumn("slice", F.pmod(last, F.lit(slices)).cast("int")).write.partitionBy("slice").parquet(by_slice)
+    stored = spark.read.schema("doc_id long, sha binary, row_id long, slice int").parquet(by_slice)
+    out = scratch_path(spark, "llm-exact-marked")
+    for k in range(slices):
+        # Written slice by slice: one filter at a time is needed anywhere.
+        _marked(spark, stored.where(F.col("slice") == k).drop("slice"), bits).write.mode("append").parquet(out)
+    return spark.read.schema("doc_id long, sha binary, row_id long, maybe boolean").parquet(out)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
+                text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, sha (binary)."""
+    hashed = stash(spark, docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("sha"),
+        F.monotonically_increasing_id().alias("row_id")), "exact-hashes")
+    rows = hashed.count()
+    slices = slice_count(rows, max_bits=max_bits)
+    bits = filter_bits(-(-rows // slices), max_bits=max_bits)
+    marked = _marked(spark, hashed, bits) if slices == 1 else _marked_by_slice(spark, hashed, bits, slices)
     single = marked.where(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "sha")

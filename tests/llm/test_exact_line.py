@@ -60,7 +60,26 @@ def test_exact_filter_has_no_false_negative():
     assert maybe[~again].mean() < 0.1
 
 
+def test_exact_dedup_in_slices(spark):
+    """More rows than one filter holds: several filters, the same result, few single rows passing."""
+    rows = [(i, f"text {i % 9000}" if i % 3 else "one text") for i in range(15_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert X.slice_count(len(rows), max_bits=X.SEGMENT_BITS) == 4
+    got = X.exact_dedup(spark, docs, max_bits=X.SEGMENT_BITS)
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t].append(i)
+    want = sorted((i, max(groups[t]), len(groups[t]), i == max(groups[t])) for i, t in rows)
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got.collect()) == want
+    hashed = docs.selectExpr("doc_id", "unhex(sha2(text, 256)) AS sha", "doc_id AS row_id")
+    marked = X._marked_by_slice(spark, hashed, X.SEGMENT_BITS, 4)
+    passed = marked.where("maybe").count()
+    repeated = sum(len(g) for g in groups.values() if len(g) > 1)
+    assert repeated <= passed <= repeated + 0.1 * (len(rows) - repeated)
+
+
 def test_exact_filter_is_bounded():
+    assert X.slice_count(16_000_000) == 1 and X.slice_count(10 ** 9) == 60
     assert X.filter_bits(10 ** 12) == X.MAX_BITS
     assert X.filter_bits(0) == X.SEGMENT_BITS
 
