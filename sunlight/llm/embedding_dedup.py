@@ -1,7 +1,8 @@
 """Embedding near-duplicates through product quantisation.
 
 Different vectors are dealt to coarse inverted lists (nearest centroid), and
-the residual to the centroid is stored as one code per subspace. Every vector
+the residual to the centroid is encoded as one code per subspace where a list's block is
+searched (the exact rerank needs the vectors there anyway). Every vector
 is a query against the lists it probes: a table of inner products with all
 codewords gives asymmetric distances by lookup, and a member goes on to the
 exact double-precision cosine unless its looked-up distance exceeds the

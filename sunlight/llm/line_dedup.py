@@ -4,8 +4,10 @@ Every line key becomes a 128-bit hash. The distinct hashes that occur in two
 or more documents are dealt to shards; each shard is one row of binary
 arrays: the levels of a minimal perfect hash, and, at the slot it gives,
 a 64-bit fingerprint, the document count and the id of the keeping document.
-Documents probe these arrays with the hashes of their lines: no line text is
-shuffled or joined. A shard whose lines occur very often (a hot license
+Documents probe these arrays with the hashes of their lines: line hashes travel to
+the shards, line texts never do. The verdicts (the hashes of the lines that a document
+loses) come back by a join on the document, for which each text is shuffled
+once. A shard whose lines occur very often (a hot license
 line) is copied to as many salts as its load needs, so a task's load is
 bounded by ``PROBES_PER_TASK`` on average and no group grows with a key.
 

@@ -17,7 +17,8 @@ share one rate exactly (steps are scaled by 1/tokens, so the direction
 depends on the posterior alone), and so tokens are added up per posterior
 cell first. A step is one aggregate over the cells that returns one number
 per domain; rates are a fold over the steps' residuals, so nothing is
-rewritten between steps.
+rewritten between steps. The fit ends within ``TOLERANCE`` of the targets, when the loss no
+longer falls, or after ``MOST_STEPS`` steps; ``mix`` returns the targets and the totals reached.
 
 Only DataFrame functions are used. The driver holds the weights (``BUCKETS``
 numbers per domain) and one residual vector per step. Broadcasts: the
