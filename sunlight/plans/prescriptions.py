@@ -16,9 +16,13 @@ UNKNOWN_SPECIALITY = "Autre / Inconnu"   # fixed value: label for unmapped codes
 
 
 def prescriptions_raw(spark: SparkSession, paths: "str | Sequence[str]", sep: str = ";",
-                      encoding: str = "UTF-8") -> DataFrame:
-    """MRT-4: every yearly file, columns aligned by name, lower-cased."""
-    return read_csv_union_by_name(spark, paths, sep=sep, encoding=encoding)
+                      encoding: str = "UTF-8", **options) -> DataFrame:
+    """MRT-4: every yearly file, columns aligned by name, lower-cased.
+
+    ``options`` are those of ``read_csv_union_by_name``: ``multi_line=False`` saves a pass over
+    large files without line breaks in fields, ``headers`` the job that reads first lines.
+    """
+    return read_csv_union_by_name(spark, paths, sep=sep, encoding=encoding, **options)
 
 
 # A plain decimal number; the cast alone would also take Java's suffixes ('1D', '2f').
@@ -98,6 +102,27 @@ def distinct_counts(rx: DataFrame, cols: PrescriptionColumns = RX) -> DataFrame:
                   F.countDistinct(cols.product).alias("nb_medicaments"))
 
 
+# Sketches of 2**12 registers: a standard error of 1.6 %.
+SKETCH_LOG2 = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_LOG2 / 2)
+
+
+def distinct_sketches(rx: DataFrame, by: Sequence[str] = (), cols: PrescriptionColumns = RX) -> DataFrame:
+    """AGG-5 that can be kept and merged: one sketch of the prescribers and one of the products, per ``by``.
+
+    A load adds its own rows of sketches; ``merge_sketches`` counts over any of them without
+    the rows behind them. Map-side combined, and a row is not expanded per count.
+    """
+    return rx.groupBy(*by).agg(F.hll_sketch_agg(cols.prescriber, SKETCH_LOG2).alias("medecins_sketch"),
+                               F.hll_sketch_agg(cols.product, SKETCH_LOG2).alias("medicaments_sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Estimated distinct counts over merged sketches, per ``by``."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("medecins_sketch")).alias("nb_medecins"),
+                                     F.hll_sketch_estimate(F.hll_union_agg("medicaments_sketch")).alias("nb_medicaments"))
+
+
 def top_products_by_boxes(rx: DataFrame, k: int = 5, cols: PrescriptionColumns = RX) -> DataFrame:
     """AGG-6: boxes per product (decimal-comma parse to DECIMAL(18,3)), top k."""
     agg = (rx.where(F.col(cols.product).isNotNull())

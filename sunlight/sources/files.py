@@ -5,7 +5,8 @@ are administrative exports whose types cannot be trusted, so inference is
 never used (it would also turn postal codes into numbers).
 
 The driver only touches metadata here: the file list and the first line of
-each file, which one distributed job reads. All rows are parsed by tasks.
+each file, which one distributed job reads, and for large quoted files one
+flag per split. All rows are parsed by tasks.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from sunlight.sources.records import parse_records, read_records, splittable
+
 # --- fixed values: text tokens pandas reads as missing by default ----------
 PANDAS_NA_VALUES = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -27,6 +30,8 @@ PANDAS_NA_VALUES = (
 # ---------------------------------------------------------------------------
 
 _ONE_COLUMN_SEP = "\u0001"
+# Quoted files up to this size are parsed by one task each; larger ones are split.
+WHOLE_FILE_BYTES = 64 << 20
 
 
 def _regex_literal(sep: str) -> str:
@@ -54,8 +59,10 @@ def first_lines(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-
     A task stops after its file's first line, so the job costs one block per
     file whatever the file sizes. Files without a line are left out.
     """
-    one_file = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50)}
-    saved = {k: spark.conf.get(k) for k in one_file}
+    # A session of its own, so that settings of the caller's stay as they are: one file per task.
+    own = spark.newSession()
+    for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        own.conf.set(k, str(1 << 50))
 
     def head(batches):
         for b in batches:
@@ -63,19 +70,23 @@ def first_lines(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-
                 yield b.head(1)
                 return
 
-    try:
-        for k, v in one_file.items():
-            spark.conf.set(k, v)
-        rows = (_lines_of(spark, list(files), encoding)
-                .select(F.col("_metadata.file_path").alias("path"), "line")
-                .mapInPandas(head, "path string, line string").collect())
-    finally:
-        for k, v in saved.items():
-            spark.conf.set(k, v)
+    rows = (_lines_of(own, list(files), encoding)
+            .select(F.col("_metadata.file_path").alias("path"), "line")
+            .mapInPandas(head, "path string, line string").collect())
     found = {_same_path(unquote(r["path"])): r["line"] for r in rows}
     return {f: found[_same_path(f)] for f in files if _same_path(f) in found}
 
 
+def to_split(spark: SparkSession, files: Sequence[str], encoding: str, multi_line: bool,
+             whole_file_bytes: int) -> set[str]:
+    """Those of ``files`` whose quoted records are to be read in several splits."""
+    if not multi_line or not splittable(encoding):
+        return set()
+    sizes = {_same_path(unquote(r["path"])): r["length"]
+             for r in spark.read.format("binaryFile").load(list(files)).select("path", "length").collect()}
+    return {f for f in files if sizes.get(_same_path(f), 0) > whole_file_bytes}
+
+
 def _fields(line: str, sep: str, quote: str | None = '"') -> list[str]:
     line = line.removeprefix("\ufeff").removesuffix("\r")
     if not quote:
@@ -96,20 +107,28 @@ def _csv_reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool):
 
 
 def read_text_csv(spark: SparkSession, paths: "str | Sequence[str]", sep: str = ",",
-                  encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
+                  encoding: str = "UTF-8", multi_line: bool = True,
+                  whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """SRC-1: CSV with a header line, every column read as text.
 
-    ``multi_line`` keeps records whose quoted fields hold line breaks whole;
-    a file is then parsed by one task. Turn it off for large files known to have
-    none, so that they are split. Several files must have the same header;
-    use ``read_csv_union_by_name`` for files that drift.
+    ``multi_line`` keeps records whose quoted fields hold line breaks whole: a file of up to
+    ``whole_file_bytes`` is parsed by one task, a larger one is split (``records.read_records``).
+    Turn it off for files known to have no line breaks in fields, which saves a pass over them.
+    Several files must have the same header; use ``read_csv_union_by_name`` for files that drift.
     """
     files = list_files(spark, paths)
-    if len(files) > 1:
+    large = to_split(spark, files, encoding, multi_line, whole_file_bytes)
+    if len(files) > 1 or large:
         headers = headers_of(spark, files, sep, encoding)
         if len(set(headers.values())) > 1:
             raise ValueError(f"files with different headers: {headers}; use read_csv_union_by_name")
-    return _csv_reader(spark, sep, encoding, multi_line).option("inferSchema", False).csv(paths)
+    if not large:
+        return _csv_reader(spark, sep, encoding, multi_line).option("inferSchema", False).csv(paths)
+    names = next(iter(headers.values()))
+    out = parse_records(read_records(spark, sorted(large), sep, encoding).records, names, sep, '"').drop("key")
+    small = [f for f in files if f not in large]
+    return out.unionByName(_csv_reader(spark, sep, encoding, multi_line).schema(_string_schema(names)).csv(small)) \
+        if small else out
 
 
 def lower_columns(df: DataFrame) -> DataFrame:
@@ -130,7 +149,8 @@ _BAD = "_rejected_record"
 
 def read_csv_union(spark: SparkSession, paths: "str | Sequence[str]", sep: str = ";", encoding: str = "UTF-8",
                    lower: bool = True, multi_line: bool = True,
-                   headers: Mapping[str, Sequence[str]] | None = None) -> CsvRead:
+                   headers: Mapping[str, Sequence[str]] | None = None,
+                   whole_file_bytes: int = WHOLE_FILE_BYTES) -> CsvRead:
     """SRC-2: many CSV files whose headers drift; align columns by name.
 
     Files are grouped by their exact header; each group is one distributed
@@ -138,7 +158,8 @@ def read_csv_union(spark: SparkSession, paths: "str | Sequence[str]", sep: str =
     ``unionByName(allowMissingColumns=True)``. Records whose field count differs
     from their file's header are not lost: they are the second frame, with their
     file and text, to be counted or written. ``headers`` (file to column names)
-    saves the job that reads first lines where a manifest is at hand.
+    saves the job that reads first lines where a manifest is at hand. ``multi_line``
+    and ``whole_file_bytes`` are those of ``read_text_csv``.
 
     CSV column pruning is switched off for these reads so that which records are
     rejected does not depend on the columns a later query selects. A single
@@ -153,14 +174,25 @@ def read_csv_union(spark: SparkSession, paths: "str | Sequence[str]", sep: str =
             groups.setdefault(known[f], []).append(f)
     if not groups:
         raise FileNotFoundError(f"no input lines under {paths!r}")
+    large = to_split(spark, files, encoding, multi_line, whole_file_bytes)
     rows, rejected = [], []
     for header, group in groups.items():
         if len(set(header)) != len(header):
             raise ValueError(f"repeated column names in {group[0]}: {header}")
+        split = [f for f in group if f in large]
+        if split:
+            found = read_records(spark, split, sep, encoding)
+            parsed = parse_records(found.records, header, sep, '"', _BAD)
+            rows.append(parsed.where(F.col(_BAD).isNull()).drop(_BAD, "key"))
+            rejected.append(parsed.where(F.col(_BAD).isNotNull()).join(found.splits, "key")
+                            .select("file", F.col(_BAD).alias("record")))
+        whole = [f for f in group if f not in large]
+        if not whole:
+            continue
         read = (_csv_reader(spark, sep, encoding, multi_line)
                 .schema(T.StructType([*_string_schema(header), T.StructField(_BAD, T.StringType(), True)]))
                 .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
-                .option("columnPruning", False).option("enforceSchema", True).csv(group))
+                .option("columnPruning", False).option("enforceSchema", True).csv(whole))
         # The test names a data column too: a scan of the record column alone is refused.
         bad = F.concat(F.col(_BAD), F.coalesce(F.col(f"`{header[0]}`"), F.lit("")))
         rows.append(read.where(bad.isNull()).drop(_BAD))
@@ -171,9 +203,11 @@ def read_csv_union(spark: SparkSession, paths: "str | Sequence[str]", sep: str =
 
 
 def read_csv_union_by_name(spark: SparkSession, paths: "str | Sequence[str]", sep: str = ";",
-                           encoding: str = "UTF-8", lower: bool = True, multi_line: bool = True) -> DataFrame:
+                           encoding: str = "UTF-8", lower: bool = True, multi_line: bool = True,
+                           headers: Mapping[str, Sequence[str]] | None = None,
+                           whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """The rows of ``read_csv_union``; use that one to see what was rejected."""
-    return read_csv_union(spark, paths, sep, encoding, lower, multi_line).rows
+    return read_csv_union(spark, paths, sep, encoding, lower, multi_line, headers, whole_file_bytes).rows
 
 
 def _positional(arr, columns: Mapping[int, str], na_values: Iterable[str]):
@@ -221,26 +255,38 @@ def _tolerant(spark: SparkSession, paths, columns, encoding, sep, width, na_valu
 
 
 def _tolerant_quoted(spark: SparkSession, paths, columns, encoding, sep, width, na_values, quote,
-                     multi_line) -> DataFrame:
+                     multi_line, whole_file_bytes) -> DataFrame:
     names = [f"_c{i}" for i in range(width)]
-    read = (spark.read.schema(T.StructType([*_string_schema(names), T.StructField(_BAD, T.StringType(), True)]))
-            .option("header", False).option("sep", sep).option("encoding", encoding)
-            .option("quote", quote).option("escape", quote).option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
-            .option("columnPruning", False).csv(paths))
+    files = list_files(spark, paths)
+    large = to_split(spark, files, encoding, multi_line, whole_file_bytes)
     # Fields of a record that does not fit: its separators outside quotes, and one.
     q = _regex_literal(quote)
     bare = F.regexp_replace(_BAD, f"{q}[^{q}]*+{q}", "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
-    kept = read.where(F.concat(F.col(_BAD), F.coalesce("_c0", F.lit(""))).isNull() | (fields <= width))
-    return kept.select(*_positional(F.array(*names), columns, na_values))
+
+    def fitting(read: DataFrame) -> DataFrame:
+        kept = read.where(F.concat(F.col(_BAD), F.coalesce("_c0", F.lit(""))).isNull() | (fields <= width))
+        return kept.select(*_positional(F.array(*names), columns, na_values))
+
+    small, out = [f for f in files if f not in large], []
+    if small:
+        out.append(fitting(
+            spark.read.schema(T.StructType([*_string_schema(names), T.StructField(_BAD, T.StringType(), True)]))
+            .option("header", False).option("sep", sep).option("encoding", encoding)
+            .option("quote", quote).option("escape", quote).option("multiLine", multi_line)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
+            .option("columnPruning", False).csv(small)))
+    if large:
+        records = read_records(spark, sorted(large), sep, encoding, quote, header=False).records
+        out.append(fitting(parse_records(records, names, sep, quote, _BAD)))
+    return reduce(lambda a, b: a.unionByName(b), out)
 
 
 def read_tolerant_tsv(spark: SparkSession, path: "str | Sequence[str]", columns: Mapping[int, str],
                       encoding: str = "ISO-8859-1", sep: str = "\t",
                       width: int | None = None,
                       na_values: Iterable[str] = PANDAS_NA_VALUES, quote: str | None = '"',
-                      multi_line: bool = True) -> DataFrame:
+                      multi_line: bool = True, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """SRC-4: headerless tab-separated files with a tolerant row policy.
 
     The expected width of each file is the field count of its first line
@@ -248,14 +294,14 @@ def read_tolerant_tsv(spark: SparkSession, path: "str | Sequence[str]", columns:
     padded with NULL, and tokens listed in ``na_values`` become NULL.
     Columns are picked by position and renamed (``columns = {position:
     name}``). A field that begins with ``quote`` may hold separators, doubled
-    quotes and (with ``multi_line``, which makes a file one task) line breaks;
-    ``quote=None`` takes quotes as they are and splits large files. First
+    quotes and (with ``multi_line``) line breaks; files over ``whole_file_bytes``
+    are split all the same. ``quote=None`` takes quotes as they are. First
     lines are read by one job, files are grouped by width, and each group is one
     distributed read.
     """
     groups = {width: path} if width is not None else _widths(spark, path, encoding, sep, quote)
-    frames = [_tolerant_quoted(spark, fs, columns, encoding, sep, w, na_values, quote, multi_line) if quote
-              else _tolerant(spark, fs, columns, encoding, sep, w, na_values) for w, fs in groups.items()]
+    frames = [_tolerant_quoted(spark, fs, columns, encoding, sep, w, na_values, quote, multi_line, whole_file_bytes)
+              if quote else _tolerant(spark, fs, columns, encoding, sep, w, na_values) for w, fs in groups.items()]
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
