@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sunlight.functions import (DEFAULT_GROUP_RULES, LAB_NAME_PATTERN, group_key,
                                 normalise_lab_name, round_half_up, safe_div)
-from sunlight.operators import ranked_top_k, top_k
+from sunlight.operators import in_key_set, key_set, number_rows, ranked_top_k, top_k
 from sunlight.plans.columns import RAW, DeclarationColumns
 from sunlight.plans.declarations import raw_departments
 
@@ -24,6 +24,8 @@ INFLUENCE_MOTIVES = (
 )
 # ---------------------------------------------------------------------------
 
+DEPARTMENT_KEY_BITS = 1 << 26            # 8 MB, sent to every task
+
 
 def _names(df: DataFrame, column: str, pattern: str) -> DataFrame:
     return (df.select(F.col(column).alias("orig")).distinct()
@@ -48,7 +50,8 @@ def lab_name_map(declarations: DataFrame, bridge: DataFrame,
 
 def influence_spend(stg: DataFrame, name_map: DataFrame, raw: DataFrame,
                     dept_region: DataFrame, motives: Sequence[str] = INFLUENCE_MOTIVES,
-                    cols: DeclarationColumns = RAW, companies: DataFrame | None = None) -> DataFrame:
+                    cols: DeclarationColumns = RAW, companies: DataFrame | None = None,
+                    reduce_departments: bool = False) -> DataFrame:
     """MRT-9: influence spend per (catalogue company, region).
 
     A payment counts once per catalogue name its payer maps to and once per
@@ -60,11 +63,24 @@ def influence_spend(stg: DataFrame, name_map: DataFrame, raw: DataFrame,
     department list, where AQE splits a skewed key. ``companies`` (column
     ``labo``) keeps only these catalogue companies, and so only the payments of
     their payers.
+
+    The department list comes from all declarations, though only payments of some
+    motives and payers ask for it. With ``reduce_departments`` a key set of fixed size
+    (``DEPARTMENT_KEY_BITS``) of the asking (name, date) pairs drops most other declarations before
+    they are reduced and shuffled, at the price of one more scan of ``stg``: worth it where
+    that is a stored table and few payments ask.
     """
     if companies is not None:
         name_map = name_map.join(companies.select(F.col("labo").alias("name_ansm")), "name_ansm", "left_semi")
+    asking = stg.where(F.col("motif").isin(list(motives)))
+    if reduce_departments:
+        payers = name_map.select(F.col("name_transparence").alias("labo")).distinct()
+        keys = asking.join(payers, "labo", "left_semi").select("nom", F.col("date").cast("string").alias("date"))
+        raw = (raw.withColumn("_asked", key_set(keys, "nom", "date", bits=DEPARTMENT_KEY_BITS))
+               .where(in_key_set(F.col("_asked"), F.col(cols.name), F.col(cols.date).cast("string"), bits=DEPARTMENT_KEY_BITS))
+               .drop("_asked"))
     geo = raw_departments(raw, cols, dedup=True)
-    j = (stg.where(F.col("motif").isin(list(motives))).alias("t")
+    j = (asking.alias("t")
          .join(name_map.alias("m"), F.col("t.labo") == F.col("m.name_transparence"))
          .join(geo.alias("v"), (F.col("t.nom") == F.col("v._g_name"))
                & (F.col("t.date") == F.col("v._g_date")))
@@ -150,10 +166,10 @@ def top_roi(fact: DataFrame, k: int = 15) -> DataFrame:
 
 
 def company_focus(fact: DataFrame, patterns: Sequence[str] = ("%SANOFI%", "%PFIZER%"),
-                  k: int = 1000) -> DataFrame:
-    """QRY-5: average ROI and brand sales (M€) of companies matching any LIKE
-    pattern, best average first; ``rang`` numbers them in that order. The report
-    holds the best ``k`` companies."""
+                  k: int | None = None) -> DataFrame:
+    """QRY-5: average ROI and brand sales (M€) of all companies matching any LIKE
+    pattern, best average first; ``rang`` numbers them in that order. With ``k`` the
+    best ``k`` only, without a job of its own."""
     cond = None
     for p in patterns:
         c = F.col("labo").like(p)
@@ -161,4 +177,7 @@ def company_focus(fact: DataFrame, patterns: Sequence[str] = ("%SANOFI%", "%PFIZ
     focus = (fact.where(cond).groupBy("labo")
              .agg(round_half_up(F.avg("roi_influence"), 0).alias("roi_moyen"),
                   round_half_up(F.sum(_dec("ventes_princeps")) / 1e6, 1).alias("ventes_totales_meur")))
-    return ranked_top_k(focus, [F.desc_nulls_last("roi_moyen"), F.asc("labo")], k)
+    order = [F.desc_nulls_last("roi_moyen"), F.asc("labo")]
+    if k is not None:
+        return ranked_top_k(focus, order, k)
+    return number_rows(focus, order).withColumn("rang", F.col("rang").cast("int")).orderBy("rang")

@@ -11,9 +11,7 @@ step), and downstream steps start from compact Parquet.
 from __future__ import annotations
 
 import os
-from typing import Mapping
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sunlight.plans import catalogue as CAT
 from sunlight.plans import declarations as DEC
@@ -21,7 +19,28 @@ from sunlight.plans import influence as INF
 from sunlight.plans import prescriptions as RXP
 from sunlight.plans.recipients import geo_ref, recipients, recipients_geo
 from sunlight.plans.columns import RAW, RX, DeclarationColumns, PrescriptionColumns
-from sunlight.sinks import write_table
+from sunlight.sinks import row_count, swap_table
+
+
+class Marts(dict):
+    """Paths by mart, and what was observed while each was written (``metrics``: rows, sums)."""
+
+    def __init__(self):
+        super().__init__()
+        self.metrics: dict[str, dict] = {}
+
+
+def _exact(c: str) -> Column:
+    return F.sum(F.col(c).cast("decimal(38,6)"))
+
+
+# Totals of a mart besides its rows, observed on the way.
+OBSERVED = {
+    "stg_declarations": {"amount": ("montant", _exact)},
+    "sales_mart": {"reimbursed": ("total_rembourse", _exact)},
+    "influence_spend": {"spend": ("total_cadeaux", _exact)},
+    "recipients": {"amount": ("montant_total", _exact)},
+}
 
 
 def build_marts(spark: SparkSession, out_dir: str, declarations_raw: DataFrame,
@@ -29,8 +48,11 @@ def build_marts(spark: SparkSession, out_dir: str, declarations_raw: DataFrame,
                 dept_region: DataFrame, regions: DataFrame, specialities: DataFrame,
                 geo_points: DataFrame | None = None, min_total: float = 500,
                 decl_cols: DeclarationColumns = RAW, rx_cols: PrescriptionColumns = RX,
-                stage_inputs: bool = True) -> Mapping[str, str]:
-    """Write all marts; return ``{name: path}``.
+                stage_inputs: bool = True) -> Marts:
+    """Write all marts; return ``{name: path}``, with rows and totals of each in ``metrics``.
+
+    The figures are by-products of the writes (no table is scanned again to count it), and
+    each table is replaced only once its new form is complete.
 
     With ``stage_inputs`` the two raw inputs are first written as Parquet:
     the declarations feed five marts and the prescriptions two, so the
@@ -38,10 +60,11 @@ def build_marts(spark: SparkSession, out_dir: str, declarations_raw: DataFrame,
     it needs. The profession clean-up is a mart of its own
     (``stg_declarations_clean``); other marts read the labels as declared.
     """
-    paths: dict[str, str] = {}
+    paths = Marts()
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        paths[name] = write_table(df, os.path.join(out_dir, name))
+        totals = {k: f(c) for k, (c, f) in OBSERVED.get(name, {}).items()}
+        paths[name], paths.metrics[name] = swap_table(df, os.path.join(out_dir, name), metrics={**row_count(), **totals})
         return spark.read.parquet(paths[name])
 
     if stage_inputs:
@@ -58,7 +81,7 @@ def build_marts(spark: SparkSession, out_dir: str, declarations_raw: DataFrame,
                                                      rx_cols))
     sales = put("sales_mart", RXP.sales_mart(prescriptions_raw, bridge, rx_cols))
     spend = put("influence_spend", INF.influence_spend(stg, name_map, declarations_raw,
-                                                       dept_region, cols=decl_cols))
+                                                       dept_region, cols=decl_cols, reduce_departments=True))
     fact = put("influence_fact", INF.influence_fact(spend, sales, regions))
     put("influence_groups", INF.influence_groups(fact))
     put("lab_dim", CAT.lab_dim(bridge))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sunlight.functions import escape_like, format_amount, fr_grouped_integer, sentence
 from sunlight.functions.text import FUNDING, HEADLINE, RESEARCH, RETURN, SHARE
-from sunlight.operators import group_max_lookup, materialise, top_k
+from sunlight.operators import group_max_lookup, in_key_set, key_set, materialise, top_k
 from sunlight.plans.columns import RAW, RX, DeclarationColumns, PrescriptionColumns
 from sunlight.plans.declarations import recipient_regions, stg_declarations
 from sunlight.plans.influence import influence_fact, influence_spend
@@ -138,58 +138,56 @@ def _name_keys(s: Column) -> Column:
     return F.array_distinct(F.concat(_grams(s, GRAM), _grams(s, SHORT_GRAM)))
 
 
+def _postings(values: DataFrame, grams: Column, wanted: Column) -> DataFrame:
+    """(_key, value) for the wanted ones among the ``grams`` of ``values.value``."""
+    return (values.withColumn("_wanted", wanted)
+            .select("value", F.explode(F.filter(grams, lambda g: in_key_set(F.col("_wanted"), g))).alias("_key")))
+
+
 def search_recipients_batch(recipients: DataFrame, regions: DataFrame, influence: DataFrame,
                             top_products: DataFrame, terms: DataFrame, term_col: str = "term",
                             k: int = 15, min_len: int = 2,
                             amount_col: str = "montant_total", salts: int = 8) -> DataFrame:
     """QRY-2: the search for a whole table of terms, best ``k`` rows per term.
 
-    Terms are matched literally (no wildcards). Matching is an equi-join, not
-    a pairwise comparison: a term is looked up by one of its grams, the one that
-    the fewest names have, and a recipient offers the grams of its name (fewer
-    than two for each letter) and the start of its city. The full term is then
-    checked. Where the planner must shuffle, a gram that many names have is dealt
-    over ``salts`` partitions. A (recipient, term) pair is produced once: city
+    Terms are matched literally (no wildcards). Matching is an equi-join of grams over the
+    different names and cities, not over recipients: a name offers those of its grams that some
+    term asks for (a key set of fixed size tells, inside the array), a term is looked up by the one
+    that the fewest names have, and the full term is then checked. The (term, name) and (term,
+    city) pairs found are joined with the recipients, so that a recipient's row moves only for
+    its hits. Where the planner must shuffle, a gram that many names have is dealt
+    over ``salts`` partitions, and AQE splits a hot name. A (recipient, term) pair is produced once: city
     hits only when the name does not already match. The ranking is a per-term
     ``row_number`` whose partial limit runs before the shuffle, so a term
     matching a third of all recipients still moves only k rows per task.
     """
-    t = (terms.select(F.col(term_col).alias("term")).where(F.length("term") >= max(SHORT_GRAM, min_len)).distinct()
+    t = (terms.select(F.col(term_col).alias("term")).where(F.length("term") >= max(1, min_len)).distinct()
          .select("term", F.lower("term").alias("_lterm")))
-    # Terms of one letter have no gram: they are offered the letters themselves.
-    single = (terms.select(F.col(term_col).alias("term")).where((F.length("term") == 1) & (F.length("term") >= min_len))
-              .distinct().select("term", F.lower("term").alias("_lterm"), F.lower("term").alias("_key"),
-                                 F.lit(True).alias("_by_name")))
     cols = recipients.columns
-    lname = F.lower(F.coalesce(F.col("nom"), F.lit("")))
-    lcity = F.lower(F.coalesce(F.col("ville"), F.lit("")))
-
-    own = F.when(F.length("_lterm") == SHORT_GRAM, F.array("_lterm")).otherwise(F.array_distinct(_grams(F.col("_lterm"), GRAM)))
+    different = lambda c: recipients.select(F.lower(F.col(c)).alias("value")).where("value <> ''").distinct()
+    length = F.length("_lterm")
+    own = F.when(length == 1, F.array("_lterm")).when(length == SHORT_GRAM, F.array("_lterm")) \
+        .otherwise(F.array_distinct(_grams(F.col("_lterm"), GRAM)))
     offered = t.select("term", "_lterm", F.explode(own).alias("_key"))
-    wanted = offered.select("_key").distinct()
-    names = recipients.select(lname.alias("_n")).distinct().select(F.explode(_name_keys(F.col("_n"))).alias("_key"))
-    common = names.join(wanted, "_key", "left_semi").groupBy("_key").agg(F.count(F.lit(1)).alias("_names"))
-    rarest = (offered.join(common, "_key", "left").groupBy("term", "_lterm")
-              .agg(F.min_by("_key", F.struct(F.coalesce("_names", F.lit(0)), F.col("_key"))).alias("_key")))
-    looked = rarest.select("term", "_lterm", "_key", F.lit(True).alias("_by_name")).unionByName(
-        t.where(F.length("term") >= CITY_START).select(
-            "term", "_lterm", F.substring("_lterm", 1, CITY_START).alias("_key"), F.lit(False).alias("_by_name"))) \
-        .unionByName(single)
-    looked = looked.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-
-    tag = lambda arr, by_name: F.transform(
-        arr, lambda g: F.struct(g.alias("_key"), F.lit(by_name).alias("_by_name")))
-    letters = _grams(lname, 1) if min_len <= 1 else F.array().cast("array<string>")
-    keys = F.concat(tag(F.array_distinct(F.concat(_name_keys(lname), letters)), True),
-                    tag(F.array(F.substring(lcity, 1, CITY_START)), False))
-    offers = recipients.select(*cols, F.explode(keys).alias("_m")).select(
-        *cols, "_m.*", F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int").alias("_salt"))
-    in_name = F.contains(F.lower(F.coalesce(F.col("nom"), F.lit(""))), F.col("_lterm"))
-    in_city = F.startswith(F.lower(F.coalesce(F.col("ville"), F.lit(""))), F.col("_lterm"))
-    hits = (offers.join(looked, ["_key", "_by_name", "_salt"])
-            .where(F.when(F.col("_by_name"), in_name).otherwise(in_city & ~in_name))
-            .select("term", *cols, "_lterm"))
-    lower_name = F.lower(F.col("nom"))
+    # Terms of one letter have no gram: they are offered the letters themselves.
+    letters = _grams(F.col("value"), 1) if min_len <= 1 else F.array().cast("array<string>")
+    posted = _postings(different("nom"), F.array_distinct(F.concat(_name_keys(F.col("value")), letters)), key_set(offered, "_key"))
+    common = posted.groupBy("_key").agg(F.count(F.lit(1)).alias("_names"))
+    rarest = (offered.join(common, "_key").groupBy("term", "_lterm", F.size(own).alias("_asked"))
+              .agg(F.min_by("_key", F.struct("_names", "_key")).alias("_key"), F.count(F.lit(1)).alias("_known")))
+    # A term with a gram that no name has matches none.
+    looked = rarest.where("_known = _asked").select("term", "_lterm", "_key") \
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = posted.withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(salts)).cast("int"))
+    by_name = salted.join(looked, ["_key", "_salt"]).where(F.contains("value", F.col("_lterm"))).select("term", "_lterm", "value")
+    starts = t.where(F.length("term") >= CITY_START).withColumn("_key", F.substring("_lterm", 1, CITY_START))
+    cities = different("ville").withColumn("_key", F.substring("value", 1, CITY_START))
+    by_city = cities.join(starts, "_key").where(F.startswith("value", F.col("_lterm"))).select("term", "_lterm", "value")
+
+    lower_name = F.lower(F.coalesce(F.col("nom"), F.lit("")))
+    hits = recipients.withColumn("value", F.lower("nom")).join(by_name, "value").select("term", *cols, "_lterm").unionByName(
+        recipients.withColumn("value", F.lower("ville")).join(by_city, "value")
+        .where(~F.contains(lower_name, F.col("_lterm"))).select("term", *cols, "_lterm"))
     priority = (F.when(lower_name == F.col("_lterm"), 1)
                 .when(F.startswith(lower_name, F.col("_lterm")), 2).otherwise(3))
     ranked = (hits.withColumn("priority", priority).drop("_lterm")

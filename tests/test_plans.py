@@ -94,3 +94,69 @@ def test_search_limits_the_lookups_to_the_best_rows(spark):
     from suite.queries import QUERIES
     text = QUERIES["search"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("LeftSemi") >= 4
+
+
+def _nodes(node):
+    yield node
+    children = node.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
+def _shuffled_records(spark, df) -> list[int]:
+    """Records written by each exchange of an executed plan (without re-planning)."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        qe = df._jdf.queryExecution()
+        qe.toRdd().count()
+        return [n.metrics().apply("shuffleRecordsWritten").value() for n in _nodes(qe.executedPlan())
+                if n.nodeName() == "Exchange"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_only_asked_departments_are_shuffled(spark):
+    """JN-7: of 5,000 declarations 20 ask; the others do not reach the exchange of the department list."""
+    from sunlight.sources import dim_dept_region
+    raw = spark.range(5000).select(
+        F.lit("PFIZER SAS").alias("raison_sociale"), F.concat(F.lit("n"), F.col("id")).alias("identite"), F.lit("p").alias("prenom"),
+        F.lit("m").alias("profession_libelle"), F.lit("v").alias("ville"), F.lit("75001").alias("code_postal"), F.lit("10,00").alias("montant"),
+        F.lit("2022-01-01").alias("date"), F.when(F.col("id") % 250 == 0, "Frais de transport").otherwise("x").alias("motif_lien_interet"))
+    names = spark.createDataFrame([("PFIZER SAS", "PFIZER")], "name_transparence string, name_ansm string")
+    stg, depts = P.stg_declarations(raw), dim_dept_region(spark)
+    # The same department list with and without the reduction.
+    plain = P.influence_spend(stg, names, raw, depts)
+    reduced = P.influence_spend(stg, names, raw, depts, reduce_departments=True)
+    assert reduced.collect() == plain.collect() != []
+    assert max(_shuffled_records(spark, plain)) >= 5000
+    assert max(_shuffled_records(spark, reduced)) < 100
+
+
+def test_bucketed_sides_join_and_aggregate_without_an_exchange(spark):
+    from uuid import uuid4
+    from sunlight.session import scratch_path
+    from sunlight.sinks import write_bucketed
+    i = Inputs(spark, SF)
+    rx, bridge = (write_bucketed(df, f"t_{uuid4().hex}", scratch_path(spark, "bucketed"), ["cip13"], 4) for df in (i.rx, i.bridge))
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = P.sales_mart(rx, bridge)
+        p = plan(df)
+        got = sorted(map(tuple, df.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert "SortMergeJoin" in p and "Exchange" not in p
+    assert got == sorted(map(tuple, P.sales_mart(i.rx, i.bridge).collect()))
+
+
+def test_sketches_merge_over_loads(spark):
+    i = Inputs(spark, SF)
+    parts = [P.distinct_sketches(i.rx.where(F.col("top_gen") == g), ["ben_reg"]) for g in ("0", "1")]
+    merged = {r["ben_reg"]: r for r in P.merge_sketches(parts[0].unionAll(parts[1]), ["ben_reg"]).collect()}
+    exact = i.rx.groupBy("ben_reg").agg(F.countDistinct("pfs_exe_num").alias("a"), F.countDistinct("l_cip13").alias("b")).collect()
+    assert len(exact) == len(merged) > 3
+    for r in exact:
+        assert abs(merged[r["ben_reg"]]["nb_medecins"] - r["a"]) <= max(1, 3 * P.SKETCH_ERROR * r["a"])
+        assert abs(merged[r["ben_reg"]]["nb_medicaments"] - r["b"]) <= max(1, 3 * P.SKETCH_ERROR * r["b"])
+    assert "Expand" not in plan(P.distinct_sketches(i.rx))
