@@ -8,6 +8,6 @@ staging transform is a stateless select/filter, so the same
 mart downstream then reads the staging table.
 """
 
-from sunlight.streaming.staging import start_staging_stream, declaration_schema
+from sunlight.streaming.staging import declaration_schema, start_rejected_stream, start_staging_stream
 
-__all__ = ["start_staging_stream", "declaration_schema"]
+__all__ = ["start_staging_stream", "start_rejected_stream", "declaration_schema"]

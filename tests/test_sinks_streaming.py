@@ -47,6 +47,36 @@ def test_staging_stream_is_incremental(spark, tmp_path):
         __import__("decimal").Decimal(r[6].replace(",", ".")) for r in C.DECLARATIONS if r[6])
 
 
+def test_stream_reads_what_the_batch_reader_reads(spark, tmp_path):
+    """Quotes, doubled quotes, line breaks and rejected records, as in a batch."""
+    from sunlight.plans import stg_declarations
+    from sunlight.sources import read_csv_union
+    from sunlight.streaming import start_rejected_stream
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.csv").write_text(",".join(C.RAW_COLS) + "\n"
+                               + '"Lab ""X"", SAS",DUPONT,A,Médecin,PARIS,75001,"12,50",2022-01-01,Repas\n'
+                               + '"two\nlines",DURAND,B,\\,LYON,69001,"7,25",2022-01-02,Repas\n'
+                               + 'too,few,fields\n', encoding="utf-8")
+    out, bad = scratch_path(spark, "stg"), scratch_path(spark, "bad")
+    start_staging_stream(spark, str(src), out, C.RAW_COLS).awaitTermination(120)
+    start_rejected_stream(spark, str(src), bad, C.RAW_COLS).awaitTermination(120)
+    batch = read_csv_union(spark, str(src), sep=",", lower=False)
+    assert rows(spark.read.parquet(out)) == rows(stg_declarations(batch.rows))
+    assert {(r["labo"], str(r["montant"])) for r in spark.read.parquet(out).collect()} == {('Lab "X", SAS', "12.50"), ("two\nlines", "7.25")}
+    assert [r["record"] for r in spark.read.parquet(bad).collect()] == [r["record"] for r in batch.rejected.collect()]
+
+
+def test_stream_refuses_another_header(spark, tmp_path):
+    import pytest
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.csv").write_text(",".join(reversed(C.RAW_COLS)) + "\n" + ",".join("x" * 9) + "\n", encoding="utf-8")
+    q = start_staging_stream(spark, str(src), scratch_path(spark, "stg"), C.RAW_COLS)
+    with pytest.raises(Exception, match="(?i)header"):
+        q.awaitTermination(120)
+
+
 def test_outputs_of_the_same_name_have_their_own_progress(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
