@@ -9,14 +9,16 @@ that time is the query's own.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 from typing import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sunlight import plans as P
 from sunlight.session import scratch_path
-from sunlight.sinks import export_marts, json_records, write_json
+from sunlight.sinks import (export_marts, json_records, ordered_table, first_rows, read_table, replace_table,
+                            rewrite_partitions, write_bucketed, write_json, write_observed, write_ordered)
 from sunlight.sources import (read_csv_union, read_csv_union_by_name, read_geo_points, read_headerless_tsv,
                               read_tables, read_text_csv, read_tolerant_tsv, register_views)
 from sunlight.functions import group_key, parse_comma_decimal, parse_fr_number, to_money_text
@@ -107,10 +109,6 @@ class Inputs:
         regions = P.recipient_regions(self.stg, self.raw, self.depts)
         return P.recipients(self.raw, self.map_mart, regions, min_total=RECIPIENT_MIN_TOTAL)
 
-    @cached_property
-    def fact_mart(self):
-        return materialise(self.fact(), "fact")
-
 
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,17 +323,24 @@ def search_limit(i: Inputs):
 @_q
 def search_mart(i: Inputs):
     """QRY-1 over the recipient and fact marts."""
-    return P.search_recipients(materialise(i.recipients, "recipients"), i.regions, i.fact_mart,
-                               P.lab_top_products(i.bridge_mart), LIMIT_TERM)
+    return P.search_recipients(i.recipients, i.regions, i.fact(), P.lab_top_products(i.bridge_mart), LIMIT_TERM)
 
 
 @_q
 def search_batch(i: Inputs):
     terms = i.spark.createDataFrame([(t,) for t in SEARCH_TERMS], "term string")
-    return P.search_recipients_batch(materialise(i.recipients, "recipients"), i.regions, i.fact_mart,
+    return P.search_recipients_batch(materialise(i.recipients, "recipients"), i.regions, i.fact(),
                                      P.lab_top_products(i.bridge_mart), terms)
 
 
+@_q
+def search_index(i: Inputs):
+    """QRY-1 through the stored index."""
+    path = scratch_path(i.spark, "search-index")
+    P.build_search_index(i.recipients, path, parts=16, buckets=64)
+    return P.search_index(i.spark, path, LIMIT_TERM, i.regions, i.fact(), P.lab_top_products(i.bridge_mart))
+
+
 @_q
 def landing_top(i: Inputs):
     return P.landing_stats(i.recipients).top_groups
@@ -347,6 +352,13 @@ def landing_total(i: Inputs):
     return P.landing_stats(i.recipients, fallback=GLOBAL_TOTAL_FALLBACK).total
 
 
+@_q
+def landing_total_fallback(i: Inputs):
+    """AGG-23: no amount at all, so the fallback is shown."""
+    from sunlight.plans.search import GLOBAL_TOTAL_FALLBACK
+    return P.landing_stats(i.recipients.where("montant_total < 0"), fallback=GLOBAL_TOTAL_FALLBACK).total
+
+
 # --- file round trips: data derived from the tables is written in the awkward
 # source formats, then read back with the library's readers --------------------
 
@@ -479,10 +491,25 @@ def rx_csv_union_mart(i: Inputs):
      .write.option("header", True).option("sep", ";").csv(f"{base}/y1"))
     (i.rx.where(~first).select(F.lit("2023").alias("annee"), *reversed(RX_COLUMNS))
      .write.option("header", True).option("sep", ";").csv(f"{base}/y2"))
-    rx = P.prescriptions_raw(i.spark, [f"{base}/y1", f"{base}/y2"])
+    rx = P.prescriptions_raw(i.spark, [f"{base}/y1", f"{base}/y2"], whole_file_bytes=0)
     return P.prescriptions_mart(rx, i.regions, i.specialities)
 
 
+@_q
+def csv_split_records(i: Inputs):
+    """SRC-1, MRT-4: quoted fields with line breaks, separators and doubled quotes in files read by splits."""
+    l = star.table(i.spark, i.sf_dir, "lineitem")
+    pick = (F.col("l_partkey") + F.col("l_linenumber")) % len(AWKWARD) + 1
+    note = F.concat(F.element_at(F.array(*[F.lit(x) for x in AWKWARD]), pick.cast("int")), "l_returnflag")
+    base = scratch_path(i.spark, "split-csv")
+    (l.select(F.col("l_suppkey").cast("string").alias("supplier"), note.alias("note"), to_money_text("l_quantity").alias("quantity"))
+     .write.option("header", True).option("sep", ";").option("escape", '"').csv(base))
+    rows = read_text_csv(i.spark, base, sep=";", whole_file_bytes=0)
+    return rows.groupBy("note").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("supplier").cast("bigint")).alias("suppliers"),
+        F.sum(parse_comma_decimal("quantity")).cast("decimal(38,2)").alias("quantity"))
+
+
 @_q
 def speciality_codes(i: Inputs):
     """T7: codes with suffixes, blanks and decimals as specialities."""
@@ -602,6 +629,105 @@ def group_default_rules(i: Inputs):
         F.count(F.lit(1)).alias("n"), F.sum(F.col("p_retailprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"))
 
 
+@_q
+def table_replaced_from_itself(i: Inputs):
+    """SNK-1: a stored table replaced by a job that reads it; the version before stays readable."""
+    path = scratch_path(i.spark, "replaced")
+    part = star.table(i.spark, i.sf_dir, "part").select("p_partkey", "p_name", "p_size", F.lit(1).alias("revision"))
+    replace_table(part, path)
+    old = read_table(i.spark, path)
+    replace_table(old.where("p_size % 5 <> 0").withColumn("p_name", F.upper("p_name")).withColumn("revision", F.lit(2)), path)
+    now = read_table(i.spark, path)
+    return now.unionByName(old.where("p_size % 5 = 0"))
+
+
+MART_COUNTED = ("stg_declarations", "stg_declarations_clean", "declarations_geo", "product_bridge", "lab_name_map",
+                "prescriptions_mart", "sales_mart", "influence_spend", "influence_fact", "lab_dim", "lab_top_products",
+                "geo_ref", "declarations_raw", "prescriptions_raw", "recipients", "recipients_geo")
+
+
+@_q
+def mart_build(i: Inputs):
+    """MRT-17: every mart built once, with the rows observed while writing and those of the table."""
+    marts = P.build_marts(i.spark, scratch_path(i.spark, "all-marts"), i.raw, i.rx,
+                          star.catalogue_products(i.spark, i.sf_dir), star.catalogue_packs(i.spark, i.sf_dir),
+                          i.depts, i.regions, i.specialities, geo_points=star.geo_points_raw(i.spark, i.sf_dir),
+                          min_total=RECIPIENT_MIN_TOTAL)
+    seen = i.spark.createDataFrame([(n, marts.metrics[n]["rows"]) for n in MART_COUNTED], "mart string, n_observed long")
+    stored = [i.spark.read.parquet(marts[n]).agg(F.lit(n).alias("mart"), F.count(F.lit(1)).alias("n_stored")) for n in MART_COUNTED]
+    return seen.join(reduce(lambda a, b: a.unionAll(b), stored), "mart")
+
+
+@_q
+def load_totals(i: Inputs):
+    """AGG-4, SNK-3: rows, rejected amounts and sums as by-products of a write."""
+    amount = parse_fr_number("rem")
+    seen = write_observed(i.rx, scratch_path(i.spark, "load"), metrics={
+        "n_rows": F.count(F.lit(1)), "n_without_region": F.count_if(F.col("ben_reg").isNull()),
+        "reimbursed": F.sum(amount).cast("decimal(38,3)")}).metrics
+    return i.spark.createDataFrame([(seen["n_rows"], seen["n_without_region"], seen["reimbursed"])],
+                                   "n_rows long, n_without_region long, reimbursed decimal(38,3)")
+
+
+def _payment_order():
+    return [F.desc("total"), F.asc("o_custkey")]
+
+
+@_q
+def ordered_table_places(i: Inputs):
+    """TOP-4: a table stored in order, read back with each row's place."""
+    totals = star.table(i.spark, i.sf_dir, "orders").groupBy("o_custkey").agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total"))
+    path = scratch_path(i.spark, "ordered")
+    write_ordered(totals, path, _payment_order(), partitions=8)
+    return ordered_table(i.spark, path, "place")
+
+
+@_q
+def ordered_table_first(i: Inputs):
+    """TOP-4: the first rows of a stored order, from the first folders alone."""
+    orders = star.table(i.spark, i.sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    path = scratch_path(i.spark, "ordered-first")
+    write_ordered(orders, path, [F.desc("price"), F.asc("o_orderkey")], partitions=16)
+    return first_rows(i.spark, path, 500, "place")
+
+
+@_q
+def entity_clean_in_place(i: Inputs):
+    """PRJ-9: the ordered conditional rewrite, in the stored partitions that hold a matching label."""
+    path = scratch_path(i.spark, "in-place")
+    stg = i.stg.withColumn("status", F.substring("date", 1, 4))
+    stg.write.partitionBy("status").parquet(path)
+    label = F.when(F.col("specialite").like("1-%"), "PRIORITY").otherwise(F.col("specialite"))
+    rewrite_partitions(i.spark, path, "status", {"specialite": label}, F.col("status").isin("1995", "1996") & F.col("specialite").like("1-%"))
+    return i.spark.read.parquet(path).groupBy("specialite", F.col("status").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@_q
+def agg_money_reduced(i: Inputs):
+    """JN-7, MRT-9: the department side reduced to the asking (name, date) pairs before it is shuffled."""
+    return P.influence_spend(i.stg, i.map_mart, i.raw, i.depts, reduce_departments=True)
+
+
+@_q
+def sales_mart_bucketed(i: Inputs):
+    """JN-10, AGG-13: prescriptions and catalogue bridge stored in buckets of the pack code."""
+    rx, bridge = (write_bucketed(df, f"sun_{kind}_{uuid4().hex}", scratch_path(i.spark, f"bucketed-{kind}"), ["cip13"], 8)
+                  for kind, df in (("rx", i.rx), ("bridge", i.bridge)))
+    return P.sales_mart(rx, bridge)
+
+
+@_q
+def distinct_merged(i: Inputs):
+    """AGG-5: sketches of two loads, merged, against the exact counts."""
+    loads = [P.distinct_sketches(i.rx.where(F.col("top_gen") == flag)) for flag in ("0", "1")]
+    merged = P.merge_sketches(loads[0].unionAll(loads[1]))
+    exact = P.distinct_counts(i.rx).withColumn("e", merged.select(F.struct(*merged.columns)).scalar())
+    near = lambda n: F.abs(F.col(f"e.{n}") - F.col(n)) <= F.greatest(F.lit(1.0), F.col(n) * 3 * P.SKETCH_ERROR)
+    return exact.select("nb_medecins", "nb_medicaments", near("nb_medecins").alias("medecins_close"),
+                        near("nb_medicaments").alias("medicaments_close"))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn for fn in [
         fr_decimal_parse, fr_thousands_parse, top_payers, top_professions_not_null,
@@ -616,7 +742,10 @@ QUERIES: dict[str, Query] = {
         landing_payers, csv_quoted_roundtrip, csv_rejected_rows, rx_csv_union_mart, speciality_codes,
         strict_tsv_packs, geo_points_file, quoted_catalogue_bridge, view_segment_revenue,
         marts_export_roundtrip, json_records_parsed, json_file_roundtrip, column_probe, fanout_report,
-        group_preview, group_default_rules,
+        group_preview, group_default_rules, csv_split_records,
+        search_index, table_replaced_from_itself, mart_build, load_totals, ordered_table_places,
+        ordered_table_first, entity_clean_in_place, agg_money_reduced, sales_mart_bucketed, distinct_merged,
+        landing_total_fallback,
     ]
 }
 
