@@ -9,11 +9,13 @@ separated one versus one.
 Features are relative frequencies of hashed character bigrams and trigrams
 over the letters of the whole text, lower-cased, with every run of other
 characters as one space. Training rows are drawn by a hash of their id, about
-``TRAIN_PER_LANGUAGE`` of each language (a documented bound: the machines are
-fitted on the driver); labels are those of documents outside the held-out
-fifth (crc32 of the id as text, modulo 5, not 0). Prediction is one pass of
-Arrow batches over all texts, on arrays; the broadcast weights have a fixed
-size.
+``TRAIN_PER_LANGUAGE`` of each language (a documented bound; of a family with
+over ``FAMILY_LANGUAGES`` languages the family machines see that many languages'
+worth); labels are those of documents outside the held-out fifth (crc32 of the
+id as text, modulo 5, not 0). Each machine is a group fitted by one task from its
+two sides; the driver receives weights only. Prediction is one pass of Arrow
+batches over all texts, on arrays; the broadcast weights have a fixed size for
+each machine.
 
 Defined cases: ``und`` with score 0 if the text is null or has no letter, or
 if no labelled document was given. Null labels are not learned. Repeated rows
@@ -25,16 +27,19 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from .common import restored, table
+from .common import restored, stash, table
 
 UNKNOWN = "und"
 BUCKETS = 4096
 TRAIN_PER_LANGUAGE = 1000
+FAMILY_LANGUAGES = 4
 CHARS_AT_ONCE = 1 << 20
+ROWS_AT_ONCE = 512
 
 # Families of ISO 639-1 codes.
 FAMILIES = {
@@ -135,47 +140,102 @@ def margins(texts: list[str], weights: np.ndarray, bias: np.ndarray) -> np.ndarr
 
 # -- machines --------------------------------------------------------------
 
-def fit_svm(x: np.ndarray, y: np.ndarray, strength: float = 10.0, rounds: int = 150) -> tuple[np.ndarray, float]:
+class SparseRows:
+    """Feature rows by their non-zero cells; products are formed ``ROWS_AT_ONCE`` rows at a time."""
+
+    def __init__(self, cells: list[bytes], shares: list[bytes], buckets: int = BUCKETS):
+        self.shape = (len(cells), buckets)
+        self.cells = np.frombuffer(b"".join(cells), "<u2")
+        self.shares = np.frombuffer(b"".join(shares), "<f2").astype(np.float32)
+        self.upto = np.r_[0, np.cumsum([len(c) // 2 for c in cells])].astype(np.int64)
+
+    def _blocks(self):
+        for lo in range(0, self.shape[0], ROWS_AT_ONCE):
+            rows = slice(lo, min(lo + ROWS_AT_ONCE, self.shape[0]))
+            part = slice(self.upto[rows.start], self.upto[rows.stop])
+            yield rows, self.cells[part], self.shares[part], self.upto[rows.start:rows.stop + 1] - self.upto[rows.start]
+
+    def mean_square(self) -> float:
+        return float(np.square(self.shares, dtype=np.float64).sum() / max(1, self.shape[0]))
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        out = np.empty(self.shape[0])
+        for rows, cells, shares, upto in self._blocks():
+            sums = np.r_[0.0, np.cumsum(w[cells] * shares)]
+            out[rows] = sums[upto[1:]] - sums[upto[:-1]]
+        return out
+
+    def pull(self, r: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.shape[1])
+        for rows, cells, shares, upto in self._blocks():
+            out += np.bincount(cells, np.repeat(r[rows], np.diff(upto)) * shares, self.shape[1])
+        return out
+
+
+class DenseRows:
+    """The same for a matrix."""
+
+    def __init__(self, x: np.ndarray):
+        self.x, self.shape = x, x.shape
+
+    def mean_square(self) -> float:
+        return float(np.einsum("ij,ij->i", self.x, self.x).mean())
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        return self.x @ w
+
+    def pull(self, r: np.ndarray) -> np.ndarray:
+        return r @ self.x
+
+
+def fit_svm(x: "np.ndarray | SparseRows", y: np.ndarray, strength: float = 10.0, rounds: int = 150) -> tuple[np.ndarray, float]:
     """Linear machine for y in {-1, 1}: squared hinge with an L2 penalty, accelerated gradient steps.
 
-    Both sides weigh the same whatever their sizes.
+    Both sides weigh the same whatever their sizes. Rows are used in place, without a copy.
     """
-    scale = np.sqrt((x ** 2).sum(axis=1).mean()) or 1.0
-    z = np.hstack([x / scale, np.ones((len(x), 1), x.dtype)])
+    rows = DenseRows(x) if isinstance(x, np.ndarray) else x
+    scale = np.sqrt(rows.mean_square()) or 1.0
     cost = np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())) * strength
     step = 1 / (1 + 2 * strength * 2 * 2)
-    w, look, t = np.zeros(z.shape[1]), np.zeros(z.shape[1]), 1.0
+    w, look, t = np.zeros(rows.shape[1] + 1), np.zeros(rows.shape[1] + 1), 1.0
     for _ in range(rounds):
-        slack = np.maximum(0, 1 - y * (z @ look.astype(z.dtype)))
-        grad = look - 2 * (z.T @ (cost * slack * y).astype(z.dtype))
+        slack = np.maximum(0, 1 - y * (rows.dot(look[:-1] / scale) + look[-1]))
+        pull = cost * slack * y
+        grad = look - 2 * np.append(rows.pull(pull) / scale, pull.sum())
         new, t_new = look - step * grad, (1 + np.sqrt(1 + 4 * t * t)) / 2
         look, w, t = new + (t - 1) / t_new * (new - w), new, t_new
     return w[:-1] / scale, float(w[-1])
 
 
 class Discriminator:
-    """Family machines and, per family, language machines, in one weight matrix."""
+    """Family machines and, per family, language machines, in one weight matrix.
+
+    ``machines`` holds (name a, name b, column) of each; ``sides`` says which languages
+    a machine sees, and on which side.
+    """
 
-    def __init__(self, x: np.ndarray, labels: np.ndarray, families: dict[str, str]):
-        self.languages = sorted(set(labels))
+    def __init__(self, languages: list[str], families: dict[str, str], buckets: int = BUCKETS):
+        self.languages = sorted(languages)
         of = {l: families.get(l, l) for l in self.languages}
         self.families = sorted(set(of.values()))
-        family = np.array([of[l] for l in labels])
-        columns, bias = [], []
-
-        def machine(names, a, b):
-            rows = (names == a) | (names == b)
-            w, c = fit_svm(x[rows], np.where(names[rows] == a, 1.0, -1.0))
-            columns.append(w)
-            bias.append(c)
-            return a, b, len(columns) - 1
-
-        self.family_machines = [machine(family, a, b) for a, b in itertools.combinations(self.families, 2)]
         self.members = {f: [l for l in self.languages if of[l] == f] for f in self.families}
-        self.language_machines = {f: [machine(labels, a, b) for a, b in itertools.combinations(ls, 2)]
-                                  for f, ls in self.members.items()}
-        self.weights = np.column_stack(columns).astype(np.float32) if columns else np.zeros((x.shape[1], 0), np.float32)
-        self.bias = np.array(bias)
+        number = itertools.count()
+        pairs = lambda names: [(a, b, next(number)) for a, b in itertools.combinations(names, 2)]
+        self.family_machines = pairs(self.families)
+        self.language_machines = {f: pairs(ls) for f, ls in self.members.items()}
+        count = next(number)
+        self.weights, self.bias = np.zeros((buckets, count), np.float32), np.zeros(count)
+
+    def sides(self) -> list[tuple[int, str, float, float]]:
+        """(machine, language, side, share of its rows)."""
+        rows = []
+        for a, b, k in self.family_machines:
+            for f, side in ((a, 1.0), (b, -1.0)):
+                share = min(1.0, FAMILY_LANGUAGES / len(self.members[f]))
+                rows += [(k, l, side, share) for l in self.members[f]]
+        for a, b, k in (m for ms in self.language_machines.values() for m in ms):
+            rows += [(k, a, 1.0, 1.0), (k, b, -1.0, 1.0)]
+        return rows
 
     @staticmethod
     def _vote(names: list[str], machines, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -226,17 +286,38 @@ def fit(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                texts = pc.fill_null(part.column(1), "").to_pylist()
-                x = features(texts).astype("<f2")
+                x = features(pc.fill_null(part.column(1), "").to_pylist())
+                full = [np.flatnonzero(r) for r in x]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "x"])
-
-    rows = sample.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t")) \
-        .mapInArrow(extract, "lang string, x binary").collect()      # about per_language rows of each language
-    if not rows:
+                    [part.column(0), pa.array([c.astype("<u2").tobytes() for c in full], pa.binary()),
+                     pa.array([r[c].astype("<f2").tobytes() for r, c in zip(x, full)], pa.binary())],
+                    names=["lang", "cells", "shares"])
+
+    # About per_language rows of each language, the non-zero frequencies of each.
+    rows = stash(spark, sample.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t"))
+                 .mapInArrow(extract, "lang string, cells binary, shares binary"), "language-sample")
+    languages = [r["lang"] for r in rows.select("lang").distinct().collect()]
+    if not languages:
         return None
-    x = np.frombuffer(b"".join(r["x"] for r in rows), "<f2").reshape(len(rows), -1).astype(np.float32)
-    return Discriminator(x, np.array([r["lang"] for r in rows], object), families)
+    model = Discriminator(languages, families)
+    if not len(model.bias):
+        return model
+    # One row per machine and language.
+    sides = spark.createDataFrame(model.sides(), "machine int, lang string, side double, share double")
+    taken = F.pmod(F.xxhash64("cells", "shares", "machine"), F.lit(1 << 20)) < F.col("share") * float(1 << 20)
+    fitted = rows.join(F.broadcast(sides), "lang").where(taken).select("machine", "side", "cells", "shares") \
+        .groupBy("machine").applyInPandas(_fit_machine, "machine int, weights binary, bias double")
+    for r in fitted.collect():                                    # the model itself: BUCKETS weights per machine
+        model.weights[:, r["machine"]] = np.frombuffer(r["weights"], "<f4")
+        model.bias[r["machine"]] = r["bias"]
+    return model
+
+
+def _fit_machine(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """One machine from the rows of its two sides, in an order that does not depend on the shuffle."""
+    rows = rows.sort_values(["side", "cells", "shares"], kind="stable")
+    w, bias = fit_svm(SparseRows(rows["cells"].tolist(), rows["shares"].tolist()), rows["side"].to_numpy())
+    return pd.DataFrame({"machine": [key[0]], "weights": [w.astype("<f4").tobytes()], "bias": [bias]})
 
 
 def identify(spark: SparkSession, docs: DataFrame, model: Discriminator | None, text_col: str = "text",
@@ -250,15 +331,17 @@ def identify(spark: SparkSession, docs: DataFrame, model: Discriminator | None,
 
     def run(batches):
         machines = restored(Discriminator, sent.value) if sent.value else None
-        for b in batches:
-            texts = b.column("text").to_pylist()
-            lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-            rows = [i for i, t in enumerate(texts) if has_letter(t)]
-            if rows and machines:
-                lang[rows], score[rows] = machines.predict([texts[i] for i in rows])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("row"), b.column("text"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                names=["row", "text", "lang", "score"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS_AT_ONCE):
+                b = whole.slice(lo, ROWS_AT_ONCE)
+                texts = b.column("text").to_pylist()
+                lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+                rows = [i for i, t in enumerate(texts) if has_letter(t)]
+                if rows and machines:
+                    lang[rows], score[rows] = machines.predict([texts[i] for i in rows])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("row"), b.column("text"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                    names=["row", "text", "lang", "score"])
 
     schema = T.StructType([packed.schema["row"], T.StructField("text", T.StringType()),
                            T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])

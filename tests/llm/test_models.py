@@ -48,6 +48,21 @@ def test_svm_separates():
     assert np.mean(np.sign(x @ w + b) == y) > 0.93
 
 
+def test_sparse_rows_fit_like_dense_ones():
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random((1100, 60)) < 0.2, rng.random((1100, 60)), 0).astype(np.float16)
+    x[[0, 5, 512, 1099]] = 0                                 # texts too short to have a gram
+    y = np.where(x[:, 0] + x[:, 1] > x[:, 2], 1.0, -1.0)
+    full = [np.flatnonzero(r) for r in x]
+    rows = L.SparseRows([c.astype("<u2").tobytes() for c in full], [r[c].astype("<f2").tobytes() for r, c in zip(x, full)], 60)
+    dense = x.astype(np.float64)
+    assert rows.dot(np.arange(60.0)) == pytest.approx(dense @ np.arange(60.0))
+    assert rows.pull(y) == pytest.approx(y @ dense)
+    w, b = L.fit_svm(rows, y)
+    v, c = L.fit_svm(dense, y)
+    assert w == pytest.approx(v, abs=1e-4) and b == pytest.approx(c, abs=1e-4)
+
+
 def test_three_related_languages_vote(spark):
     """A family of three needs three machines; unlisted codes are families of their own."""
     rng = random.Random(6)
@@ -61,6 +76,48 @@ def test_three_related_languages_vote(spark):
     assert np.mean([got[i] == l for i, _, l in rows]) > 0.95
 
 
+def test_votes_equal_brute_force():
+    """Family first, then the languages of that family, each by one-versus-one votes."""
+    families = {"aa": "f", "bb": "f", "cc": "f", "dd": "g", "ee": "g"}
+    model = L.Discriminator(["ee", "aa", "zz", "cc", "bb", "dd"], families, buckets=L.BUCKETS)
+    rng = np.random.default_rng(5)
+    model.weights = rng.normal(size=model.weights.shape).astype(np.float32) * 30
+    model.bias = rng.normal(size=model.bias.shape) * 0.1
+    texts = [" ".join("".join(rng.choice(list("abcdefg"), 5)) for _ in range(12)) for _ in range(300)]
+    m = L.features(texts).astype(np.float64) @ model.weights + model.bias
+
+    def winner(names, machines, row):
+        if len(names) == 1:
+            return names[0], 1.0
+        votes, worst = dict.fromkeys(names, 0.0), dict.fromkeys(names, np.inf)
+        for a, b, k in machines:
+            first, value = (a, b), row[k]
+            won, lost = first if value >= 0 else first[::-1]
+            votes[won] += 1 + np.tanh(abs(value)) * 1e-3
+            votes[lost] -= np.tanh(abs(value)) * 1e-3
+            worst[a], worst[b] = min(worst[a], value), min(worst[b], -value)
+        best = max(names, key=lambda n: (votes[n], -names.index(n)))
+        return best, 1 / (1 + np.exp(-4 * np.clip(worst[best], -20, 20)))
+
+    lang, score = model.predict(texts)
+    assert {families.get(x, x) for x in lang} == {"f", "g", "zz"}
+    for i, row in enumerate(m):
+        family, sure = winner(model.families, model.family_machines, row)
+        want, inner = winner(model.members[family], model.language_machines[family], row)
+        assert lang[i] == want and score[i] == pytest.approx(sure * inner, rel=1e-3)
+    # every language is on the side of its family in the family machines, and in its own machines
+    sides = {(k, l): side for k, l, side, _ in model.sides()}
+    for a, b, k in model.family_machines:
+        assert {l for (n, l), side in sides.items() if n == k and side > 0} == set(model.members[a])
+        assert {l for (n, l), side in sides.items() if n == k and side < 0} == set(model.members[b])
+
+
+def test_large_families_are_thinned_for_family_machines():
+    model = L.Discriminator([f"l{i:02}" for i in range(12)] + ["x"], {f"l{i:02}": "f" for i in range(12)})
+    shares = {share for k, l, _, share in model.sides() if (k == model.family_machines[0][2]) and l != "x"}
+    assert shares == {L.FAMILY_LANGUAGES / 12}
+
+
 def test_language_edges(spark, edge_docs, no_docs):
     from pyspark.sql import functions as F
     model = L.fit(spark, edge_docs.withColumn("lang", F.when(F.col("doc_id") > 4, "en").when(F.col("doc_id") > 1, "fr")))
@@ -227,6 +284,40 @@ def test_fit_of_unreachable_targets_is_least_squares(spark):
     assert reached == pytest.approx([50.0, 50.0], rel=0.02)
 
 
+def brute_cell(text, prior, weights, cells=1000):
+    """Words of a text and its posteriors in units of 1/cells."""
+    import re
+    import struct
+    import xxhash
+    buckets = len(weights[0])
+
+    def bucket(*parts):
+        h = 42
+        for n, x in enumerate(parts):                   # a word, or a kind (int) and a word or a number (long)
+            raw = x.encode() if isinstance(x, str) else struct.pack("<i" if n == 0 else "<q", x)
+            h = xxhash.xxh64_intdigest(raw, seed=h)
+        return (h - (1 << 64) if h >> 63 else h) % buckets
+
+    words = re.split("[ \t\n\x0b\f\r]+", text or "")
+    own = {bucket(w) for w in words}
+    bag = own | {bucket(1, w[-1:]) for w in words} | {bucket(2, int(len(own) / len(words) * 10))}
+    logs = np.array([p + sum(w[b] for b in bag) for p, w in zip(prior, weights)])
+    odds = np.exp(logs - logs.max())
+    return len([w for w in words if w]), odds / odds.sum() * cells
+
+
+def test_posteriors_equal_brute_force(spark, small_docs, edge_rows):
+    rng = np.random.default_rng(4)
+    prior, weights = [0.2, -0.1, 0.0], (rng.normal(size=(3, 128)) * (rng.random((3, 128)) < 0.5) * 0.3).tolist()
+    rows = small_docs[:60] + edge_rows
+    df = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(rows)], "n long, text string")
+    got = {r["n"]: r for r in M.posteriors(df, prior, weights).collect()}
+    for n, (_, t) in enumerate(rows):
+        tokens, cell = brute_cell(t, prior, weights)
+        assert got[n]["__tokens"] == tokens
+        assert np.abs(np.array(got[n]["__cell"]) - cell).max() <= 0.5 + 1e-6
+
+
 def test_mixing_query(spark):
     got = M.op2_soft_mixing(spark, MID).collect()
     t = pq.read_table(f"{MID}/documents.parquet", columns=["doc_id", "text"]).to_pydict()
