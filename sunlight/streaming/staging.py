@@ -3,7 +3,7 @@ from __future__ import annotations
 import os
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sunlight.plans.columns import RAW, DeclarationColumns
@@ -33,6 +33,11 @@ def _records(spark: SparkSession, source_dir: str, columns: Sequence[str], sep:
     return reader.csv(source_dir)
 
 
+def _bad(columns: Sequence[str]) -> Column:
+    """Not null for a rejected record. Names a data column too: a scan of the record column alone is refused."""
+    return F.concat(F.col(_BAD), F.coalesce(F.col(f"`{columns[0]}`"), F.lit("")))
+
+
 def _start(df: DataFrame, out_dir: str, checkpoint: str | None, available_now: bool) -> StreamingQuery:
     if checkpoint is None:
         checkpoint = os.path.join(out_dir, "_checkpoint")
@@ -62,7 +67,7 @@ def start_staging_stream(spark: SparkSession, source_dir: str, out_dir: str,
     processes what is there and stops; otherwise it keeps polling.
     """
     read = _records(spark, source_dir, columns, sep, encoding, multi_line, max_files_per_trigger)
-    return _start(stg_declarations(read.where(F.col(_BAD).isNull()).drop(_BAD), cols), out_dir, checkpoint, available_now)
+    return _start(stg_declarations(read.where(_bad(columns).isNull()).drop(_BAD), cols), out_dir, checkpoint, available_now)
 
 
 def start_rejected_stream(spark: SparkSession, source_dir: str, out_dir: str, columns: Sequence[str], sep: str = ",",
@@ -71,5 +76,5 @@ def start_rejected_stream(spark: SparkSession, source_dir: str, out_dir: str, co
                           multi_line: bool = True) -> StreamingQuery:
     """Stream the records that do not fit the header, with their file, to a Parquet table at ``out_dir``."""
     read = _records(spark, source_dir, columns, sep, encoding, multi_line, max_files_per_trigger)
-    bad = read.where(F.col(_BAD).isNotNull()).select(F.col("_metadata.file_path").alias("file"), F.col(_BAD).alias("record"))
+    bad = read.where(_bad(columns).isNotNull()).select(F.col("_metadata.file_path").alias("file"), F.col(_BAD).alias("record"))
     return _start(bad, out_dir, checkpoint, available_now)

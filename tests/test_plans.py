@@ -107,7 +107,7 @@ def _shuffled_records(spark, df) -> list[int]:
     """Records written by each exchange of an executed plan (without re-planning)."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        qe = df._jdf.queryExecution()
+        qe = df.select("*")._jdf.queryExecution()               # planned anew, under this setting
         qe.toRdd().count()
         return [n.metrics().apply("shuffleRecordsWritten").value() for n in _nodes(qe.executedPlan())
                 if n.nodeName() == "Exchange"]

@@ -72,9 +72,11 @@ def test_stream_refuses_another_header(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
     (src / "a.csv").write_text(",".join(reversed(C.RAW_COLS)) + "\n" + ",".join("x" * 9) + "\n", encoding="utf-8")
-    q = start_staging_stream(spark, str(src), scratch_path(spark, "stg"), C.RAW_COLS)
-    with pytest.raises(Exception, match="(?i)header"):
+    out = scratch_path(spark, "stg")
+    q = start_staging_stream(spark, str(src), out, C.RAW_COLS)
+    with pytest.raises(Exception, match="(?i)header|FAILED_READ_FILE"):
         q.awaitTermination(120)
+    assert not [f for f in os.listdir(out.removeprefix("file:")) if f.endswith(".parquet")]
 
 
 def test_outputs_of_the_same_name_have_their_own_progress(spark, tmp_path):
