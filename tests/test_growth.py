@@ -15,7 +15,8 @@ def scans(df) -> int:
     return df._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet")
 
 
-@pytest.mark.parametrize("name", ["fact_influence", "group_preview", "recipients", "search_mart", "search_batch", "search_index"])
+@pytest.mark.parametrize("name", ["fact_influence", "group_preview", "recipients", "search", "search_limit", "search_report",
+                                  "search_mart", "search_batch", "search_index"])
 def test_declarations_are_joined_once(spark, name):
     """Beside the one join that is written, the plan scans the lines for the prescriptions only."""
     assert scans(Q.QUERIES[name](spark, SF)) <= 1
