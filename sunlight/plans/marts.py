@@ -80,15 +80,17 @@ def build_marts(spark: SparkSession, out_dir: str, declarations_raw: DataFrame,
     put("prescriptions_mart", RXP.prescriptions_mart(prescriptions_raw, regions, specialities,
                                                      rx_cols))
     sales = put("sales_mart", RXP.sales_mart(prescriptions_raw, bridge, rx_cols))
-    spend = put("influence_spend", INF.influence_spend(stg, name_map, declarations_raw,
-                                                       dept_region, cols=decl_cols, reduce_departments=True))
+    # The geo mart holds the payments with their regions; only a department listed without a region cannot be told there.
+    located = geo if dept_region.where(F.col("region_code").isNull()).isEmpty() else None
+    spend = put("influence_spend", INF.influence_spend(stg, name_map, declarations_raw, dept_region, cols=decl_cols,
+                                                       reduce_departments=True, located=located))
     fact = put("influence_fact", INF.influence_fact(spend, sales, regions))
     put("influence_groups", INF.influence_groups(fact))
     put("lab_dim", CAT.lab_dim(bridge))
     put("lab_top_products", CAT.lab_top_products(bridge))
     put("regions", regions)
     put("recipients", recipients(declarations_raw, name_map, geo, min_total=min_total,
-                                     cols=decl_cols))
+                                     cols=decl_cols, one_shuffle=True))
     if geo_points is not None:
         ref = put("geo_ref", geo_ref(geo_points, dept_region))
         put("recipients_geo", recipients_geo(declarations_raw, name_map, ref,

@@ -3,10 +3,14 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from suite import queries as Q
 from suite import star
+from sunlight import plans as P
+from sunlight.operators import aggregates as A
+from sunlight.operators import dedup_sum
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,3 +37,28 @@ def test_lines_meet_orders_that_know_their_customers(spark, build):
     depth = lambda line: len(line) - len(line.lstrip(" :+-"))
     join = lambda key: next(line for line in plan if "Join" in line and key in line)
     assert depth(join("o_custkey")) > depth(join("l_orderkey"))
+
+
+def test_one_shuffle_sums_as_two(spark, monkeypatch):
+    data = [("hot", None, str(k % 50)) for k in range(400)] + [(f"g{k % 30}", "x", str(k % 7)) for k in range(200)] + [
+        (None, "y", "1"), (None, "y", "1"), ("g1", "x", None)]
+    df = spark.createDataFrame(data, "g string, h string, v string").repartition(5)
+    amount = F.col("v").cast("decimal(18,2)")
+    plain = dedup_sum(df, ["g", "h", "v"], ["g", "h"], amount, "s")
+    once = dedup_sum(df, ["g", "h", "v"], ["g", "h"], amount, "s", one_shuffle=True)
+    assert once._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert rows(once) == rows(plain)
+    monkeypatch.setattr(A, "HOT_ROWS", 300)
+    split = dedup_sum(df, ["g", "h", "v"], ["g", "h"], amount, "s", one_shuffle=True)
+    assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(split) == rows(plain)
+
+
+def test_spend_from_the_geo_mart_joins_no_departments(spark, fx):
+    stg = P.stg_declarations(fx["raw"])
+    bridge = P.product_bridge(fx["packs"], fx["products"])
+    name_map = P.lab_name_map(stg, bridge)
+    geo = P.declarations_geo(stg, fx["raw"], fx["depts"])
+    joined = P.influence_spend(stg, name_map, fx["raw"], fx["depts"])
+    located = P.influence_spend(stg, name_map, fx["raw"], fx["depts"], located=geo)
+    assert rows(located) == rows(joined) and located.count() > 0
