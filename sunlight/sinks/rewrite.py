@@ -13,6 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sunlight.operators.joins import materialise
 
 
+def by_partition(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` dealt anew for a write in partitions of ``columns``.
+
+    Such a write sorts each task's rows by them, beside whatever the task holds already (the
+    sorted sides of a join). Here it is a stage of its own, whose tasks AQE cuts to the advisory
+    size, also within one value; and a value's rows lie in few files, not in one per task.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def rewrite_partitions(spark: SparkSession, path: str, partition_col: str, changes: Mapping[str, Column],
                        where: Column) -> list:
     """Set the columns ``changes`` of the rows that match ``where`` in the table at ``path``,
@@ -37,5 +47,5 @@ def rewrite_partitions(spark: SparkSession, path: str, partition_col: str, chang
         F.when(hit, changes[c]).otherwise(F.col(c)).cast(table.schema[c].dataType).alias(c) if c in changes else F.col(c)
         for c in table.columns])
     aside = materialise(new, "rewrite")
-    (aside.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    (by_partition(aside, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     return found

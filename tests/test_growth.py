@@ -11,6 +11,7 @@ from suite import star
 from sunlight import plans as P
 from sunlight.operators import aggregates as A
 from sunlight.operators import dedup_sum
+from sunlight.sinks import by_partition, rewrite_partitions
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,3 +63,14 @@ def test_spend_from_the_geo_mart_joins_no_departments(spark, fx):
     joined = P.influence_spend(stg, name_map, fx["raw"], fx["depts"])
     located = P.influence_spend(stg, name_map, fx["raw"], fx["depts"], located=geo)
     assert rows(located) == rows(joined) and located.count() > 0
+
+
+def test_a_partitioned_write_is_a_stage_of_its_own(spark, tmp_path):
+    """Rows of many tasks, of few values: few files, and each task's rows bounded by the advisory size."""
+    path = str(tmp_path / "t")
+    df = spark.range(4000).select("id", (F.col("id") % 2).cast("int").alias("p"), F.lit("a").alias("v")).repartition(16)
+    by_partition(df, "p").write.partitionBy("p").parquet(path)
+    files = lambda v: [f for f in os.listdir(f"{path}/p={v}") if f.endswith(".parquet")]
+    assert len(files(0)) + len(files(1)) <= 4
+    rewrite_partitions(spark, path, "p", {"v": F.lit("b")}, (F.col("p") == 1) & (F.col("id") > 10))
+    assert rows(spark.read.parquet(path).groupBy("p", "v").count()) == [(0, "a", 2000), (1, "a", 5), (1, "b", 1995)]
