@@ -9,7 +9,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sunlight.sinks.bucketed import write_bucketed
+from sunlight.sinks.bucketed import buckets_for, write_bucketed
 from sunlight.sinks.rewrite import by_partition, rewrite_partitions
 from sunlight.sinks.sorted import first_rows, ordered_table, write_ordered
 from sunlight.sinks.versioned import (Written, commits, current_version, drop_old_versions, read_table, replace_table,
@@ -17,7 +17,8 @@ from sunlight.sinks.versioned import (Written, commits, current_version, drop_ol
 
 __all__ = ["write_table", "export_marts", "export_observed", "json_records", "write_json", "Written", "commits",
            "current_version", "drop_old_versions", "read_table", "replace_table", "row_count", "swap_table", "write_observed",
-           "first_rows", "ordered_table", "write_ordered", "rewrite_partitions", "by_partition", "write_bucketed"]
+           "first_rows", "ordered_table", "write_ordered", "rewrite_partitions", "by_partition", "write_bucketed",
+           "buckets_for"]
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",

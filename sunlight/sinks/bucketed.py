@@ -13,6 +13,18 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 
+BUCKET_BYTES = 16 << 20                  # of input files behind a bucket
+LEAST_BUCKETS, MOST_BUCKETS = 8, 20_000
+
+
+def buckets_for(*frames: DataFrame) -> int:
+    """Buckets for tables made of ``frames``, to be given to each of them: they grow with the files read, so that a
+    bucket, which is one task, does not. Only file lengths are looked up (no job)."""
+    jvm, conf = frames[0].sparkSession._jvm, frames[0].sparkSession._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in sorted({f for df in frames for f in df.inputFiles()})]
+    size = sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-size // BUCKET_BYTES)))
+
 
 def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
     """Store ``df`` at ``path`` as table ``name`` of the session's catalogue, one sorted file per bucket; read back."""

@@ -11,7 +11,8 @@ from suite import star
 from sunlight import plans as P
 from sunlight.operators import aggregates as A
 from sunlight.operators import dedup_sum
-from sunlight.sinks import by_partition, rewrite_partitions
+from sunlight.sinks import buckets_for, by_partition, rewrite_partitions
+from sunlight.sinks import bucketed as B
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,3 +75,13 @@ def test_a_partitioned_write_is_a_stage_of_its_own(spark, tmp_path):
     assert len(files(0)) + len(files(1)) <= 4
     rewrite_partitions(spark, path, "p", {"v": F.lit("b")}, (F.col("p") == 1) & (F.col("id") > 10))
     assert rows(spark.read.parquet(path).groupBy("p", "v").count()) == [(0, "a", 2000), (1, "a", 5), (1, "b", 1995)]
+
+
+def test_buckets_grow_with_the_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "in put")
+    spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v")).repartition(3).write.parquet(path)
+    df = spark.read.parquet(path)
+    size = sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.endswith(".parquet"))
+    assert buckets_for(df) == 8
+    monkeypatch.setattr(B, "BUCKET_BYTES", size // 20)
+    assert 20 <= buckets_for(df, df.where("id > 5")) <= 21
