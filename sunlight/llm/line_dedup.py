@@ -10,6 +10,8 @@ loses) come back by a join on the document, for which each text is shuffled
 once. A shard whose lines occur very often (a hot license
 line) is copied to as many salts as its load needs, so a task's load is
 bounded by ``PROBES_PER_TASK`` on average and no group grows with a key.
+A Python worker takes its texts apart in slices of ``SLICE_BYTES``, so beside Spark's
+batch it holds the lines of one slice (a longer text is a slice of its own).
 
 Keys differ from each other but for 128-bit hash collisions; a foreign line
 that reaches a slot is told apart by the fingerprint.
@@ -25,6 +27,7 @@ pass through unchanged, whatever their names.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,6 +40,7 @@ from .common import doc_key, stash, table
 MIN_KEY = 10
 KEYS_PER_SHARD = 1 << 16
 PROBES_PER_TASK = 1 << 18
+SLICE_BYTES = 4 << 20
 STRIP = " \t\n\x0b\x0c\r"
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -49,6 +53,14 @@ def line_hash(line: str, min_key: int = MIN_KEY) -> bytes | None:
     return xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass").lower())
 
 
+def slices(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """All rows of ``batches`` in order, in parts of about ``size`` bytes by a batch's mean row, of one row at least."""
+    for b in batches:
+        step = max(1, b.num_rows * size // max(1, b.nbytes))
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)
+
+
 # -- minimal perfect hash -------------------------------------------------
 
 def _place(keys: np.ndarray, level: int, size: int) -> np.ndarray:
@@ -143,8 +155,10 @@ def with_rows(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str)
 
 def line_hashes(keyed: DataFrame, min_key: int = MIN_KEY) -> DataFrame:
     """Distinct (doc, row, h1, h2) of the long enough line keys of each row."""
+    size = SLICE_BYTES
+
     def run(batches):
-        for b in batches:
+        for b in slices(batches, size):
             ids, rows, found = [], [], []
             for doc, row, text in zip(*(b.column(c).to_pylist() for c in range(3))):
                 own = {h for line in text.split("\n") if (h := line_hash(line, min_key))} if text else ()
@@ -192,11 +206,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
             .applyInPandas(_probe, "doc long, row long, line binary")
             .groupBy("doc", "row").agg(F.collect_list("line").alias("lost")))
 
-    names = docs.columns
+    names, size = docs.columns, SLICE_BYTES
     both = keyed.join(lost, ["doc", "row"], "left").select(F.col("rest").alias("row"), "text", "lost")
 
     def cut(batches):
-        for b in batches:
+        for b in slices(batches, size):
             texts, n_lines, n_lost = [], [], []
             for text, gone in zip(b.column("text").to_pylist(), b.column("lost").to_pylist()):
                 if not gone:

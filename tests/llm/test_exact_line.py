@@ -1,9 +1,11 @@
 import hashlib
 import string
+import tracemalloc
 from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sunlight.llm import exact_dedup as X, line_dedup as L
@@ -118,6 +120,49 @@ def test_lines_hot_shard_is_salted(spark, monkeypatch):
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute_lines(rows)
 
 
+def test_lines_in_slices(spark, edge_rows, monkeypatch):
+    """Parts of a few rows, or one: every row comes out once, with its own lines."""
+    monkeypatch.setattr(L, "SLICE_BYTES", 100)
+    rows = edge_rows + [(i, f"a line that every document has\n{i % 7} is a line of some\n{i}") for i in range(100, 150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted([tuple(r) for r in L.line_dedup(spark, docs).collect()], key=str) == brute_lines(rows)
+
+
+def test_lines_worker_holds_a_slice_of_its_batch(spark, monkeypatch):
+    """Python objects of a worker stay below a batch of long texts, in both functions that take texts apart."""
+    docs = spark.createDataFrame([(1, "one")], "doc_id long, text string")
+    sent, real = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, f, *a, **k: sent.append(f) or real(df, f, *a, **k))
+    L.line_dedup(spark, docs)
+    hashes, cut = sent
+    texts = ["\n".join(f"line {i} of text {j}, some sixty characters long as lines often are" for i in range(2000))
+             for j in range(200)]
+    ids = pa.array(range(200), pa.int64())
+    batch = lambda names, *columns: pa.RecordBatch.from_arrays([*columns], names=names)
+    lost = [[L.line_hash(t[:t.index("\n")])] for t in texts]
+    keyed = batch(["doc", "row", "text"], ids, pa.array([0] * 200, pa.int64()), pa.array(texts))
+    judged = batch(["row", "text", "lost"], pa.StructArray.from_arrays([ids], names=["doc_id"]), pa.array(texts),
+                   pa.array(lost, pa.list_(pa.binary())))
+
+    def peak(run, given):
+        rows = 0
+        tracemalloc.start()
+        for out in run(iter([given])):
+            rows += out.num_rows
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return rows, most
+
+    rows, most = peak(hashes, keyed)
+    assert rows == 200 * 2000 and most < keyed.nbytes
+    rows, most = peak(cut, judged)
+    assert rows == 200 and most < judged.nbytes
+    done = pa.Table.from_batches(cut(iter([judged])))
+    assert done["row"].combine_chunks().field("doc_id").to_pylist() == list(range(200))
+    assert done["text"].to_pylist() == [t[t.index("\n") + 1:] for t in texts]
+    assert done["a"].to_pylist() == [2000] * 200 and done["b"].to_pylist() == [1] * 200
+
+
 def test_minimal_perfect_hash():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 2 ** 63, size=(5000, 2), dtype=np.uint64)
